@@ -29,23 +29,27 @@ def parse_telemetry(
     """
     if ingest is None:
         ingest = F.col("timestamp") if "timestamp" in lines.columns else F.current_timestamp()
-    fields = F.split(F.col(value), ",", SPLIT_LIMIT)
     at = {name: line_field(F.col("fields"), i) for name, i in schema.POSITIONS.items()}
     event_ts = event_time(at["date"])
     if day_precision:
         event_ts = day_of(event_ts)
-    return lines.select(
-        F.col(value).alias("value"), ingest.alias("ingest_ts"), fields.alias("fields")
-    ).select(
+    row = F.struct(
         event_ts.alias("event_ts"),
         at["serial_number"].alias("serial_number"),
         at["model"].alias("model"),
         try_int(at["failure"]).alias("failure"),
         try_int(at["vault_id"]).alias("vault_id"),
         try_real(at["s194_temperature_celsius"]).alias("s194_temperature_celsius"),
-        "ingest_ts",
-        "value",
     )
+    # A one-row generator: filters on its output are not pushed below it, where Spark would
+    # repeat the split and the conversions for each column that they name.
+    split = lines.select(
+        F.col(value).alias("value"),
+        ingest.alias("ingest_ts"),
+        F.split(F.col(value), ",", SPLIT_LIMIT).alias("fields"),
+    )
+    parsed = split.select(F.inline(F.array(row)), "ingest_ts", "value")
+    return parsed.select(*schema.TELEMETRY.fieldNames(), "value")
 
 
 def is_valid() -> Column:

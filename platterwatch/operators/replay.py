@@ -8,6 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from platterwatch import schema
 from platterwatch.functions import day_of, event_time, micros_text, plus_micros
@@ -24,16 +25,18 @@ def restamp_even(
 
     Row i of n on a day gets ``day + i * step``; the step is a day / n, rounded half-even to the
     microsecond, or unrounded with ``exact`` (past about 416,000 rows a day the rounded steps can
-    add up to more than a day). Without ``order`` rows keep the order of the input.
+    add up to more than a day). Rows that tie in ``order`` are ordered by their content, so the
+    result does not depend on the partitioning. Without ``order`` rows keep the order of the scan.
 
     A day is never numbered in one task. The rows are range-sorted by (day, order, position) into
     balanced partitions and staged; a row's number is its place in its partition plus the rows of
     the day in earlier partitions, of which there are at most (partitions + days).
     """
     day, position = "_day", "_position"
+    tie = _content(df) if order else F.monotonically_increasing_id()
     ranged = (
         df.withColumn(day, day_of(F.col(ts)))
-        .withColumn("_tie", F.monotonically_increasing_id())
+        .withColumn("_tie", tie)
         .orderBy(day, *order, "_tie")
         .drop("_tie")
         .withColumn(position, F.monotonically_increasing_id())
@@ -63,6 +66,13 @@ def restamp_even(
     return numbered.select(*[moved.alias(ts) if c == ts else F.col(c) for c in df.columns])
 
 
+def _content(df: DataFrame) -> Column:
+    """A hash of the row. It breaks ties the same way in every run of a task, and lets equal sort
+    keys spread over several range partitions."""
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    return F.xxhash64(*plain)
+
+
 def _micros(index: Column, rows: Column, exact: bool) -> Column:
     """Microseconds after midnight of row ``index`` of ``rows``, in whole-number arithmetic."""
     day = F.lit(DAY_MICROS)
@@ -138,7 +148,7 @@ def write_replay(
     columns = columns or (["value"] if text else [c for c in df.columns if c != "event_day"])
     out = (
         df.withColumn("event_day", F.to_date(F.col(ts)))
-        .withColumn("_tie", F.monotonically_increasing_id())
+        .withColumn("_tie", _content(df))
         .orderBy("event_day", ts, "_tie")
         .select(*columns, "event_day")
     )
@@ -169,7 +179,7 @@ def write_replay_kafka(
     that covers the spread between partitions.
     """
     (
-        df.orderBy(ts)
+        df.orderBy(ts, value)
         .select(F.col(value).cast("string").alias("value"))
         .write.format("kafka")
         .option("kafka.bootstrap.servers", servers)
