@@ -1,21 +1,25 @@
-"""Command line: ``python -m platterwatch {1,2} --input LINES --output FOLDER``."""
+"""Command line: ``python -m platterwatch {1,2,replay} --input FILES --output FOLDER``.
+
+1 and 2 run that query on telemetry lines; replay turns a CSV dataset into lines to stream.
+"""
 
 from __future__ import annotations
 
 import argparse
-from datetime import date
+from datetime import date, datetime
 
 from platterwatch import schema
 from platterwatch.operators.windows import DayWindow
 from platterwatch.plans.jobs import FORMS, batch_job, stream_job
+from platterwatch.plans.replay import replay_dataset
 from platterwatch.session import session
 from platterwatch.sources.lines import read_lines, read_lines_stream
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="platterwatch", description=__doc__)
-    parser.add_argument("query", type=int, choices=(1, 2))
-    parser.add_argument("--input", help="folder of line files")
+    parser.add_argument("query", choices=("1", "2", "replay"))
+    parser.add_argument("--input", help="folder of line files, or the dataset to replay")
     parser.add_argument("--kafka", help="Kafka servers, in place of --input")
     parser.add_argument("--topic", default="filtered")
     parser.add_argument("--output", required=True)
@@ -31,6 +35,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--origin", type=date.fromisoformat, default=schema.DATASET_START)
     parser.add_argument("--range", type=int, nargs=2, default=list(schema.VAULT_RANGE))
     parser.add_argument("--top", type=int, default=schema.TOP_K)
+    parser.add_argument("--flush-at", type=datetime.fromisoformat, default=schema.FLUSH_AT)
     args = parser.parse_args(argv)
     if bool(args.input) == bool(args.kafka):
         parser.error("give either --input or --kafka")
@@ -41,7 +46,11 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
-    spark = session(f"platterwatch query {args.query}")
+    spark = session(f"platterwatch {args.query}")
+    if args.query == "replay":
+        replay_dataset(spark, args.input, args.output, flush_at=args.flush_at)
+        return
+    number = int(args.query)
     common = {
         "windows": [DayWindow(days, args.origin) for days in args.days],
         "form": args.form,
@@ -61,7 +70,7 @@ def main(argv: list[str] | None = None) -> None:
         stream_job(
             spark,
             lines,
-            args.query,
+            number,
             args.output,
             args.checkpoint,
             live=args.live,
@@ -70,7 +79,7 @@ def main(argv: list[str] | None = None) -> None:
             **common,
         )
     else:
-        batch_job(spark, read_lines(spark, args.input), args.query, args.output, **common)
+        batch_job(spark, read_lines(spark, args.input), number, args.output, **common)
 
 
 if __name__ == "__main__":

@@ -70,9 +70,13 @@ def top_k(totals: DataFrame, k: int = schema.TOP_K, key: str = "vault_id") -> Da
 
 
 def global_top_k(totals: DataFrame, k: int = schema.TOP_K, key: str = "vault_id") -> DataFrame:
-    """The k (window, group) pairs with most failures over all windows."""
-    windows = _window_columns(totals)
-    return totals.orderBy(F.desc("failures"), *windows, key).limit(k)
+    """The k (window, group) pairs with most failures over all windows, with their ``rank``.
+
+    The limit keeps k rows per task; only the k that are left are numbered in one task.
+    """
+    order = [F.desc("failures"), *_window_columns(totals), key]
+    best = totals.orderBy(*order).limit(k)
+    return best.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
 def ranked_devices(
@@ -149,7 +153,7 @@ def rank_globally(
     """The top k over all windows together, with device lists. Reads ``devices`` twice."""
     best = global_top_k(group_totals(devices, key), k, key)
     lists = device_lists(ranked_devices(devices, best, key, items), items, part_devices)
-    return lists.select(*_window_columns(lists), key, "failures", *_tail(lists))
+    return lists.select(*_window_columns(lists), "rank", key, "failures", *_tail(lists))
 
 
 def _tail(lists: DataFrame) -> list[str]:

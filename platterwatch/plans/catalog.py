@@ -50,7 +50,9 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.round(c, DIGITS).alias(c) for c in ("mean", "stddev")})
+    """Statistics to six decimals. The noise of the summation order goes first, so that exact ties
+    round the same way however the rows were partitioned."""
+    return df.withColumns({c: F.round(F.round(c, DIGITS + 3), DIGITS) for c in ("mean", "stddev")})
 
 
 def _hdds_text(df: DataFrame, items: tuple[str, ...] = ITEMS) -> DataFrame:
@@ -113,12 +115,22 @@ def rank_lines_1d(spark: SparkSession, folder: str) -> DataFrame:
     return shape.rank_lines(ranked).select("line", "n_tuples")
 
 
-def rank_wide_1d(spark: SparkSession, folder: str) -> DataFrame:
-    wide = shape.rank_wide(ranking.window_top_k(_events(spark, folder), WINDOWS["1d"]))
+def _wide_text(ranked: DataFrame) -> DataFrame:
+    wide = shape.rank_wide(ranked)
     texts = {c: F.array_join(c, ";") for c in wide.columns if c.startswith("hdds_")}
     return wide.withColumns(texts)
 
 
+def rank_wide_1d(spark: SparkSession, folder: str) -> DataFrame:
+    return _wide_text(ranking.window_top_k(_events(spark, folder), WINDOWS["1d"]))
+
+
+def global_wide_3d(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best (window, group) pairs of all windows, one wide row per window among them."""
+    devices = ranking.device_failures(_events(spark, folder), WINDOWS["3d"])
+    return _wide_text(ranking.rank_globally(stage(devices, "device_failures")))
+
+
 def parse_lines(spark: SparkSession, folder: str) -> DataFrame:
     parsed = parse.parse_telemetry(parse.to_lines(_events(spark, folder)))
     return parse.valid_rows(parsed).drop("ingest_ts")
@@ -153,13 +165,13 @@ def dataset_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def restamp_even(spark: SparkSession, folder: str) -> DataFrame:
-    moved = replay.restamp_even(_events(spark, folder), order=("event_id",))
-    return moved.select("event_id", "event_ts")
+    rows = _events(spark, folder).select("event_id", "event_ts")
+    return replay.restamp_even(rows, order=("event_id",))
 
 
 def restamp_exact(spark: SparkSession, folder: str) -> DataFrame:
-    moved = replay.restamp_even(_events(spark, folder), order=("event_id",), exact=True)
-    return moved.select("event_id", "event_ts")
+    rows = _events(spark, folder).select("event_id", "event_ts")
+    return replay.restamp_even(rows, order=("event_id",), exact=True)
 
 
 def restamp_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -301,6 +313,7 @@ QUERIES: dict[str, Query] = {
     "stats_lines_1d": stats_lines_1d,
     "rank_lines_1d": rank_lines_1d,
     "rank_wide_1d": rank_wide_1d,
+    "global_wide_3d": global_wide_3d,
     "parse_lines": parse_lines,
     "parse_rejects": parse_rejects,
     "dataset_scan": dataset_scan,

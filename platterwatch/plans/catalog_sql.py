@@ -40,7 +40,7 @@ GROUP BY 1, 2"""
 def rounded_stats(days: int, where: str = "TRUE", extra: str = "") -> str:
     return f"""
 SELECT {extra} window_start, vault_id, n_tuples,
-       round(mean, 6) AS mean, round(stddev, 6) AS stddev
+       round(round(mean, 9), 6) AS mean, round(round(stddev, 9), 6) AS stddev
 FROM ({stats(days, where)}) s"""
 
 
@@ -74,12 +74,20 @@ SELECT {extra} window_start, rank, vault_id, failures, n_tuples, n_devices,
 FROM ({ranked(days, origin)}) r"""
 
 
-GLOBAL_TOP10 = f"""
-SELECT window_start, vault_id, failures, n_tuples, n_devices, CAST(0 AS INTEGER) AS part, hdds
-FROM ({totals(1)}) x
+def best_of_all(days: int) -> str:
+    return f"""
+SELECT x.*, CAST(row_number() OVER (ORDER BY failures DESC, window_start, vault_id) AS INTEGER)
+         AS rank
+FROM ({totals(days)}) x
 ORDER BY failures DESC, window_start, vault_id LIMIT 10"""
 
 
+GLOBAL_TOP10 = f"""
+SELECT window_start, rank, vault_id, failures, n_tuples, n_devices, CAST(0 AS INTEGER) AS part,
+       hdds
+FROM ({best_of_all(1)}) x"""
+
+
 def three_decimals(x: str) -> str:
     exact = f"CAST(CAST(round({x}, 9) AS VARCHAR) AS DECIMAL(38, 9))"
     return f"CAST(CAST({exact} AS DECIMAL(38, 3)) AS VARCHAR)"
@@ -99,18 +107,23 @@ SELECT strftime(window_start, '%Y-%m-%d') || string_agg(
 FROM ({ranked(1)}) r
 GROUP BY window_start"""
 
-_WIDE = ",\n".join(
-    f"""coalesce(max(CAST(vault_id AS VARCHAR)) FILTER (rank = {i}), '') AS vault_id_{i},
-       coalesce(max(failures) FILTER (rank = {i}), 0) AS failures_{i},
-       coalesce(max(hdd_list) FILTER (rank = {i}), '') AS hdds_{i}"""
-    for i in range(1, 11)
-)
-RANK_WIDE = f"""
+def wide(ranking: str) -> str:
+    columns = ",\n".join(
+        f"""coalesce(max(CAST(vault_id AS VARCHAR)) FILTER (place = {i}), '') AS vault_id_{i},
+       coalesce(max(failures) FILTER (place = {i}), 0) AS failures_{i},
+       coalesce(max(hdd_list) FILTER (place = {i}), '') AS hdds_{i}"""
+        for i in range(1, 11)
+    )
+    return f"""
 SELECT strftime(window_start, '%Y-%m-%dT%H:%M:%S.%f') AS ts, CAST(0 AS INTEGER) AS part,
-       {_WIDE}
-FROM ({ranked(1)}) r
+       {columns}
+FROM (
+  SELECT r.*, row_number() OVER (PARTITION BY window_start ORDER BY rank) AS place
+  FROM ({ranking}) r
+) p
 GROUP BY window_start"""
 
+
 PARSED = """
 SELECT event_ts, serial_number, model, failure, CAST(vault_id AS INTEGER) AS vault_id,
        temp AS s194_temperature_celsius
@@ -195,7 +208,8 @@ ORACLE: dict[str, str] = {
     "rank_all_windows": _on_events(_union(rank, (1, 3, 23))),
     "stats_lines_1d": _on_events(stats_lines(1)),
     "rank_lines_1d": _on_events(RANK_LINES),
-    "rank_wide_1d": _on_events(RANK_WIDE),
+    "rank_wide_1d": _on_events(wide(ranked(1))),
+    "global_wide_3d": _on_events(wide(best_of_all(3))),
     "parse_lines": _on_events(PARSED),
     "parse_rejects": REJECTS,
     "dataset_scan": _on_events(PARSED),

@@ -11,7 +11,7 @@ from platterwatch.operators.ranking import device_failures, rank_groups
 from platterwatch.operators.rollup import DAY, day_stats, rollup_failures, rollup_stats
 from platterwatch.operators.windows import DayWindow, reference_windows
 from platterwatch.plans.query1 import query1
-from platterwatch.sources.storage import stage
+from platterwatch.sources.storage import release_scratch, stage
 from platterwatch.streaming import sinks
 from platterwatch.streaming.ranking import append_top_k, live_top_k
 from platterwatch.streaming.run import run_streams, use_disk_state
@@ -125,3 +125,4 @@ def batch_job(
             out.select("line").orderBy("line").write.mode("overwrite").text(path)
         else:
             out.write.mode("overwrite").json(path)
+    release_scratch(spark)

@@ -14,6 +14,8 @@ LOCAL_SCRATCH = "platterwatch.scratch.dir"  # our own setting, used where the on
 # Rows up to which a materialised side table is broadcast; a row is a few fixed-width columns.
 BROADCAST_ROWS = 500_000
 
+_made: dict[str, list[str]] = {}
+
 
 def scratch_base(spark: SparkSession) -> str:
     """The shared folder the session names, else (local runs and tests only) a temporary one."""
@@ -31,9 +33,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     path = f"{scratch_base(spark)}/{name}-{uuid.uuid4().hex}"
     fs, target = _file_system(spark, path)
     fs.deleteOnExit(target)
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 
 
+def release_scratch(spark: SparkSession) -> None:
+    """Remove all scratch paths of this application now. DataFrames over them become unreadable."""
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        fs, target = _file_system(spark, path)
+        fs.delete(target, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a batch result once and read it back: computed once, used often, lineage cut."""
     spark = df.sparkSession

@@ -48,6 +48,30 @@ def test_forms(spark, lines, tmp_path):
     assert wide.count() == 1 and "vault_id_10" in wide.columns
 
 
+def test_dataset_replay_feeds_both_queries(spark, line, tmp_path):
+    """A dataset stamped at midnight is replayed, streamed and ranked."""
+    days = ["2023-04-01", "2023-04-02"]
+    rows = [
+        line(f"{d}T00:00:00.000000", serial=f"s{i}", vault=str(1000 + i % 3), failure=str(i % 2))
+        for d in days
+        for i in range(8)
+    ]
+    source = tmp_path / "dataset.csv"
+    source.write_text("\n".join(["date" + "," * 38, *rows]) + "\n")
+    replayed = str(tmp_path / "replayed")
+    main(["replay", "--input", str(source), "--output", replayed])
+    lines = sorted(r.value for r in spark.read.text(replayed).select("value").collect())
+    assert [t[:26] for t in lines[:-1]] == [f"{d}T{3 * i:02d}:00:00.000000" for d in days for i in range(8)]
+    assert [t[26:] for t in lines[:-1]] == [t[26:] for t in rows]
+    for number, want in {"1": 6, "2": 2}.items():
+        out, check = str(tmp_path / f"out{number}"), str(tmp_path / f"check{number}")
+        args = ["--input", replayed, "--output", out, "--checkpoint", check, "--days", "1"]
+        main([number, *args, "--stream", "--once", "--max-files", "1"])
+        got = [r.line for r in read_lines_written(spark, f"{out}/query_1_{number}").collect()]
+        assert len(got) == want and all(t[:10] in days for t in got)
+    assert sum(t.count(",2,(") for t in got) == 2  # one vault a day with two of the four failures
+
+
 def test_arguments_are_checked():
     for bad in (["1", "--output", "o"], ["1", "--input", "i", "--output", "o", "--stream"], ["3"]):
         with pytest.raises(SystemExit):
