@@ -30,6 +30,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--delay", default=schema.WATERMARK_DELAY)
     parser.add_argument("--live", action="store_true", help="query 2: rank with every micro-batch")
     parser.add_argument("--max-files", type=int, help="files per micro-batch")
+    parser.add_argument("--state-partitions", type=int, help="fixed by the first start")
     parser.add_argument("--form", choices=FORMS, default="lines")
     parser.add_argument("--days", type=int, nargs="+", default=list(schema.WINDOW_DAYS))
     parser.add_argument("--origin", type=date.fromisoformat, default=schema.DATASET_START)
@@ -76,6 +77,7 @@ def main(argv: list[str] | None = None) -> None:
             live=args.live,
             delay=args.delay,
             every=None if args.once else args.every,
+            state_partitions=args.state_partitions,
             **common,
         )
     else:

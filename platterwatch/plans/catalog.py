@@ -214,7 +214,8 @@ def closing_row(spark: SparkSession, folder: str) -> DataFrame:
     events = _events(spark, folder)
     last = events.agg(F.max("event_ts")).first()[0]
     at = WINDOWS["full"].end_after(last) + timedelta(days=1)
-    return replay.with_flush_row(events.limit(0), at, vault_id=-1, failure=0)
+    nothing = spark.createDataFrame([], events.schema)
+    return replay.with_flush_row(nothing, at, vault_id=-1, failure=0)
 
 
 def _watched(stream: DataFrame) -> DataFrame:
@@ -230,8 +231,11 @@ def _flushed_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _watched(stream_events(spark, folder).unionByName(closing_stream))
 
 
-def _run(spark: SparkSession, name: str, writer) -> None:
-    run_streams({name: writer}, scratch_path(spark, "checkpoint"), every=None)
+def _run(spark: SparkSession, name: str, writer, checkpoint: str | None = None) -> None:
+    """Run to the end of what is there, with one state partition per core."""
+    checkpoint = checkpoint or scratch_path(spark, "checkpoint")
+    cores = spark.sparkContext.defaultParallelism
+    run_streams({name: writer}, checkpoint, every=None, state_partitions=cores)
 
 
 def stream_stats_1d(spark: SparkSession, folder: str) -> DataFrame:
@@ -280,7 +284,7 @@ def stream_late_drop(spark: SparkSession, folder: str) -> DataFrame:
         stream = _watched(spark.readStream.schema(events.schema).parquet(source))
         result = stats.window_stats(stream, WINDOWS["1d"])
         writer = sinks.sink_documents(result, path, "parquet")
-        run_streams({"late_drop": writer}, checkpoint, every=None)
+        _run(spark, "late_drop", writer, checkpoint)
     out = sinks.read_documents(spark, path, result.schema, "parquet")
     return _rounded(out.drop("max_ingest_ts"))
 

@@ -67,6 +67,7 @@ def stream_job(
     live: bool = False,
     delay: str = schema.WATERMARK_DELAY,
     every: str | None = schema.TRIGGER,
+    state_partitions: int | None = None,
     lo: int = schema.VAULT_RANGE[0],
     hi: int = schema.VAULT_RANGE[1],
     k: int = schema.TOP_K,
@@ -89,7 +90,7 @@ def stream_job(
             build = live_top_k if live else append_top_k
             stream = build(rows, window, writer, k=k)
         writers[f"query_{window.days}_{number}"] = stream
-    run_streams(writers, checkpoint, every)
+    run_streams(writers, checkpoint, every, state_partitions)
 
 
 def batch_job(

@@ -31,13 +31,11 @@ def read_events(spark: SparkSession, folder: str, keep: tuple[str, ...] = ()) ->
 
 def stream_events(spark: SparkSession, folder: str) -> DataFrame:
     """The events table as a stream of its files."""
-    table = spark.read.parquet(f"{folder}/events.parquet")
-    stream = (
-        spark.readStream.schema(table.schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(folder)
-    )
-    return events_as_telemetry(stream)
+    path = f"{folder}/events.parquet"
+    schema = spark.read.parquet(path).schema
+    # As a pattern the path may be a single file or a folder of files.
+    pattern = f"{folder}/event[s].parquet"
+    return events_as_telemetry(spark.readStream.schema(schema).parquet(pattern))
 
 
 def read_returns(spark: SparkSession, folder: str) -> DataFrame:

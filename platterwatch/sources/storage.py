@@ -63,11 +63,6 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _file_system(spark, path)
-    return fs.exists(target)
-
-
 def data_files(spark: SparkSession, path: str) -> list[str]:
     """The data files below a path (file names only, no content)."""
     fs, target = _file_system(spark, path)

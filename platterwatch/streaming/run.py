@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from platterwatch import schema
 
+PARTITIONS = "spark.sql.shuffle.partitions"
+
 # State of many (window, group, device) keys belongs on local disk, not on the heap.
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -22,24 +26,43 @@ def use_disk_state(spark: SparkSession) -> None:
         spark.conf.set(name, value)
 
 
+@contextmanager
+def _state_partitions(count: int | None):
+    """Streams take the number of state partitions from the session when they first start."""
+    if count is None:
+        yield
+        return
+    spark = SparkSession.active()
+    before = spark.conf.get(PARTITIONS)
+    spark.conf.set(PARTITIONS, str(count))
+    try:
+        yield
+    finally:
+        spark.conf.set(PARTITIONS, before)
+
+
 def start_streams(
     writers: dict[str, DataStreamWriter],
     checkpoint: str,
     every: str | None = schema.TRIGGER,
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Start every writer under its name, each with its own checkpoint below ``checkpoint``.
 
-    ``every`` is the micro-batch interval; None takes what is available now and ends.
+    ``every`` is the micro-batch interval; None takes what is available now and ends. The number
+    of state partitions is fixed with the first start of a checkpoint: some small multiple of the
+    cluster's cores that leaves room for the state to grow.
     """
     queries = []
-    for name, writer in writers.items():
-        timing = {"availableNow": True} if every is None else {"processingTime": every}
-        queries.append(
-            writer.queryName(name)
-            .option("checkpointLocation", f"{checkpoint.rstrip('/')}/{name}")
-            .trigger(**timing)
-            .start()
-        )
+    with _state_partitions(state_partitions):
+        for name, writer in writers.items():
+            timing = {"availableNow": True} if every is None else {"processingTime": every}
+            queries.append(
+                writer.queryName(name)
+                .option("checkpointLocation", f"{checkpoint.rstrip('/')}/{name}")
+                .trigger(**timing)
+                .start()
+            )
     return queries
 
 
@@ -47,10 +70,11 @@ def run_streams(
     writers: dict[str, DataStreamWriter],
     checkpoint: str,
     every: str | None = schema.TRIGGER,
+    state_partitions: int | None = None,
     timeout: float | None = None,
 ) -> list[StreamingQuery]:
     """Start all streams, then wait for each; the first failure stops the others and is raised."""
-    queries = start_streams(writers, checkpoint, every)
+    queries = start_streams(writers, checkpoint, every, state_partitions)
     try:
         for query in queries:
             query.awaitTermination(timeout) if timeout else query.awaitTermination()
