@@ -7,7 +7,7 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from platterwatch.functions import joined
 from platterwatch.operators import metrics, parse, ranking, replay, rollup, shape, stats
@@ -25,7 +25,7 @@ from platterwatch.sources.events import (
 )
 from platterwatch.sources.storage import scratch_path, stage
 from platterwatch.streaming import sinks
-from platterwatch.streaming.ranking import append_top_k, live_top_k
+from platterwatch.streaming.ranking import append_top_k, latest_rankings, live_top_k
 from platterwatch.streaming.run import run_streams
 from platterwatch.streaming.watermark import with_event_time
 
@@ -246,28 +246,43 @@ def stream_stats_1d(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(out.drop("max_ingest_ts"))
 
 
-def _stream_ranks(spark: SparkSession, folder: str, build, form: str) -> DataFrame:
-    stream = _flushed_stream(spark, folder)
-    path = scratch_path(spark, "results")
-    _run(spark, "rank_1d", build(stream, WINDOWS["1d"], sinks.document_writer(path, form=form)))
+def _ranked_rows(spark: SparkSession, folder: str, path: str, form: str) -> DataFrame:
     like = ranking.window_top_k(_events(spark, folder), WINDOWS["1d"], staged=False)
-    out = sinks.read_documents(spark, path, like.schema.add("batch_id", IntegerType()), form)
-    return _hdds_text(out)
+    schema = StructType([*like.schema.fields, StructField("batch_id", IntegerType())])
+    return _hdds_text(sinks.read_documents(spark, path, schema, form))
+
+
+def _closed_ranks(spark: SparkSession, folder: str, form: str) -> DataFrame:
+    path = scratch_path(spark, "results")
+    writer = sinks.document_writer(path, form=form)
+    stream = _flushed_stream(spark, folder)
+    _run(spark, "rank_1d", append_top_k(stream, WINDOWS["1d"], writer))
+    return _ranked_rows(spark, folder, path, form).drop("batch_id")
 
 
 def stream_rank_1d(spark: SparkSession, folder: str) -> DataFrame:
-    return _stream_ranks(spark, folder, append_top_k, "parquet").drop("batch_id")
+    return _closed_ranks(spark, folder, "parquet")
 
 
 def stream_rank_documents_1d(spark: SparkSession, folder: str) -> DataFrame:
-    return _stream_ranks(spark, folder, append_top_k, "json").drop("batch_id")
+    return _closed_ranks(spark, folder, "json")
 
 
 def stream_live_rank_1d(spark: SparkSession, folder: str) -> DataFrame:
-    """The last state of the live ranking."""
-    out = _stream_ranks(spark, folder, live_top_k, "parquet")
-    last = out.agg(F.max("batch_id").alias("batch_id"))
-    return out.join(F.broadcast(last), "batch_id").drop("batch_id")
+    """The table arrives in two deliveries; the live ranking after both."""
+    source, path = scratch_path(spark, "arrivals"), scratch_path(spark, "results")
+    changes, checkpoint = scratch_path(spark, "changes"), scratch_path(spark, "checkpoint")
+    events = _events(spark, folder)
+    first = F.coalesce(F.col(VALUE) < 50, F.lit(False))
+    for delivery in (events.filter(first), events.filter(~first)):
+        delivery.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        stream = with_event_time(stream, delay=f"{FULL_DAYS} days")
+        stream = stream.withColumn("ingest_ts", F.current_timestamp())
+        writer = sinks.document_writer(path, form="parquet")
+        live = live_top_k(stream, WINDOWS["1d"], writer, changes)
+        _run(spark, "live_rank_1d", live, checkpoint)
+    return latest_rankings(_ranked_rows(spark, folder, path, "parquet"))
 
 
 def stream_late_drop(spark: SparkSession, folder: str) -> DataFrame:

@@ -74,22 +74,26 @@ def stream_job(
 ) -> None:
     """Run query 1 or 2 over a stream of lines, one named stream per window, until they end.
 
-    Every stream writes its results and their latency and coverage. ``live`` rewrites the
-    current ranking with each micro-batch instead of once per closed window.
+    Every stream writes its results and their latency and coverage. ``live`` writes the current
+    ranking of the windows that a micro-batch changes, instead of one per closed window.
     """
     windows = windows or reference_windows()
     use_disk_state(spark)
     rows = with_event_time(parse.valid_rows(parse.parse_telemetry(lines)), delay=delay)
     writers = {}
     for window in windows:
+        name = f"query_{window.days}_{number}"
         writer = _writer(output, window, number, form)
         if number == 1:
             result = query1(rows, [window], lo, hi)[window.name]
             stream = result.writeStream.outputMode("append").foreachBatch(writer)
         else:
-            build = live_top_k if live else append_top_k
-            stream = build(rows, window, writer, k=k)
-        writers[f"query_{window.days}_{number}"] = stream
+            changes = f"{checkpoint.rstrip('/')}/changes/{name}"
+            if live:
+                stream = live_top_k(rows, window, writer, changes, k=k)
+            else:
+                stream = append_top_k(rows, window, writer, k=k)
+        writers[name] = stream
     run_streams(writers, checkpoint, every, state_partitions)
 
 

@@ -29,18 +29,19 @@ def scratch_base(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the scratch folder, removed when the session's JVM ends."""
-    path = f"{scratch_base(spark)}/{name}-{uuid.uuid4().hex}"
-    fs, target = _file_system(spark, path)
+    """A fresh path in a folder of its own, which is removed when the session's JVM ends."""
+    folder = f"{scratch_base(spark)}/{name}-{uuid.uuid4().hex}"
+    fs, target = _file_system(spark, folder)
+    fs.mkdirs(target)
     fs.deleteOnExit(target)
-    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return path
+    _made.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return f"{folder}/data"
 
 
 def release_scratch(spark: SparkSession) -> None:
     """Remove all scratch paths of this application now. DataFrames over them become unreadable."""
-    for path in _made.pop(spark.sparkContext.applicationId, []):
-        fs, target = _file_system(spark, path)
+    for folder in _made.pop(spark.sparkContext.applicationId, []):
+        fs, target = _file_system(spark, folder)
         fs.delete(target, True)
 
 

@@ -8,7 +8,10 @@ table: it is ranked with the batch operators.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from platterwatch import schema
@@ -55,16 +58,65 @@ def live_top_k(
     df: DataFrame,
     window: DayWindow,
     writer: BatchWriter,
+    changes: str,
     key: str = "vault_id",
     flag: str = "failure",
     items: tuple[str, ...] = ITEMS,
     ts: str = "event_ts",
     k: int = schema.TOP_K,
 ) -> DataStreamWriter:
-    """The current ranking of every window, written anew with each micro-batch.
+    """The current ranking of every window that a micro-batch changes, written with that batch.
 
-    Complete mode keeps all windows in state; use ``append_top_k`` for streams without end.
+    The stream runs in update mode, so state holds open windows only and a micro-batch carries
+    only the devices whose totals changed. They are logged below ``changes``, by window, and the
+    changed windows are ranked anew from their logs. A batch that runs again replaces its own
+    entries. Of a window the ranking with the highest batch counts; see ``latest_rankings``.
     """
     devices = device_failures(df, window, key, flag, items, ts)
-    batches = ranked_batches(writer, key, items, k)
-    return devices.writeStream.outputMode("complete").foreachBatch(batches)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            (
+                batch.withColumn("day", F.to_date("window_start"))
+                .withColumn("batch", F.lit(batch_id).cast("long"))
+                .hint("rebalance", "day")
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("day", "batch")
+                .parquet(changes)
+            )
+            days = [r["day"] for r in _window_days(batch).collect()]
+        finally:
+            batch.unpersist()
+        if days:
+            logged = _logged(batch.sparkSession, changes, days, batch_id)
+            current = _current(logged, [key, *items])
+            writer(rank_groups(current.select(*batch.columns), key, items, k), batch_id)
+
+    return devices.writeStream.outputMode("update").foreachBatch(write)
+
+
+def _window_days(batch: DataFrame) -> DataFrame:
+    """The first days of the windows in a batch: one row per open window."""
+    return batch.select(F.to_date("window_start").alias("day")).distinct()
+
+
+def _logged(spark: SparkSession, changes: str, days: list[date], batch_id: int) -> DataFrame:
+    """The log of some windows up to a batch. Only their folders are listed."""
+    paths = [f"{changes.rstrip('/')}/day={day.isoformat()}" for day in days]
+    log = spark.read.option("basePath", changes).parquet(*paths)
+    return log.filter(F.col("batch") <= batch_id)
+
+
+def _current(log: DataFrame, device: list[str]) -> DataFrame:
+    """The last logged totals of each device and window."""
+    values = [c for c in log.columns if c not in ("window_start", "batch", "day", *device)]
+    last = F.max_by(F.struct(*values), "batch").alias("last")
+    return log.groupBy("window_start", *device).agg(last).select("window_start", *device, "last.*")
+
+
+def latest_rankings(results: DataFrame) -> DataFrame:
+    """Of each window's rankings the one of its last batch, from results with ``batch_id``."""
+    last = results.groupBy("window_start").agg(F.max("batch_id").alias("batch_id"))
+    return results.join(last, ["window_start", "batch_id"]).drop("batch_id")

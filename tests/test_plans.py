@@ -1,5 +1,6 @@
 """Properties of the physical plans that matter at scale."""
 
+import os
 import re
 
 import pytest
@@ -12,7 +13,7 @@ from platterwatch.operators.stats import window_stats
 from platterwatch.operators.windows import DayWindow
 from platterwatch.plans.catalog import WINDOWS
 from platterwatch.sources.events import read_events
-from platterwatch.sources.storage import small_or_plain, stage
+from platterwatch.sources.storage import release_scratch, small_or_plain, stage
 
 
 def plan(df):
@@ -94,3 +95,11 @@ def test_no_python_in_any_plan(events):
     for df in (rank_lines(ranked), rank_wide(ranked), stats_lines(window_stats(events, DayWindow(1)))):
         assert "Python" not in plan(df) and "Arrow" not in plan(df)
     assert events.filter(F.col("failure") > 0).count() > 0
+
+
+def test_scratch_is_released(spark):
+    table = stage(spark.range(3).toDF("id"), "short_lived")
+    path = table.inputFiles()[0]
+    assert table.count() == 3
+    release_scratch(spark)
+    assert not os.path.exists(path.replace("file://", ""))

@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from platterwatch import schema
 from platterwatch.operators.filters import keep_watermark_filter
@@ -16,7 +17,7 @@ from platterwatch.operators.windows import DayWindow, reference_windows
 from platterwatch.sources.lines import read_lines_stream
 from platterwatch.streaming import sinks
 from platterwatch.streaming.progress import ProgressLog, progress_table
-from platterwatch.streaming.ranking import append_top_k, live_top_k
+from platterwatch.streaming.ranking import append_top_k, latest_rankings, live_top_k
 from platterwatch.streaming.run import run_streams, start_streams, use_disk_state
 from platterwatch.streaming.watermark import with_event_time
 
@@ -95,17 +96,42 @@ def placed(ranked):
 
 
 def test_live_ranking_follows_the_stream(spark, rows, tmp_path):
+    """Also after a failure in the middle: the batch runs again and the rest follows."""
     path = arrivals(rows, str(tmp_path / "in"))
-    batches = []
+    changes, check = str(tmp_path / "changes"), tmp_path / "check"
+    latest, sizes, failed = {}, [], []
 
     def writer(batch, batch_id):
-        batches.append(placed(batch))
-
-    run(live_top_k(watched(spark, path, 2), DAY, writer, k=3), tmp_path / "check")
-    want = placed(window_top_k(rows, DAY, k=3))
-    assert batches[-1] == want
-    assert len(batches[0]) < len(want)
-    assert all(len(b) <= 3 * LAST for b in batches)
+        found = placed(batch)
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost")
+        latest.update({day: [f for f in found if f[0] == day] for day in {f[0] for f in found}})
+        sizes.append(len(found))
+
+    def live():
+        return live_top_k(watched(spark, path, 2), DAY, writer, changes, k=3)
+
+    with pytest.raises(Exception, match="lost"):
+        run(live(), check)
+    queries = run(live(), check)
+    assert sorted(sum(latest.values(), [])) == placed(window_top_k(rows, DAY, k=3))
+    assert max(sizes) < 3 * LAST  # only changed windows are ranked
+    states = progress_table(spark, queries).orderBy("batch_id").select("state_rows").collect()
+    assert states[-1].state_rows == 0  # closed windows leave the state
+
+
+def test_live_ranking_counts_a_window_over_several_batches(spark, rows, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    changes, check = str(tmp_path / "changes"), tmp_path / "check"
+    for part in (F.col("vault_id") < 1006, F.col("vault_id") >= 1006):
+        rows.filter(part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        stream = with_event_time(stream, delay="30 days")
+        run(live_top_k(stream, DAY, sinks.document_writer(out), changes), check)
+    want = window_top_k(rows, DAY)
+    like = StructType([*want.schema.fields, StructField("batch_id", IntegerType())])
+    same(latest_rankings(sinks.read_documents(spark, out, like)).select(*want.columns), want)
 
 
 def test_without_a_closing_row_the_last_window_stays_open(spark, rows, tmp_path):
