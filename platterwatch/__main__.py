@@ -35,6 +35,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--days", type=int, nargs="+", default=list(schema.WINDOW_DAYS))
     parser.add_argument("--origin", type=date.fromisoformat, default=schema.DATASET_START)
     parser.add_argument("--range", type=int, nargs=2, default=list(schema.VAULT_RANGE))
+    parser.add_argument("--rejects", help="folder for lines that cannot be used")
     parser.add_argument("--top", type=int, default=schema.TOP_K)
     parser.add_argument("--flush-at", type=datetime.fromisoformat, default=schema.FLUSH_AT)
     args = parser.parse_args(argv)
@@ -58,6 +59,7 @@ def main(argv: list[str] | None = None) -> None:
         "lo": args.range[0],
         "hi": args.range[1],
         "k": args.top,
+        "rejects": args.rejects,
     }
     if args.stream or args.kafka:
         lines = read_lines_stream(

@@ -23,9 +23,13 @@ def where(df: DataFrame, condition: Column, ts: str = "event_ts") -> DataFrame:
     return df.filter(condition)
 
 
-def in_range(df: DataFrame, key: str, lo, hi, ts: str = "event_ts") -> DataFrame:
-    """Keep ``lo <= key <= hi``."""
-    return where(df, F.col(key).between(lo, hi), ts)
+def in_range(df: DataFrame, key: str, lo=None, hi=None, ts: str = "event_ts") -> DataFrame:
+    """Keep ``lo <= key <= hi``; an end that is None is open."""
+    ends = [] if lo is None else [F.col(key) >= lo]
+    ends += [] if hi is None else [F.col(key) <= hi]
+    for condition in ends:
+        df = where(df, condition, ts)
+    return df
 
 
 def flagged(df: DataFrame, flag: str, ts: str = "event_ts") -> DataFrame:

@@ -11,7 +11,7 @@ from platterwatch.operators.ranking import device_failures, rank_groups
 from platterwatch.operators.rollup import DAY, day_stats, rollup_failures, rollup_stats
 from platterwatch.operators.windows import DayWindow, reference_windows
 from platterwatch.plans.query1 import query1
-from platterwatch.sources.storage import release_scratch, stage
+from platterwatch.sources.storage import scratch_scope, stage
 from platterwatch.streaming import sinks
 from platterwatch.streaming.ranking import append_top_k, live_top_k
 from platterwatch.streaming.run import run_streams, use_disk_state
@@ -71,16 +71,21 @@ def stream_job(
     lo: int = schema.VAULT_RANGE[0],
     hi: int = schema.VAULT_RANGE[1],
     k: int = schema.TOP_K,
+    rejects: str | None = None,
 ) -> None:
     """Run query 1 or 2 over a stream of lines, one named stream per window, until they end.
 
     Every stream writes its results and their latency and coverage. ``live`` writes the current
     ranking of the windows that a micro-batch changes, instead of one per closed window.
+    ``rejects`` names a folder for the lines that cannot be used, written by a stream of its own.
     """
     windows = windows or reference_windows()
     use_disk_state(spark)
-    rows = with_event_time(parse.valid_rows(parse.parse_telemetry(lines)), delay=delay)
+    parsed = parse.parse_telemetry(lines)
+    rows = with_event_time(parse.valid_rows(parsed), delay=delay)
     writers = {}
+    if rejects:
+        writers["rejects"] = sinks.sink_documents(parse.rejected_rows(parsed), rejects)
     for window in windows:
         name = f"query_{window.days}_{number}"
         writer = _writer(output, window, number, form)
@@ -107,27 +112,32 @@ def batch_job(
     lo: int = schema.VAULT_RANGE[0],
     hi: int = schema.VAULT_RANGE[1],
     k: int = schema.TOP_K,
+    rejects: str | None = None,
 ) -> None:
     """Run query 1 or 2 over a batch of lines and write one result per window.
 
     The lines are scanned once: day partials are staged, and every window is made from them.
+    ``rejects`` names a folder for the lines that cannot be used, at the price of a second scan.
     """
     windows = windows or reference_windows()
-    rows = parse.valid_rows(parse.parse_telemetry(lines))
-    if number == 1:
-        partials = stage(day_stats(rows, lo=lo, hi=hi), "day_stats")
-    else:
-        partials = stage(device_failures(rows, DAY), "day_devices")
-    for window in windows:
+    with scratch_scope(spark):
+        parsed = parse.parse_telemetry(lines)
+        rows = parse.valid_rows(parsed)
+        if rejects:
+            parse.rejected_rows(parsed).write.mode("overwrite").json(rejects)
         if number == 1:
-            result = rollup_stats(partials, [window]).drop("window_days")
+            partials = stage(day_stats(rows, lo=lo, hi=hi), "day_stats")
         else:
-            devices = rollup_failures(partials, [window], "vault_id", ["model", "serial_number"])
-            result = rank_groups(devices.drop("window_days"), k=k)
-        out = _shaped(result, number, form)
-        path = result_path(output, window, number)
-        if form == "lines":
-            out.select("line").orderBy("line").write.mode("overwrite").text(path)
-        else:
-            out.write.mode("overwrite").json(path)
-    release_scratch(spark)
+            partials = stage(device_failures(rows, DAY), "day_devices")
+        for window in windows:
+            if number == 1:
+                result = rollup_stats(partials, [window]).drop("window_days")
+            else:
+                devices = rollup_failures(partials, [window], "vault_id", ["model", "serial_number"])
+                result = rank_groups(devices.drop("window_days"), k=k)
+            out = _shaped(result, number, form)
+            path = result_path(output, window, number)
+            if form == "lines":
+                out.select("line").orderBy("line").write.mode("overwrite").text(path)
+            else:
+                out.write.mode("overwrite").json(path)

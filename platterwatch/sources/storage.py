@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ LOCAL_SCRATCH = "platterwatch.scratch.dir"  # our own setting, used where the on
 # Rows up to which a materialised side table is broadcast; a row is a few fixed-width columns.
 BROADCAST_ROWS = 500_000
 
-_made: dict[str, list[str]] = {}
+_local = threading.local()
 
 
 def scratch_base(spark: SparkSession) -> str:
@@ -34,13 +36,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     fs, target = _file_system(spark, folder)
     fs.mkdirs(target)
     fs.deleteOnExit(target)
-    _made.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    _open_scopes()[-1].append(folder)
     return f"{folder}/data"
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove the scratch paths that this thread makes inside the block when it ends."""
+    scopes = _open_scopes()
+    scopes.append([])
+    try:
+        yield
+    finally:
+        _remove(spark, scopes.pop())
+
+
 def release_scratch(spark: SparkSession) -> None:
-    """Remove all scratch paths of this application now. DataFrames over them become unreadable."""
-    for folder in _made.pop(spark.sparkContext.applicationId, []):
+    """Remove the scratch paths this thread made outside of scopes. DataFrames over them become
+    unreadable."""
+    outer = _open_scopes()[0]
+    _remove(spark, outer)
+    outer.clear()
+
+
+def _open_scopes() -> list[list[str]]:
+    if not hasattr(_local, "scopes"):
+        _local.scopes = [[]]
+    return _local.scopes
+
+
+def _remove(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
         fs, target = _file_system(spark, folder)
         fs.delete(target, True)
 

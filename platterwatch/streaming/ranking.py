@@ -17,6 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from platterwatch import schema
 from platterwatch.operators.ranking import ITEMS, device_failures, rank_groups
 from platterwatch.operators.windows import DayWindow
+from platterwatch.sources.storage import scratch_scope, stage
 from platterwatch.streaming.sinks import BatchWriter
 
 
@@ -26,14 +27,15 @@ def ranked_batches(
     items: tuple[str, ...] = ITEMS,
     k: int = schema.TOP_K,
 ) -> BatchWriter:
-    """Rank a micro-batch of device rows, then write it."""
+    """Rank a micro-batch of device rows, then write it.
+
+    The rows are staged: the ranking reads them twice, and a lost executor must not send it back
+    to the state of the stream.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            writer(rank_groups(batch, key, items, k), batch_id)
-        finally:
-            batch.unpersist()
+        with scratch_scope(batch.sparkSession):
+            writer(rank_groups(stage(batch, "closed_windows"), key, items, k), batch_id)
 
     return write
 

@@ -2,6 +2,7 @@
 
 import os
 import re
+from threading import Thread
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,12 @@ from platterwatch.operators.stats import window_stats
 from platterwatch.operators.windows import DayWindow
 from platterwatch.plans.catalog import WINDOWS
 from platterwatch.sources.events import read_events
-from platterwatch.sources.storage import release_scratch, small_or_plain, stage
+from platterwatch.sources.storage import (
+    release_scratch,
+    scratch_scope,
+    small_or_plain,
+    stage,
+)
 
 
 def plan(df):
@@ -97,9 +103,20 @@ def test_no_python_in_any_plan(events):
     assert events.filter(F.col("failure") > 0).count() > 0
 
 
+def local_file(table):
+    return table.inputFiles()[0].replace("file://", "")
+
+
 def test_scratch_is_released(spark):
-    table = stage(spark.range(3).toDF("id"), "short_lived")
-    path = table.inputFiles()[0]
-    assert table.count() == 3
+    outer = local_file(stage(spark.range(3).toDF("id"), "outer"))
+    with scratch_scope(spark):
+        inner = local_file(stage(spark.range(3).toDF("id"), "inner"))
+        assert os.path.exists(inner)
+        other = Thread(target=lambda: stage(spark.range(3).toDF("id"), "other"))
+        other.start()
+        other.join()
+    assert os.path.exists(outer) and not os.path.exists(inner)
     release_scratch(spark)
-    assert not os.path.exists(path.replace("file://", ""))
+    assert not os.path.exists(outer)
+    left = {name.split("-")[0] for name in os.listdir(spark.conf.get("spark.checkpoint.dir"))}
+    assert "other" in left

@@ -1,6 +1,8 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from platterwatch.operators.windows import (
@@ -53,3 +55,22 @@ def test_end_after(days):
 def test_full_window_is_one_window(spark):
     window = full_window(date(2024, 1, 1), 30)
     assert starts(spark, window, ["2024-01-01", "2024-01-30 23:59:59"]) == ["2024-01-01"] * 2
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    days=st.integers(1, 400),
+    origin=st.dates(date(1960, 1, 1), date(2060, 1, 1)),
+    times=st.lists(
+        st.datetimes(datetime(1950, 1, 1), datetime(2070, 1, 1)), min_size=1, max_size=40
+    ),
+)
+def test_starts_are_whole_windows_from_the_origin(spark, days, origin, times):
+    window = DayWindow(days, origin)
+    df = spark.createDataFrame([(t,) for t in times], "event_ts timestamp")
+    out = tumbling(df, window).withColumn("again", window.start_of(F.col("event_ts")))
+    for r in out.collect():
+        assert r.window_start == r.again
+        assert (r.window_start.date() - origin).days % days == 0
+        assert r.window_start <= r.event_ts < r.window_start + timedelta(days=days)
+        assert window.end_after(r.event_ts) == r.window_start + timedelta(days=days)
