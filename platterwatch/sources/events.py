@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 EVENTS_ORIGIN = date(2024, 1, 1)
 LINEITEM_ORIGIN = date(1992, 1, 1)
 
+# Given, so that no footer is read before a query is planned.
+EVENTS_SCHEMA = (
+    "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+)
+
 
 def events_as_telemetry(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Activity events: users are the groups, errors the failures. Batch or stream."""
@@ -26,16 +31,15 @@ def events_as_telemetry(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFr
 
 
 def read_events(spark: SparkSession, folder: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    return events_as_telemetry(spark.read.parquet(f"{folder}/events.parquet"), keep)
+    table = spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
+    return events_as_telemetry(table, keep)
 
 
 def stream_events(spark: SparkSession, folder: str) -> DataFrame:
     """The events table as a stream of its files."""
-    path = f"{folder}/events.parquet"
-    schema = spark.read.parquet(path).schema
     # As a pattern the path may be a single file or a folder of files.
     pattern = f"{folder}/event[s].parquet"
-    return events_as_telemetry(spark.readStream.schema(schema).parquet(pattern))
+    return events_as_telemetry(spark.readStream.schema(EVENTS_SCHEMA).parquet(pattern))
 
 
 def read_returns(spark: SparkSession, folder: str) -> DataFrame:
