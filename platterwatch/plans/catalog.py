@@ -256,7 +256,7 @@ def _closed_ranks(spark: SparkSession, folder: str, form: str) -> DataFrame:
     path = scratch_path(spark, "results")
     writer = sinks.document_writer(path, form=form)
     stream = _flushed_stream(spark, folder)
-    _run(spark, "rank_1d", append_top_k(stream, WINDOWS["1d"], writer))
+    _run(spark, f"rank_1d_{form}", append_top_k(stream, WINDOWS["1d"], writer))
     return _ranked_rows(spark, folder, path, form).drop("batch_id")
 
 
