@@ -18,6 +18,7 @@ import base64
 import hashlib
 import heapq
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import regex
@@ -208,7 +209,7 @@ class Bpe:
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
         counts = np.fromiter(map(len, split), np.int64, len(split))
         find = self.known.__getitem__
-        code = np.fromiter((k for row in split for k in map(find, row)), np.int64, int(counts.sum()))
+        code = np.fromiter(map(find, chain.from_iterable(split)), np.int64, int(counts.sum()))
         size = self.size[code]
         edge = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
         return self.ids[ragged(self.begin[code], size)], np.diff(edge)

@@ -131,7 +131,9 @@ def per_text(
 ) -> DataFrame:
     """The kept columns and those that work(texts) gives, one array for each name of `columns`.
     One pass over the column text, no shuffle. Columns other than these are not read."""
-    base = docs.select(*keep, F.col("text").cast("string").alias("text"))
+    kept = docs.select(*keep)
+    (whole,) = fresh(kept, "text")
+    base = docs.select(*keep, F.col("text").cast("string").alias(whole))
     names, kinds = list(columns), [arrow_type(k) for k in columns.values()]
     fields = base.schema.fields[:-1] + [
         T.StructField(n, T.DataType.fromDDL(k)) for n, k in columns.items()

@@ -28,7 +28,9 @@ import io
 import json
 import uuid
 import zlib
+from array import array
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,11 +46,12 @@ from platterwatch.sources.storage import scratch_path
 
 MAGIC = b"PWTOKEN1"
 END_ID = 1
-CACHED_WORDS = 400_000
+CACHED_WORDS = 700_000
+CACHED_PARTS = 400_000
 CHUNK = 1 << 20
 NO_KEY = -(1 << 63)
 
-# ASCII without < (special tokens begin with it), and Latin letters of the next two blocks
+# ASCII without < (special tokens begin with it), and Latin letters of the next two blocks; no space
 PLAIN_PIECE = regex.compile(r"[!-;=-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017e]+")
 
 # Byte-level vocabularies write a printable Latin-1 byte as itself, the others from U+0100 on.
@@ -76,35 +79,47 @@ class WordEncoder:
         steps = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"]
         self.split = regex.compile(steps[0]["pattern"]["Regex"])
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.parts: dict[str, bytes] = {}
         self.clear()
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.parts: dict[str, list[int]] = {}
         self.begin = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def part(self, part: str) -> list[int]:
+    def part(self, part: str) -> bytes:
+        """The ids of a part between the split points, as 32-bit numbers."""
         ids = self.parts.get(part)
         if ids is None:
-            letters = part.encode().decode("latin-1").translate(BYTE_LETTERS)
-            ids = self.parts[part] = [t.id for t in self.tokenizer.model.tokenize(letters)]
+            letters = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_LETTERS)
+            found = [t.id for t in self.tokenizer.model.tokenize(letters)]
+            ids = self.parts[part] = array("I", found).tobytes()
         return ids
 
     def learn(self, pieces: list[str]) -> None:
         """Remember the ids of new pieces."""
-        plain = [x for x in pieces if PLAIN_PIECE.fullmatch(x)]
-        other = [x for x in pieces if not PLAIN_PIECE.fullmatch(x)]
-        normal = self.tokenizer.normalizer.normalize_str(" ".join(plain)).split(" ") if plain else []
-        rows = [[i for part in self.split.findall(x) for i in self.part(part)] for x in normal]
-        rows += [x.ids for x in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]
-        size = np.fromiter(map(len, rows), np.int64, len(rows))
-        ids = np.fromiter((i for row in rows for i in row), np.uint32, int(size.sum()))
+        if len(self.parts) > CACHED_PARTS:
+            self.parts.clear()
+        ascii_, latin, other = [], [], []
+        for x in pieces:
+            if x.isascii() and x.isprintable() and "<" not in x:
+                ascii_.append(x)
+            else:
+                (latin if PLAIN_PIECE.fullmatch(x) else other).append(x)
+        normal = " ".join(ascii_).lower().split(" ") if ascii_ else []  # all that its steps do to ASCII
+        if latin:
+            normal += self.tokenizer.normalizer.normalize_str(" ".join(latin)).split(" ")
+        find, part = self.split.findall, self.part
+        rows = [b"".join(map(part, find(x))) for x in normal]
+        whole = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
+        rows += [array("I", x.ids).tobytes() for x in whole]
+        size = np.fromiter(map(len, rows), np.int64, len(rows)) // 4
         self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
-        self.ids = np.concatenate([self.ids, ids])
-        self.known.update(zip(plain + other, range(len(self.known), len(self.known) + len(rows))))
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(rows), np.uint32)])
+        n = len(self.known)
+        self.known.update(zip([*ascii_, *latin, *other], range(n, n + len(rows))))
 
     def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, ids per text), with the end id after each text."""
@@ -116,7 +131,7 @@ class WordEncoder:
             self.learn(sorted(new))
         counts = np.fromiter(map(len, split), np.int64, len(split))
         find = self.known.__getitem__
-        code = np.fromiter((k for row in split for k in map(find, row)), np.int64, int(counts.sum()))
+        code = np.fromiter(map(find, chain.from_iterable(split)), np.int64, int(counts.sum()))
         size = self.size[code]
         flat = self.ids[ragged(self.begin[code], size)]
         edge = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
