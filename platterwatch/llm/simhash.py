@@ -144,8 +144,10 @@ def small_cell_links(cells_: DataFrame, distance: int) -> DataFrame:
 
 def links(distinct: DataFrame, distance: int = DISTANCE, cell: int = CELL) -> DataFrame:
     """(a, b): links between distinct fingerprints `fp` that give the components of all pairs at
-    `distance` or fewer differing bits."""
-    radius = (distance + 1) // 2
+    `distance` or fewer differing bits, an even number, as each side goes half the way."""
+    if distance % 2:
+        raise ValueError("the distance has to be even")
+    radius = distance // 2
     placed = distinct.select("fp", F.explode(cells(F.col("fp"), radius)).alias("cell"))
     counts = stage(placed.groupBy("cell").count().where("count > 1"), "cells")
     small = counts.where(F.col("count") <= cell).select("cell")
@@ -160,10 +162,7 @@ def links(distinct: DataFrame, distance: int = DISTANCE, cell: int = CELL) -> Da
         .drop("n")
     )
     star_links = pattern.join(stars, "pattern").where("fp <> b").select(F.col("fp").alias("a"), "b")
-    found = small_cell_links(gathered, distance).unionAll(star_links)
-    if distance % 2:  # with an odd bound the two halves are longer than the bound
-        found = found.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
-    return found
+    return small_cell_links(gathered, distance).unionAll(star_links)
 
 
 def classes(rows: DataFrame, distance: int = DISTANCE) -> DataFrame:
