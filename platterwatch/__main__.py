@@ -35,6 +35,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--days", type=int, nargs="+", default=list(schema.WINDOW_DAYS))
     parser.add_argument("--origin", type=date.fromisoformat, default=schema.DATASET_START)
     parser.add_argument("--range", type=int, nargs=2, default=list(schema.VAULT_RANGE))
+    parser.add_argument("--parts", type=int, default=1, help="query 2: lists per ranked group")
+    parser.add_argument("--rounded", action="store_true", help="replay: one rounded step per day")
     parser.add_argument("--rejects", help="folder for lines that cannot be used")
     parser.add_argument("--top", type=int, default=schema.TOP_K)
     parser.add_argument("--flush-at", type=datetime.fromisoformat, default=schema.FLUSH_AT)
@@ -50,7 +52,9 @@ def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = session(f"platterwatch {args.query}")
     if args.query == "replay":
-        replay_dataset(spark, args.input, args.output, flush_at=args.flush_at)
+        replay_dataset(
+            spark, args.input, args.output, flush_at=args.flush_at, exact=not args.rounded
+        )
         return
     number = int(args.query)
     common = {
@@ -60,6 +64,7 @@ def main(argv: list[str] | None = None) -> None:
         "hi": args.range[1],
         "k": args.top,
         "rejects": args.rejects,
+        "parts": args.parts,
     }
     if args.stream or args.kafka:
         lines = read_lines_stream(

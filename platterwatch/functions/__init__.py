@@ -1,4 +1,4 @@
-from platterwatch.functions.text import fixed, joined, line_field, pair_text
+from platterwatch.functions.text import fixed, joined, line_field, pair_text, text_of
 from platterwatch.functions.times import (
     day_of,
     day_text,
@@ -19,6 +19,7 @@ __all__ = [
     "micros_text",
     "pair_text",
     "plus_micros",
+    "text_of",
     "try_int",
     "try_real",
 ]

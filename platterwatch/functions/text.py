@@ -11,18 +11,24 @@ def line_field(fields: Column, position: int) -> Column:
     return F.get(fields, F.lit(position))
 
 
+def text_of(value: Column) -> Column:
+    """A value as text, null as an empty one."""
+    return F.coalesce(value.cast("string"), F.lit(""))
+
+
 def fixed(value: Column, digits: int = 3) -> Column:
     """Fixed number of decimals, rounded half up, without thousands separators.
 
     Noise of the summation order beyond six more digits is rounded off first, so that the text
-    does not depend on how the rows were partitioned.
+    does not depend on how the rows were partitioned. Null gives an empty text.
     """
-    return F.format_string(f"%.{digits}f", F.round(value, digits + 6))
+    text = F.format_string(f"%.{digits}f", F.round(value, digits + 6))
+    return F.when(value.isNull(), "").otherwise(text)
 
 
 def pair_text(entry: Column, fields: tuple[str, ...]) -> Column:
-    """The fields of a struct, joined by commas."""
-    return F.concat_ws(",", *[entry[name].cast("string") for name in fields])
+    """The fields of a struct, joined by commas; null fields are empty and keep their place."""
+    return F.concat_ws(",", *[text_of(entry[name]) for name in fields])
 
 
 def joined(entries: Column, fields: tuple[str, ...]) -> Column:

@@ -1,8 +1,8 @@
 """Groups ranked by failures per window, with the devices that failed.
 
-Devices are rows until the very end. Counting, removing duplicates and ranking therefore work on
-keys that include the device: a group that holds a large part of all failures is spread over
-many tasks, and only the ranked groups' devices are ever packed into lists.
+A ranking is one row per device of a ranked group, whatever its size. Counting, removing duplicates
+and ranking work on keys that include the device, so a group that holds a large part of all failures is
+spread over many tasks. Lists are a form of the result, in a number of parts that the caller names.
 """
 
 from __future__ import annotations
@@ -18,10 +18,6 @@ from platterwatch.sources.storage import stage
 
 ITEMS = ("model", "serial_number")
 
-# Devices per list cell. A group with more devices gets several rows (parts), each of about this
-# size, so that no cell grows with the data.
-PART_DEVICES = 100_000
-
 
 def device_failures(
     df: DataFrame,
@@ -82,46 +78,56 @@ def global_top_k(totals: DataFrame, k: int = schema.TOP_K, key: str = "vault_id"
 def ranked_devices(
     devices: DataFrame, ranked: DataFrame, key: str = "vault_id", items: tuple[str, ...] = ITEMS
 ) -> DataFrame:
-    """The devices of the ranked groups, one row each, with the columns of ``ranked``.
+    """One row per device of the ranked groups: ``rank``, key, ``group_failures``,
+    ``group_devices``, then the device with its own ``failures, n_tuples``.
 
     No broadcast is forced: Spark picks the join by the measured size of the ranked side, and
     splits skewed partitions when it has to sort and merge. The key may be null.
     """
     windows = _window_columns(ranked)
-    behind = [c for c in ("n_tuples", "max_ingest_ts") if c in devices.columns]
+    own = [c for c in ("failures", "n_tuples", "max_ingest_ts") if c in devices.columns]
     left, right = devices.alias("d"), ranked.alias("r")
     same = F.col(f"d.{key}").eqNullSafe(F.col(f"r.{key}"))
     for name in windows:
         same = same & (F.col(f"d.{name}") == F.col(f"r.{name}"))
-    return left.join(right, same).select("r.*", *[f"d.{c}" for c in [*items, *behind]])
+    return left.join(right, same).select(
+        *[f"r.{c}" for c in [*windows, "rank", key]],
+        F.col("r.failures").alias("group_failures"),
+        F.col("r.n_devices").alias("group_devices"),
+        *[f"d.{c}" for c in [*items, *own]],
+    )
 
 
-def _sorted_structs(fields: tuple[str, ...]) -> Column:
-    return F.sort_array(F.collect_list(F.struct(*fields)))
+def ranked_groups(rows: DataFrame, key: str = "vault_id") -> DataFrame:
+    """One row per ranked group, with the tuples behind it, from one row per device."""
+    group = [*_window_columns(rows), "rank", key, "group_failures", "group_devices"]
+    return rows.groupBy(*group).agg(
+        F.sum("n_tuples").alias("n_tuples"), *latest_ingest(rows, "max_ingest_ts")
+    )
 
 
-def device_lists(
-    members: DataFrame,
-    items: tuple[str, ...] = ITEMS,
-    part_devices: int = PART_DEVICES,
-) -> DataFrame:
-    """Pack the devices of each ranked group into the sorted list ``hdds``.
+def part_of(items: tuple[str, ...], parts: int) -> Column:
+    """The part of a device: the first six hexadecimal digits of its md5, modulo the parts."""
+    text = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in items])
+    return (F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("long") % parts).cast("int")
 
-    Groups of up to ``part_devices`` devices have one row, with ``part`` 0. Larger groups have
-    several rows that together hold every device once. ``n_tuples`` and ``max_ingest_ts`` are
-    those of the devices in the row, so they add up over rows.
+
+def device_lists(rows: DataFrame, parts: int, items: tuple[str, ...] = ITEMS) -> DataFrame:
+    """Pack the devices of each ranked group into sorted lists ``hdds``, one for each ``part``.
+
+    The number of parts is the same for every group and window and is never taken from the data;
+    choose it so that a part of the largest group fits into a cell. A part without devices has no
+    row. ``n_tuples`` and ``max_ingest_ts`` are those of the row's devices; ``group_failures`` and
+    ``group_devices`` repeat.
     """
-    parts = F.ceil(F.col("n_devices") / F.lit(part_devices))
-    part = F.pmod(F.xxhash64(*items), parts).cast("int")
-    behind = [c for c in ("n_tuples", "max_ingest_ts") if c in members.columns]
-    group = [c for c in members.columns if c not in (*items, *behind)]
+    own = (*items, "failures", "n_tuples", "max_ingest_ts")
     return (
-        members.withColumn("part", part)
-        .groupBy(*group, "part")
+        rows.withColumn("part", part_of(items, parts))
+        .groupBy(*[c for c in rows.columns if c not in own], "part")
         .agg(
             F.sum("n_tuples").alias("n_tuples"),
-            *latest_ingest(members, "max_ingest_ts"),
-            _sorted_structs(items).alias("hdds"),
+            *latest_ingest(rows, "max_ingest_ts"),
+            F.sort_array(F.collect_list(F.struct(*items))).alias("hdds"),
         )
     )
 
@@ -131,16 +137,14 @@ def rank_groups(
     key: str = "vault_id",
     items: tuple[str, ...] = ITEMS,
     k: int = schema.TOP_K,
-    part_devices: int = PART_DEVICES,
 ) -> DataFrame:
-    """Ranking with device lists from device rows (batch, or one closed micro-batch).
+    """The ranking of each window, one row per device, from device rows (a batch or one closed
+    micro-batch).
 
-    ``devices`` is read twice, once for the totals and once for the lists; give a staged table
+    ``devices`` is read twice, once for the totals and once for the devices; give a staged table
     when it is costly to make.
     """
-    ranked = top_k(group_totals(devices, key), k, key)
-    lists = device_lists(ranked_devices(devices, ranked, key, items), items, part_devices)
-    return lists.select(*_window_columns(lists), "rank", key, "failures", *_tail(lists))
+    return ranked_devices(devices, top_k(group_totals(devices, key), k, key), key, items)
 
 
 def rank_globally(
@@ -148,17 +152,9 @@ def rank_globally(
     key: str = "vault_id",
     items: tuple[str, ...] = ITEMS,
     k: int = schema.TOP_K,
-    part_devices: int = PART_DEVICES,
 ) -> DataFrame:
-    """The top k over all windows together, with device lists. Reads ``devices`` twice."""
-    best = global_top_k(group_totals(devices, key), k, key)
-    lists = device_lists(ranked_devices(devices, best, key, items), items, part_devices)
-    return lists.select(*_window_columns(lists), "rank", key, "failures", *_tail(lists))
-
-
-def _tail(lists: DataFrame) -> list[str]:
-    names = ["n_tuples", "n_devices", "max_ingest_ts", "part", "hdds"]
-    return [name for name in names if name in lists.columns]
+    """The top k over all windows together, one row per device. Reads ``devices`` twice."""
+    return ranked_devices(devices, global_top_k(group_totals(devices, key), k, key), key, items)
 
 
 def window_top_k(
@@ -169,11 +165,11 @@ def window_top_k(
     items: tuple[str, ...] = ITEMS,
     ts: str = "event_ts",
     k: int = schema.TOP_K,
-    part_devices: int = PART_DEVICES,
     ingest: str | None = "ingest_ts",
     staged: bool = True,
 ) -> DataFrame:
-    """``window_start, rank, key, failures, n_tuples, n_devices, part, hdds`` for a batch input.
+    """``window_start, rank, key, group_failures, group_devices``, the device, ``failures,
+    n_tuples`` for a batch input, one row per device.
 
     The device rows are staged, so the input is scanned once; ``staged=False`` keeps the whole
     plan lazy and scans it twice. For a stream aggregate with ``device_failures`` and rank each
@@ -182,4 +178,4 @@ def window_top_k(
     devices = device_failures(df, window, key, flag, items, ts, ingest)
     if staged:
         devices = stage(devices, "device_failures")
-    return rank_groups(devices, key, items, k, part_devices)
+    return rank_groups(devices, key, items, k)

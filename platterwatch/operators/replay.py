@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import time
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,21 +13,23 @@ from pyspark.sql.types import MapType
 
 from platterwatch import schema
 from platterwatch.functions import day_of, event_time, micros_text, plus_micros
-from platterwatch.sources.storage import data_files, set_modified, small_or_plain, stage
+from platterwatch.sources.storage import data_files, set_modified, stage
 
 DAY_MICROS = 86_400_000_000
 POSITION_BITS = 33  # of monotonically_increasing_id: partition above, row within it below
 
 
 def restamp_even(
-    df: DataFrame, ts: str = "event_ts", order: tuple[str, ...] = (), exact: bool = False
+    df: DataFrame, ts: str = "event_ts", order: tuple[str, ...] = (), exact: bool = True
 ) -> DataFrame:
     """Spread the rows of each day evenly over its 24 hours, in the given order.
 
-    Row i of n on a day gets ``day + i * step``; the step is a day / n, rounded half-even to the
-    microsecond, or unrounded with ``exact`` (past about 416,000 rows a day the rounded steps can
-    add up to more than a day). Rows that tie in ``order`` are ordered by their content, so the
-    result does not depend on the partitioning. Without ``order`` rows keep the order of the scan.
+    Row i of n on a day gets the time ``i * day / n``, rounded down to the microsecond. Without
+    ``exact`` it is i times one step that is rounded half-even, for compatibility; past about
+    416,000 rows a day these steps can add up to more than a day. Rows that tie in ``order`` are
+    ordered by their content, so the result does not depend on the partitioning; rows that are
+    equal all over are spread by their position. Without ``order`` rows keep the order of the scan,
+    which is that of the files only if each file is one split: give columns to order by.
 
     A day is never numbered in one task. The rows are range-sorted by (day, order, position) into
     balanced partitions and staged; a row's number is its place in its partition plus the rows of
@@ -36,9 +39,9 @@ def restamp_even(
     tie = _content(df) if order else F.monotonically_increasing_id()
     ranged = (
         df.withColumn(day, day_of(F.col(ts)))
-        .withColumn("_tie", tie)
-        .orderBy(day, *order, "_tie")
-        .drop("_tie")
+        .withColumns({"_tie": tie, "_at": F.monotonically_increasing_id()})
+        .orderBy(day, *order, "_tie", "_at")
+        .drop("_tie", "_at")
         .withColumn(position, F.monotonically_increasing_id())
     )
     staged = stage(ranged, "restamp")
@@ -56,7 +59,7 @@ def restamp_even(
         (before - F.col("_first")).alias("_shift"),
         F.sum("_n").over(Window.partitionBy(day)).alias("_day_rows"),
     )
-    offsets = small_or_plain(stage(offsets, "restamp_offsets"))
+    offsets = stage(offsets, "restamp_offsets")  # staged, so Spark knows its size for the join
     numbered = staged.join(
         offsets,
         F.col(day).eqNullSafe(F.col("_piece_day")) & (partition == F.col("_partition")),
@@ -86,7 +89,7 @@ def _micros(index: Column, rows: Column, exact: bool) -> Column:
 
 
 def restamp_lines(
-    lines: DataFrame, order: tuple[str, ...] = (), value: str = "value", exact: bool = False
+    lines: DataFrame, order: tuple[str, ...] = (), value: str = "value", exact: bool = True
 ) -> DataFrame:
     """``restamp_even`` on wire lines: the leading date text is replaced, the rest is kept.
 
@@ -148,8 +151,8 @@ def write_replay(
     columns = columns or (["value"] if text else [c for c in df.columns if c != "event_day"])
     out = (
         df.withColumn("event_day", F.to_date(F.col(ts)))
-        .withColumn("_tie", _content(df))
-        .orderBy("event_day", ts, "_tie")
+        .withColumns({"_tie": _content(df), "_at": F.monotonically_increasing_id()})
+        .orderBy("event_day", ts, "_tie", "_at")
         .select(*columns, "event_day")
     )
     writer = out.write.partitionBy("event_day")
@@ -157,7 +160,10 @@ def write_replay(
     files = sorted(data_files(spark, path), key=_replay_order)
     if flush is not None:
         closing = f"{path}/event_day=9999-12-31"
-        spark.range(1).select(F.lit(flush).alias("value")).write.text(closing)
+        if text:
+            spark.range(1).select(F.lit(flush).alias("value")).write.text(closing)
+        else:
+            _closing_row(df.select(*columns), flush, ts).write.parquet(closing)
         files += data_files(spark, closing)
     start = first_modified or int(time.time() * 1000) - 10 * len(files)
     for i, name in enumerate(files):
@@ -165,24 +171,45 @@ def write_replay(
     return files
 
 
+def _closing_row(like: DataFrame, flush: str, ts: str) -> DataFrame:
+    """The closing line as one row with the columns of a table."""
+    fields = flush.split(",")
+    values = {name: fields[place] for name, place in schema.POSITIONS.items()}
+    at = datetime.fromisoformat(values.pop("date"))
+    known = {f.name: values.get(f.name) for f in like.schema.fields}
+    return with_flush_row(like.limit(0), at, ts, **{k: v for k, v in known.items() if k != ts})
+
+
 def _replay_order(path: str) -> tuple[str, int, str]:
     day, part = re.search(r"event_day=([^/]+)/part-(\d+)", path).groups()
     return day, int(part), path
 
 
 def write_replay_kafka(
-    df: DataFrame, servers: str, topic: str, ts: str = "event_ts", value: str = "value"
+    df: DataFrame,
+    servers: str,
+    topic: str,
+    ts: str = "event_ts",
+    value: str = "value",
+    send: Callable[[DataFrame], None] | None = None,
 ) -> None:
-    """Send lines to a topic in event order. Needs the Kafka connector on the class path.
+    """Send lines to a topic, a day after the other. Needs the Kafka connector on the class path.
 
-    Order holds within each partition of the topic; give the reading stream a watermark delay
-    that covers the spread between partitions.
+    The rows of one day are sent by many tasks at once and arrive in any order; a day is complete
+    before the next begins. Give the reading stream a watermark delay of a day at least, or it
+    drops rows as late. ``send`` takes the place of the Kafka writer. The table is staged, as every
+    day reads it; only the list of days reaches the driver.
     """
-    (
-        df.orderBy(ts, value)
-        .select(F.col(value).cast("string").alias("value"))
-        .write.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-        .save()
-    )
+    rows = stage(df.select(F.to_date(ts).alias("day"), F.col(value).cast("string").alias("value")), "send")
+    days = [r["day"] for r in rows.select("day").distinct().orderBy("day").collect()]
+    for day in days:
+        lines = rows.where(F.col("day").eqNullSafe(F.lit(day))).select("value")
+        if send:
+            send(lines)
+        else:
+            (
+                lines.write.format("kafka")
+                .option("kafka.bootstrap.servers", servers)
+                .option("topic", topic)
+                .save()
+            )

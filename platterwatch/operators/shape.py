@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platterwatch import schema
-from platterwatch.functions import day_text, fixed, joined, micros_text
-from platterwatch.operators.ranking import ITEMS
+from platterwatch.functions import day_text, fixed, joined, micros_text, pair_text, text_of
+from platterwatch.operators.ranking import ITEMS, device_lists
 
 
 def window_label(style: str = "day") -> Column:
@@ -17,27 +19,30 @@ def window_label(style: str = "day") -> Column:
 
 
 def stats_lines(stats: DataFrame, key: str = "vault_id", label: str = "day") -> DataFrame:
-    """Add ``line``: ``date,key,count,mean,stddev`` with three decimals."""
+    """Add ``line``: ``date,key,count,mean,stddev`` with three decimals; null fields are empty."""
     line = F.concat_ws(
         ",",
         window_label(label),
-        F.col(key).cast("string"),
-        F.col("n_tuples").cast("string"),
+        text_of(F.col(key)),
+        text_of(F.col("n_tuples")),
         fixed(F.col("mean")),
         fixed(F.col("stddev")),
     )
     return stats.withColumn("line", line)
 
 
-def window_rankings(ranked: DataFrame, key: str = "vault_id") -> DataFrame:
-    """One row per (window, part) with the list ``rankings`` in rank order.
+def window_rankings(
+    rows: DataFrame, parts: int, key: str = "vault_id", items: tuple[str, ...] = ITEMS
+) -> DataFrame:
+    """One row per (window, part) with the list ``rankings`` in rank order, from one row per device.
 
     A list has at most k entries per window.
     """
-    windows = [c for c in ("window_days", "window_start") if c in ranked.columns]
-    entry = F.struct("rank", key, "failures", "hdds")
-    extra = ["max_ingest_ts"] if "max_ingest_ts" in ranked.columns else []
-    return ranked.groupBy(*windows, "part").agg(
+    lists = device_lists(rows, parts, items)
+    windows = [c for c in ("window_days", "window_start") if c in lists.columns]
+    entry = F.struct("rank", key, "group_failures", "hdds")
+    extra = ["max_ingest_ts"] if "max_ingest_ts" in lists.columns else []
+    return lists.groupBy(*windows, "part").agg(
         F.sum("n_tuples").alias("n_tuples"),
         F.sort_array(F.collect_list(entry)).alias("rankings"),
         *[F.max(name).alias(name) for name in extra],
@@ -45,51 +50,64 @@ def window_rankings(ranked: DataFrame, key: str = "vault_id") -> DataFrame:
 
 
 def rank_lines(
-    ranked: DataFrame,
+    rows: DataFrame,
+    parts: int,
     key: str = "vault_id",
     items: tuple[str, ...] = ITEMS,
     label: str = "day",
 ) -> DataFrame:
-    """``line``: the window's label, then ``,key,failures,(item,item,...)`` per ranked group."""
+    """``line``: the window's label, then ``,key,failures,(item,item,...)`` per ranked group.
+
+    With more than one part, the part's number follows the label and the rank stands before each
+    group, so that a line cannot be taken for a ranking of its own.
+    """
 
     def entry_text(entry: Column) -> Column:
         return F.concat(
+            F.concat(F.lit(","), entry["rank"].cast("string")) if parts > 1 else F.lit(""),
             F.lit(","),
-            entry[key].cast("string"),
+            text_of(entry[key]),
             F.lit(","),
-            entry["failures"].cast("string"),
+            text_of(entry["group_failures"]),
             F.lit(",("),
             joined(entry["hdds"], items),
             F.lit(")"),
         )
 
-    wins = window_rankings(ranked, key)
+    wins = window_rankings(rows, parts, key, items)
+    head = window_label(label)
+    if parts > 1:
+        head = F.concat(head, F.lit(","), F.col("part").cast("string"))
     body = F.array_join(F.transform(F.col("rankings"), entry_text), "")
-    return wins.withColumn("line", F.concat(window_label(label), body)).drop("rankings")
+    return wins.withColumn("line", F.concat(head, body)).drop("rankings")
+
+
+def _has_rank(rank: int) -> Callable[[Column], Column]:
+    return lambda entry: entry["rank"] == rank
 
 
 def rank_wide(
-    ranked: DataFrame,
+    rows: DataFrame,
+    parts: int,
     key: str = "vault_id",
     items: tuple[str, ...] = ITEMS,
     k: int = schema.TOP_K,
     label: str = "micros",
 ) -> DataFrame:
-    """One row per (window, part): ``ts`` and k times (``key_i``, ``failures_i``, ``hdds_i``).
+    """One row per (window, part): ``ts`` and k times (``key_i``, ``group_failures_i``, ``hdds_i``),
+    where i is the rank.
 
-    Groups beyond the ranking's length are padded with an empty text, 0 and an empty list; each
+    Ranks without devices in the row are padded with an empty text, 0 and an empty list; each
     list entry is the comma-joined text of one device.
     """
-    wins = window_rankings(ranked, key)
+    wins = window_rankings(rows, parts, key, items)
     columns = []
-    for i in range(k):
-        entry = F.get("rankings", F.lit(i))
-        names = F.transform(
-            entry["hdds"], lambda d: F.concat_ws(",", *[d[f].cast("string") for f in items])
-        )
+    for i in range(1, k + 1):
+        entry = F.get(F.filter("rankings", _has_rank(i)), F.lit(0))
+        names = F.transform(entry["hdds"], lambda d: pair_text(d, items))
         columns += [
-            F.coalesce(entry[key].cast("string"), F.lit("")).alias(f"{key}_{i + 1}"),
-            F.coalesce(entry["failures"], F.lit(0)).alias(f"failures_{i + 1}"),
-            F.coalesce(names, F.array().cast("array<string>")).alias(f"hdds_{i + 1}"),
+            text_of(entry[key]).alias(f"{key}_{i}"),
+            F.coalesce(entry["group_failures"], F.lit(0)).alias(f"group_failures_{i}"),
+            F.coalesce(names, F.array().cast("array<string>")).alias(f"hdds_{i}"),
         ]
     return wins.select(window_label(label).alias("ts"), "part", *columns)

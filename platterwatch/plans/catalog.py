@@ -41,12 +41,17 @@ WINDOWS = {
 }
 # The range of query 1 on these tables, where user ids take the place of vault ids.
 LO, HI = 0, 20
+PARTS = 3
 DIGITS = 6
 
 
-def _events(spark: SparkSession, folder: str) -> DataFrame:
+def _utc(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return read_events(spark, folder)
+    return spark
+
+
+def _events(spark: SparkSession, folder: str) -> DataFrame:
+    return read_events(_utc(spark), folder)
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -55,10 +60,6 @@ def _rounded(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(F.round(c, DIGITS + 3), DIGITS) for c in ("mean", "stddev")})
 
 
-def _hdds_text(df: DataFrame, items: tuple[str, ...] = ITEMS) -> DataFrame:
-    return df.withColumn("hdds", joined(F.col("hdds"), items))
-
-
 def _stats(name: str) -> Query:
     return lambda spark, folder: _rounded(stats.window_stats(_events(spark, folder), WINDOWS[name]))
 
@@ -73,7 +74,7 @@ def _query1(name: str) -> Query:
 def _rank(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         window = WINDOWS[name]
-        return _hdds_text(query2(_events(spark, folder), [window])[window.name])
+        return query2(_events(spark, folder), [window])[window.name]
 
     return run
 
@@ -84,7 +85,7 @@ def _three() -> list[DayWindow]:
 
 def global_top10(spark: SparkSession, folder: str) -> DataFrame:
     devices = ranking.device_failures(_events(spark, folder), WINDOWS["1d"])
-    return _hdds_text(ranking.rank_globally(stage(devices, "device_failures")))
+    return ranking.rank_globally(stage(devices, "device_failures"))
 
 
 def rollup_stats_3d(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,7 +95,7 @@ def rollup_stats_3d(spark: SparkSession, folder: str) -> DataFrame:
 
 def rollup_rank_3d(spark: SparkSession, folder: str) -> DataFrame:
     ranked = query2_rollup(_events(spark, folder), [WINDOWS["3d"]])
-    return _hdds_text(ranked.drop("window_days"))
+    return ranked.drop("window_days")
 
 
 def stats_all_windows(spark: SparkSession, folder: str) -> DataFrame:
@@ -102,7 +103,7 @@ def stats_all_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rank_all_windows(spark: SparkSession, folder: str) -> DataFrame:
-    return _hdds_text(query2_rollup(_events(spark, folder), _three()))
+    return query2_rollup(_events(spark, folder), _three())
 
 
 def stats_lines_1d(spark: SparkSession, folder: str) -> DataFrame:
@@ -112,23 +113,50 @@ def stats_lines_1d(spark: SparkSession, folder: str) -> DataFrame:
 
 def rank_lines_1d(spark: SparkSession, folder: str) -> DataFrame:
     ranked = ranking.window_top_k(_events(spark, folder), WINDOWS["1d"])
-    return shape.rank_lines(ranked).select("line", "n_tuples")
+    return shape.rank_lines(ranked, parts=1).select("line", "n_tuples")
+
+
+def rank_lines_parts_1d(spark: SparkSession, folder: str) -> DataFrame:
+    ranked = ranking.window_top_k(_events(spark, folder), WINDOWS["1d"])
+    return shape.rank_lines(ranked, parts=PARTS).select("part", "line", "n_tuples")
 
 
-def _wide_text(ranked: DataFrame) -> DataFrame:
-    wide = shape.rank_wide(ranked)
+def rank_lists_parts_1d(spark: SparkSession, folder: str) -> DataFrame:
+    ranked = ranking.window_top_k(_events(spark, folder), WINDOWS["1d"])
+    lists = ranking.device_lists(ranked, PARTS)
+    return lists.withColumn("hdds", joined(F.col("hdds"), ITEMS))
+
+
+def rank_lines_null_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Clicks count as failures, too, and have neither group nor model."""
+    events = read_events(_utc(spark), folder, keep=("event_type",))
+    click = F.col("event_type") == "click"
+    nulled = events.withColumns({
+        KEY: F.when(~click, F.col(KEY)), "model": F.when(~click, F.col("model")),
+        "failure": F.when(click, 1).otherwise(F.col("failure")),
+    })
+    ranked = ranking.window_top_k(nulled, WINDOWS["1d"])
+    return shape.rank_lines(ranked, parts=1).select("line", "n_tuples")
+
+
+def _wide_text(ranked: DataFrame, parts: int) -> DataFrame:
+    wide = shape.rank_wide(ranked, parts)
     texts = {c: F.array_join(c, ";") for c in wide.columns if c.startswith("hdds_")}
     return wide.withColumns(texts)
 
 
 def rank_wide_1d(spark: SparkSession, folder: str) -> DataFrame:
-    return _wide_text(ranking.window_top_k(_events(spark, folder), WINDOWS["1d"]))
+    return _wide_text(ranking.window_top_k(_events(spark, folder), WINDOWS["1d"]), parts=1)
+
+
+def rank_wide_parts_1d(spark: SparkSession, folder: str) -> DataFrame:
+    return _wide_text(ranking.window_top_k(_events(spark, folder), WINDOWS["1d"]), PARTS)
 
 
 def global_wide_3d(spark: SparkSession, folder: str) -> DataFrame:
     """The ten best (window, group) pairs of all windows, one wide row per window among them."""
     devices = ranking.device_failures(_events(spark, folder), WINDOWS["3d"])
-    return _wide_text(ranking.rank_globally(stage(devices, "device_failures")))
+    return _wide_text(ranking.rank_globally(stage(devices, "device_failures")), parts=1)
 
 
 def parse_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -164,6 +192,50 @@ def dataset_scan(spark: SparkSession, folder: str) -> DataFrame:
     return parse.valid_rows(parse.parse_telemetry(lines)).drop("ingest_ts")
 
 
+def _written_lines(spark: SparkSession, folder: str, value) -> DataFrame:
+    """The events as lines of a CSV dataset that is written and read back."""
+    events = _events(spark, folder)
+    path = scratch_path(spark, "dataset")
+    events.select(value(events).alias("value")).write.text(path)
+    return line_sources.read_dataset_lines(spark, path)
+
+
+def dataset_wide_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of 45 fields keep all of them."""
+    wide = lambda events: F.concat(parse.line_of(events), F.lit(",a,,c,d,,f"))
+    return _written_lines(spark, folder, wide).select("value")
+
+
+def dataset_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    """Models in CSV quotes, with a quote inside."""
+
+    def quoted(events: DataFrame):
+        return F.regexp_replace(parse.line_of(events), r"^([^,]*,[^,]*,)(M)([^,]*)", '$1"$2""$3"')
+
+    lines = _written_lines(spark, folder, quoted)
+    return parse.valid_rows(parse.parse_telemetry(lines)).drop("ingest_ts")
+
+
+def replay_multi_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Three files of unequal length keep their order and that of their lines."""
+    events = _events(spark, folder)
+    path = scratch_path(spark, "files")
+    last = events.agg(F.max("event_id")).first()[0]
+    edges = [-1, last // 50, last // 3, last]
+    for k, (low, high) in enumerate(zip(edges[:-1], edges[1:])):
+        rows = events.where((F.col("event_id") > low) & (F.col("event_id") <= high))
+        lines = rows.coalesce(1).sortWithinPartitions("event_id")
+        lines.select(parse.line_of(events).alias("value")).write.text(f"{path}/{k}")
+    lines = line_sources.read_dataset_lines(spark, path)
+    return replay.restamp_lines(lines, order=line_sources.FILE_ORDER).select("value")
+
+
+def restamp_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that are equal all over: days and groups, many times each."""
+    rows = _events(spark, folder).select(F.date_trunc("day", "event_ts").alias("event_ts"), "failure")
+    return replay.restamp_even(rows, order=("failure",))
+
+
 def restamp_even(spark: SparkSession, folder: str) -> DataFrame:
     rows = _events(spark, folder).select("event_id", "event_ts")
     return replay.restamp_even(rows, order=("event_id",))
@@ -174,6 +246,11 @@ def restamp_exact(spark: SparkSession, folder: str) -> DataFrame:
     return replay.restamp_even(rows, order=("event_id",), exact=True)
 
 
+def restamp_rounded(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _events(spark, folder).select("event_id", "event_ts")
+    return replay.restamp_even(rows, order=("event_id",), exact=False)
+
+
 def restamp_lines(spark: SparkSession, folder: str) -> DataFrame:
     events = _events(spark, folder)
     lines = events.select("event_id", parse.line_of(events).alias("value"))
@@ -188,7 +265,7 @@ def coverage_1d(spark: SparkSession, folder: str) -> DataFrame:
 
 def coverage_rank_1d(spark: SparkSession, folder: str) -> DataFrame:
     ranked = ranking.window_top_k(_events(spark, folder), WINDOWS["1d"])
-    return metrics.coverage_metrics(ranked, ["window_start"])
+    return metrics.coverage_metrics(ranking.ranked_groups(ranked), ["window_start"])
 
 
 def latency_1d(spark: SparkSession, folder: str) -> DataFrame:
@@ -203,7 +280,7 @@ def latency_1d(spark: SparkSession, folder: str) -> DataFrame:
 def lineitem_returns_rank(spark: SparkSession, folder: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     window = DayWindow(23, LINEITEM_ORIGIN)
-    return _hdds_text(ranking.window_top_k(read_returns(spark, folder), window))
+    return ranking.window_top_k(read_returns(spark, folder), window)
 
 
 # Streams: the whole table goes through a stream and a closing row shuts the last window.
@@ -249,7 +326,7 @@ def stream_stats_1d(spark: SparkSession, folder: str) -> DataFrame:
 def _ranked_rows(spark: SparkSession, folder: str, path: str, form: str) -> DataFrame:
     like = ranking.window_top_k(_events(spark, folder), WINDOWS["1d"], staged=False)
     schema = StructType([*like.schema.fields, StructField("batch_id", IntegerType())])
-    return _hdds_text(sinks.read_documents(spark, path, schema, form))
+    return sinks.read_documents(spark, path, schema, form)
 
 
 def _closed_ranks(spark: SparkSession, folder: str, form: str) -> DataFrame:
@@ -331,13 +408,22 @@ QUERIES: dict[str, Query] = {
     "rank_all_windows": rank_all_windows,
     "stats_lines_1d": stats_lines_1d,
     "rank_lines_1d": rank_lines_1d,
+    "rank_lines_parts_1d": rank_lines_parts_1d,
+    "rank_lists_parts_1d": rank_lists_parts_1d,
+    "rank_lines_null_key": rank_lines_null_key,
     "rank_wide_1d": rank_wide_1d,
+    "rank_wide_parts_1d": rank_wide_parts_1d,
     "global_wide_3d": global_wide_3d,
     "parse_lines": parse_lines,
     "parse_rejects": parse_rejects,
     "dataset_scan": dataset_scan,
+    "dataset_wide_rows": dataset_wide_rows,
+    "dataset_quotes": dataset_quotes,
     "restamp_even": restamp_even,
     "restamp_exact": restamp_exact,
+    "restamp_rounded": restamp_rounded,
+    "restamp_duplicates": restamp_duplicates,
+    "replay_multi_file": replay_multi_file,
     "restamp_lines": restamp_lines,
     "coverage_1d": coverage_1d,
     "coverage_rank_1d": coverage_rank_1d,

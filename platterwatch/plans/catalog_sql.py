@@ -44,48 +44,59 @@ SELECT {extra} window_start, vault_id, n_tuples,
 FROM ({stats(days, where)}) s"""
 
 
+def per_device(days: int, origin: str = ORIGIN) -> str:
+    return f"""
+SELECT {bucket(days, origin=origin)} AS window_start, vault_id, model, serial_number,
+       CAST(sum(failure) AS BIGINT) AS failures, count(*) AS n_tuples
+FROM t WHERE failure > 0 GROUP BY 1, 2, 3, 4"""
+
+
 def totals(days: int, origin: str = ORIGIN) -> str:
     return f"""
-SELECT window_start, vault_id, CAST(sum(f) AS BIGINT) AS failures,
-       CAST(sum(c) AS BIGINT) AS n_tuples, count(*) AS n_devices,
-       string_agg(model || ',' || serial_number, ',' ORDER BY model, serial_number) AS hdds,
-       string_agg(model || ',' || serial_number, ';' ORDER BY model, serial_number) AS hdd_list
-FROM (
-  SELECT {bucket(days, origin=origin)} AS window_start, vault_id, model, serial_number,
-         sum(failure) AS f, count(*) AS c
-  FROM t WHERE failure > 0 GROUP BY 1, 2, 3, 4
-) d
+SELECT window_start, vault_id, CAST(sum(failures) AS BIGINT) AS group_failures,
+       count(*) AS group_devices
+FROM ({per_device(days, origin)}) d
 GROUP BY 1, 2"""
 
 
 def ranked(days: int, origin: str = ORIGIN) -> str:
     return f"""
 SELECT * FROM (
-  SELECT x.*, CAST(row_number() OVER (
-           PARTITION BY window_start ORDER BY failures DESC, vault_id) AS INTEGER) AS rank
+  SELECT x.*, CAST(row_number() OVER (PARTITION BY window_start
+           ORDER BY group_failures DESC, vault_id NULLS FIRST) AS INTEGER) AS rank
   FROM ({totals(days, origin)}) x
 ) y WHERE rank <= 10"""
 
 
-def rank(days: int, extra: str = "", origin: str = ORIGIN) -> str:
+def best_of_all(days: int, origin: str = ORIGIN) -> str:
+    order = "group_failures DESC, window_start, vault_id NULLS FIRST"
     return f"""
-SELECT {extra} window_start, rank, vault_id, failures, n_tuples, n_devices,
-       CAST(0 AS INTEGER) AS part, hdds
-FROM ({ranked(days, origin)}) r"""
+SELECT x.*, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS rank
+FROM ({totals(days, origin)}) x
+ORDER BY {order} LIMIT 10"""
 
 
-def best_of_all(days: int) -> str:
+def rank(days: int, extra: str = "", origin: str = ORIGIN, groups=ranked) -> str:
     return f"""
-SELECT x.*, CAST(row_number() OVER (ORDER BY failures DESC, window_start, vault_id) AS INTEGER)
-         AS rank
-FROM ({totals(days)}) x
-ORDER BY failures DESC, window_start, vault_id LIMIT 10"""
+SELECT {extra} r.window_start, r.rank, r.vault_id, r.group_failures, r.group_devices,
+       d.model, d.serial_number, d.failures, d.n_tuples
+FROM ({groups(days, origin)}) r JOIN ({per_device(days, origin)}) d
+  ON d.window_start = r.window_start AND d.vault_id IS NOT DISTINCT FROM r.vault_id"""
 
 
-GLOBAL_TOP10 = f"""
-SELECT window_start, rank, vault_id, failures, n_tuples, n_devices, CAST(0 AS INTEGER) AS part,
-       hdds
-FROM ({best_of_all(1)}) x"""
+def lists(days: int, parts: int = 1, groups=ranked) -> str:
+    """One row per (window, part, group) with its devices as text."""
+    device = "coalesce(model, '') || ',' || coalesce(serial_number, '')"
+    order = "ORDER BY model NULLS FIRST, serial_number NULLS FIRST"
+    return f"""
+SELECT window_start, rank, vault_id, group_failures, group_devices, part,
+       CAST(sum(n_tuples) AS BIGINT) AS n_tuples,
+       string_agg(device, ',' {order}) AS hdds, string_agg(device, ';' {order}) AS hdd_list
+FROM (
+  SELECT *, {device} AS device,
+         CAST(CAST('0x' || substr(md5({device}), 1, 6) AS INTEGER) % {parts} AS INTEGER) AS part
+  FROM ({rank(days, groups=groups)}) x
+) y GROUP BY 1, 2, 3, 4, 5, 6"""
 
 
 def three_decimals(x: str) -> str:
@@ -100,28 +111,41 @@ SELECT strftime(window_start, '%Y-%m-%d') || ',' || vault_id || ',' || n_tuples
 FROM ({stats(days, where)}) s"""
 
 
-RANK_LINES = f"""
-SELECT strftime(window_start, '%Y-%m-%d') || string_agg(
-         ',' || vault_id || ',' || failures || ',(' || hdds || ')', '' ORDER BY rank) AS line,
+def rank_lines(parts: int) -> str:
+    head = "strftime(window_start, '%Y-%m-%d')" + (" || ',' || part" if parts > 1 else "")
+    group = "',' || rank || ','" if parts > 1 else "','"
+    group += " || coalesce(CAST(vault_id AS VARCHAR), '') || ',' || group_failures"
+    return f"""
+SELECT part, {head} || string_agg({group} || ',(' || hdds || ')', '' ORDER BY rank) AS line,
        CAST(sum(n_tuples) AS BIGINT) AS n_tuples
-FROM ({ranked(1)}) r
-GROUP BY window_start"""
+FROM ({lists(1, parts)}) r
+GROUP BY window_start, part"""
+
+
+RANK_LINES = f"SELECT line, n_tuples FROM ({rank_lines(1)}) l"
+RANK_LISTS = f"SELECT * EXCLUDE (hdd_list) FROM ({lists(1, 3)}) l"
+NULL_KEY = EVENTS.replace("t AS (", "t0 AS (").replace("SELECT event_id,", "SELECT event_type, event_id,") + """,
+t AS (
+  SELECT event_ts, temp, serial_number,
+         CASE WHEN event_type = 'click' THEN NULL ELSE vault_id END AS vault_id,
+         CASE WHEN event_type = 'click' THEN NULL ELSE model END AS model,
+         CASE WHEN event_type = 'click' THEN 1 ELSE failure END AS failure
+  FROM t0
+)"""
 
-def wide(ranking: str) -> str:
+
+def wide(days: int, parts: int = 1, groups=ranked) -> str:
     columns = ",\n".join(
-        f"""coalesce(max(CAST(vault_id AS VARCHAR)) FILTER (place = {i}), '') AS vault_id_{i},
-       coalesce(max(failures) FILTER (place = {i}), 0) AS failures_{i},
-       coalesce(max(hdd_list) FILTER (place = {i}), '') AS hdds_{i}"""
+        f"""coalesce(max(CAST(vault_id AS VARCHAR)) FILTER (rank = {i}), '') AS vault_id_{i},
+       coalesce(max(group_failures) FILTER (rank = {i}), 0) AS group_failures_{i},
+       coalesce(max(hdd_list) FILTER (rank = {i}), '') AS hdds_{i}"""
         for i in range(1, 11)
     )
     return f"""
-SELECT strftime(window_start, '%Y-%m-%dT%H:%M:%S.%f') AS ts, CAST(0 AS INTEGER) AS part,
+SELECT strftime(window_start, '%Y-%m-%dT%H:%M:%S.%f') AS ts, part,
        {columns}
-FROM (
-  SELECT r.*, row_number() OVER (PARTITION BY window_start ORDER BY rank) AS place
-  FROM ({ranking}) r
-) p
-GROUP BY window_start"""
+FROM ({lists(days, parts, groups)}) p
+GROUP BY window_start, part"""
 
 
 PARSED = """
@@ -157,18 +181,32 @@ RESTAMP_EXACT = """
 SELECT event_id,
        day + to_microseconds(CAST(CAST(i AS HUGEINT) * 86400000000 // n AS BIGINT)) AS event_ts
 FROM n"""
-RESTAMP_LINES = f"""
-SELECT event_id, strftime(day + to_microseconds(i * {STEP}), '%Y-%m-%dT%H:%M:%S.%f') || ',' ||
+EXACT = "to_microseconds(CAST(CAST(i AS HUGEINT) * 86400000000 // n AS BIGINT))"
+
+
+def line(at: str) -> str:
+    return f"""strftime({at}, '%Y-%m-%dT%H:%M:%S.%f') || ',' ||
        serial_number || ',' || model || ',' || failure || ',' || vault_id ||
-       repeat(',', 21) || CAST(temp AS VARCHAR) || repeat(',', 13) AS value
-FROM n"""
+       repeat(',', 21) || CAST(temp AS VARCHAR) || repeat(',', 13)"""
+
+
+RESTAMP_LINES = f"SELECT event_id, {line('day + ' + EXACT)} AS value FROM n"
+DUPLICATES = """
+SELECT failure, day + to_microseconds(CAST(CAST(i AS HUGEINT) * 86400000000 // n AS BIGINT))
+         AS event_ts
+FROM (
+  SELECT failure, date_trunc('day', event_ts) AS day,
+         row_number() OVER (PARTITION BY date_trunc('day', event_ts) ORDER BY failure) - 1 AS i,
+         count(*) OVER (PARTITION BY date_trunc('day', event_ts)) AS n
+  FROM t
+) d"""
 
 COVERAGE = f"""
 SELECT window_start, count(*) AS n_results, CAST(sum(n_tuples) AS BIGINT) AS n_tuples
 FROM ({stats(1)}) s GROUP BY 1"""
 COVERAGE_RANK = f"""
 SELECT window_start, count(*) AS n_results, CAST(sum(n_tuples) AS BIGINT) AS n_tuples
-FROM ({ranked(1)}) r GROUP BY 1"""
+FROM ({lists(1)}) r GROUP BY 1"""
 LATENCY = f"""
 SELECT {bucket(1)} AS window_start, vault_id, count(*) AS n_tuples,
        epoch_us({bucket(1)} + INTERVAL '1 day') // 1000 - epoch_us(max(event_ts)) // 1000
@@ -185,7 +223,7 @@ def _union(make, days: tuple[int, ...]) -> str:
 
 
 def _restamped_stats_lines(days: int) -> str:
-    moved = f"r AS (SELECT vault_id, temp, day + to_microseconds(i * {STEP}) AS event_ts FROM n)"
+    moved = f"r AS (SELECT vault_id, temp, day + {EXACT} AS event_ts FROM n)"
     body = stats_lines(days, IN_RANGE).replace("FROM t WHERE", "FROM r WHERE")
     return f"WITH {EVENTS}, {NUMBERED}, {moved} {body}"
 
@@ -201,19 +239,28 @@ ORACLE: dict[str, str] = {
         for name in ("1d", "3d", "23d")
     },
     **{f"rank_{name}": _on_events(rank(d)) for name, d in DAYS.items()},
-    "global_top10": _on_events(GLOBAL_TOP10),
+    "global_top10": _on_events(rank(1, groups=best_of_all)),
     "rollup_stats_3d": _on_events(rounded_stats(3)),
     "rollup_rank_3d": _on_events(rank(3)),
     "stats_all_windows": _on_events(_union(rounded_stats, (1, 3, 23))),
     "rank_all_windows": _on_events(_union(rank, (1, 3, 23))),
     "stats_lines_1d": _on_events(stats_lines(1)),
     "rank_lines_1d": _on_events(RANK_LINES),
-    "rank_wide_1d": _on_events(wide(ranked(1))),
-    "global_wide_3d": _on_events(wide(best_of_all(3))),
+    "rank_lines_parts_1d": _on_events(rank_lines(3)),
+    "rank_lists_parts_1d": _on_events(RANK_LISTS),
+    "rank_lines_null_key": f"WITH {NULL_KEY} {RANK_LINES}",
+    "rank_wide_1d": _on_events(wide(1)),
+    "rank_wide_parts_1d": _on_events(wide(1, 3)),
+    "global_wide_3d": _on_events(wide(3, groups=best_of_all)),
     "parse_lines": _on_events(PARSED),
     "parse_rejects": REJECTS,
     "dataset_scan": _on_events(PARSED),
-    "restamp_even": _on_events(RESTAMP, NUMBERED),
+    "dataset_wide_rows": _on_events(f"SELECT {line('event_ts')} || ',a,,c,d,,f' AS value FROM t"),
+    "dataset_quotes": _on_events(PARSED.replace(" model,", " 'M\"' || substr(model, 2) AS model,")),
+    "restamp_even": _on_events(RESTAMP_EXACT, NUMBERED),
+    "restamp_rounded": _on_events(RESTAMP, NUMBERED),
+    "restamp_duplicates": _on_events(DUPLICATES),
+    "replay_multi_file": _on_events(f"SELECT value FROM ({RESTAMP_LINES}) l", NUMBERED),
     "restamp_exact": _on_events(RESTAMP_EXACT, NUMBERED),
     "restamp_lines": _on_events(RESTAMP_LINES, NUMBERED),
     "coverage_1d": _on_events(COVERAGE),

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from platterwatch import schema
 from platterwatch.operators import metrics, parse, shape
-from platterwatch.operators.ranking import device_failures, rank_groups
-from platterwatch.operators.rollup import DAY, day_stats, rollup_failures, rollup_stats
+from platterwatch.operators.ranking import ranked_groups
+from platterwatch.operators.rollup import day_stats, rollup_stats
 from platterwatch.operators.windows import DayWindow, reference_windows
 from platterwatch.plans.query1 import query1
+from platterwatch.plans.query2 import query2_rollup
 from platterwatch.sources.storage import scratch_scope, stage
 from platterwatch.streaming import sinks
 from platterwatch.streaming.ranking import append_top_k, live_top_k
@@ -25,17 +26,20 @@ def result_path(output: str, window: DayWindow, number: int) -> str:
     return f"{output.rstrip('/')}/query_{window.days}_{number}"
 
 
-def _shaped(result: DataFrame, number: int, form: str) -> DataFrame:
+def _shaped(result: DataFrame, number: int, form: str, parts: int) -> DataFrame:
     if form == "documents":
         return result
     if number == 1:
         lined = shape.stats_lines(result)
         return lined if form == "lines" else result
-    return shape.rank_lines(result) if form == "lines" else shape.rank_wide(result)
+    if form == "lines":
+        return shape.rank_lines(result, parts)
+    return shape.rank_wide(result, parts)
 
 
-def _metrics_writer(path: str) -> BatchWriter:
+def _metrics_writer(path: str, number: int) -> BatchWriter:
     def measured(batch: DataFrame) -> DataFrame:
+        batch = ranked_groups(batch) if number == 2 else batch
         return metrics.coverage_metrics(metrics.with_latency(batch)).withColumn(
             "emitted", F.current_timestamp()
         )
@@ -43,17 +47,19 @@ def _metrics_writer(path: str) -> BatchWriter:
     return sinks.document_writer(path, measured)
 
 
-def _writer(output: str, window: DayWindow, number: int, form: str) -> BatchWriter:
+def _writer(
+    output: str, window: DayWindow, number: int, form: str, parts: int
+) -> BatchWriter:
     path = result_path(output, window, number)
 
     def shaped(batch: DataFrame) -> DataFrame:
-        return _shaped(batch, number, form)
+        return _shaped(batch, number, form, parts)
 
     if form == "lines":
         results = sinks.text_writer(path, shaped)
     else:
         results = sinks.document_writer(path, shaped)
-    return sinks.fan_out(results, _metrics_writer(f"{path}_metrics"))
+    return sinks.fan_out(results, _metrics_writer(f"{path}_metrics", number))
 
 
 def stream_job(
@@ -72,12 +78,14 @@ def stream_job(
     hi: int = schema.VAULT_RANGE[1],
     k: int = schema.TOP_K,
     rejects: str | None = None,
+    parts: int = 1,
 ) -> None:
     """Run query 1 or 2 over a stream of lines, one named stream per window, until they end.
 
     Every stream writes its results and their latency and coverage. ``live`` writes the current
     ranking of the windows that a micro-batch changes, instead of one per closed window.
     ``rejects`` names a folder for the lines that cannot be used, written by a stream of its own.
+    ``parts`` is the number of lists into which the devices of a ranked group go.
     """
     windows = windows or reference_windows()
     use_disk_state(spark)
@@ -88,7 +96,7 @@ def stream_job(
         writers["rejects"] = sinks.sink_documents(parse.rejected_rows(parsed), rejects)
     for window in windows:
         name = f"query_{window.days}_{number}"
-        writer = _writer(output, window, number, form)
+        writer = _writer(output, window, number, form, parts)
         if number == 1:
             result = query1(rows, [window], lo, hi)[window.name]
             stream = result.writeStream.outputMode("append").foreachBatch(writer)
@@ -113,6 +121,7 @@ def batch_job(
     hi: int = schema.VAULT_RANGE[1],
     k: int = schema.TOP_K,
     rejects: str | None = None,
+    parts: int = 1,
 ) -> None:
     """Run query 1 or 2 over a batch of lines and write one result per window.
 
@@ -128,16 +137,16 @@ def batch_job(
         if number == 1:
             partials = stage(day_stats(rows, lo=lo, hi=hi), "day_stats")
         else:
-            partials = stage(device_failures(rows, DAY), "day_devices")
+            ranked = stage(query2_rollup(rows, windows, k), "ranked")
         for window in windows:
             if number == 1:
                 result = rollup_stats(partials, [window]).drop("window_days")
             else:
-                devices = rollup_failures(partials, [window], "vault_id", ["model", "serial_number"])
-                result = rank_groups(devices.drop("window_days"), k=k)
-            out = _shaped(result, number, form)
+                result = ranked.where(F.col("window_days") == window.days).drop("window_days")
+            out = _shaped(result, number, form, parts)
             path = result_path(output, window, number)
             if form == "lines":
-                out.select("line").orderBy("line").write.mode("overwrite").text(path)
+                keys = ["window_start", "vault_id" if number == 1 else "part"]
+                out.orderBy(*keys).select("line").write.mode("overwrite").text(path)
             else:
                 out.write.mode("overwrite").json(path)

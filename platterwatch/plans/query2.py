@@ -30,7 +30,6 @@ def query2_rollup(
     flag: str = "failure",
     items: tuple[str, ...] = ITEMS,
     ts: str = "event_ts",
-    **sizes,
 ) -> DataFrame:
     """All windows in one table with ``window_days``, from one scan.
 
@@ -39,4 +38,4 @@ def query2_rollup(
     windows = windows or reference_windows()
     days = stage(device_failures(df, DAY, key, flag, items, ts), "day_devices")
     devices = stage(rollup_failures(days, windows, key, list(items)), "window_devices")
-    return rank_groups(devices, key, items, k, **sizes)
+    return rank_groups(devices, key, items, k)

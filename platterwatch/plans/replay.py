@@ -9,14 +9,13 @@ from pyspark.sql import functions as F
 
 from platterwatch import schema
 from platterwatch.functions import event_time
-from platterwatch.operators.parse import not_header
 from platterwatch.operators.replay import (
     flush_line,
     restamp_lines,
     write_replay,
     write_replay_kafka,
 )
-from platterwatch.sources.lines import dataset_lines, read_dataset
+from platterwatch.sources.lines import FILE_ORDER, read_dataset_lines
 
 
 def replay_dataset(
@@ -26,14 +25,14 @@ def replay_dataset(
     servers: str | None = None,
     topic: str = "original",
     flush_at: datetime = schema.FLUSH_AT,
-    exact: bool = False,
+    exact: bool = True,
 ) -> list[str]:
-    """Restamp a dataset and write it as replay files below ``path``, or to a Kafka topic.
+    """Restamp a dataset, in the order of its files' lines, and write it as replay files below ``path``, or to a Kafka topic.
 
     The closing line dated ``flush_at`` comes last; it has to lie past the end of every window.
     """
-    lines = dataset_lines(read_dataset(spark, dataset)).filter(not_header())
-    moved = restamp_lines(lines, exact=exact)
+    lines = read_dataset_lines(spark, dataset)
+    moved = restamp_lines(lines, order=FILE_ORDER, exact=exact)
     date = F.substring("value", 1, schema.DATE_LENGTH)
     timed = moved.withColumn("event_ts", event_time(date))
     if servers is None:

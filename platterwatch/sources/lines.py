@@ -62,13 +62,15 @@ def dataset_schema() -> T.StructType:
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     """A CSV dataset with a header row, columns by position, all as text.
 
-    The schema is given, so there is no inference pass and only used columns are converted.
+    The schema is given, so there is no inference pass and only used columns are converted. It ends
+    with the last field of a telemetry line; ``read_dataset_lines`` keeps further ones.
     """
     return (
         spark.read.schema(dataset_schema())
         .option("header", True)
         .option("enforceSchema", True)
         .option("quote", '"')
+        .option("escape", '"')
         .csv(path)
     )
 
@@ -77,3 +79,37 @@ def dataset_lines(dataset: DataFrame) -> DataFrame:
     """Dataset rows as wire lines in ``value``."""
     fields = [F.coalesce(F.col(c), F.lit("")) for c in dataset.columns]
     return dataset.select(F.concat_ws(",", *fields).alias("value"))
+
+
+# a field after its comma: quoted, with quotes inside doubled, or plain
+FIELD = r',(?:"(?:[^"]|"")*"(?=,|$)|[^,]*)'
+
+
+def read_dataset_lines(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV dataset as wire lines in ``value``: every field of every row, without CSV quotes, and
+    without header rows. ``file``, ``block`` and ``place`` give the order of the files' lines.
+
+    A quoted field may hold commas, which a wire line cannot tell from separators, but no line breaks.
+    """
+    plain = F.transform(
+        F.regexp_extract_all(F.concat(F.lit(","), F.col("value")), F.lit(FIELD), F.lit(0)),
+        lambda x: F.when(
+            x.startswith(',"') & x.endswith('"') & (F.length(x) > 2),
+            F.replace(F.substr(x, F.lit(3), F.length(x) - 3), F.lit('""'), F.lit('"')),
+        ).otherwise(F.substr(x, F.lit(2))),
+    )
+    line = F.when(F.contains(F.col("value"), F.lit('"')), F.array_join(plain, ",")).otherwise(F.col("value"))
+    return (
+        spark.read.option("recursiveFileLookup", True)
+        .text(path)
+        .select(
+            line.alias("value"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("place"),
+        )
+        .filter(not_header())
+    )
+
+
+FILE_ORDER = ("file", "block", "place")

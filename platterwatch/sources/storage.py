@@ -8,14 +8,10 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 LOCAL_SCRATCH = "platterwatch.scratch.dir"  # our own setting, used where the one above is unset
 
-# Rows up to which a materialised side table is broadcast; a row is a few fixed-width columns.
-BROADCAST_ROWS = 500_000
-
 _local = threading.local()
 
 
@@ -79,11 +75,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_or_plain(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a staged table for broadcast if it is counted to be small; leave it alone if not."""
-    return F.broadcast(table) if table.count() <= limit else table
-
-
 def _file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from platterwatch.operators.ranking import (
     device_failures,
+    device_lists,
     global_top_k,
     group_totals,
     rank_globally,
@@ -26,7 +27,7 @@ def failures(counts, at=AT):
 
 
 def listed(rows):
-    return [(r["rank"], r.vault_id, r.failures) for r in sorted(rows, key=lambda r: r["rank"])]
+    return sorted({(r["rank"], r.vault_id, r.group_failures) for r in rows})
 
 
 def test_rows_without_failure_do_not_count(telemetry):
@@ -42,14 +43,16 @@ def test_window_without_failures_has_no_row(telemetry):
 def test_same_disk_twice_is_listed_once(telemetry):
     df = telemetry([(AT, 7, 1, 20, "M", "a"), ("2023-04-01T11:00:00", 7, 1, 20, "M", "a")])
     (row,) = window_top_k(df, DAY).collect()
-    assert (row.failures, row.n_tuples, row.n_devices, len(row.hdds)) == (2, 2, 1, 1)
+    assert (row.group_failures, row.failures, row.n_tuples, row.group_devices) == (2, 2, 2, 1)
     assert row.max_ingest_ts.hour == 11
 
 
 def test_commas_in_names_do_not_collide(telemetry):
     df = telemetry([(AT, 7, 1, 20, "a,b", "c"), (AT, 7, 1, 20, "a", "b,c")])
-    (row,) = window_top_k(df, DAY).collect()
+    ranked = window_top_k(df, DAY)
+    (row,) = device_lists(ranked, 1).collect()
     assert [tuple(h) for h in row.hdds] == [("a", "b,c"), ("a,b", "c")]
+    assert ranked.count() == 2
 
 
 def test_ties_at_the_last_rank_go_to_the_lower_keys(telemetry):
@@ -61,7 +64,8 @@ def test_ties_at_the_last_rank_go_to_the_lower_keys(telemetry):
 def test_a_null_key_keeps_its_devices(telemetry):
     df = telemetry([(AT, None, 1, 20, "M", "a"), (AT, 3, 1, 20, "M", "b")])
     rows = window_top_k(df, DAY).collect()
-    assert {r.vault_id: len(r.hdds) for r in rows} == {None: 1, 3: 1}
+    assert {r.vault_id: r.group_devices for r in rows} == {None: 1, 3: 1}
+    assert rank_lines(window_top_k(df, DAY), parts=1).first().line == "2023-04-01,,1,(M,a),3,1,(M,b)"
 
 
 def test_rank_is_per_window_and_global_is_over_all(telemetry):
@@ -70,24 +74,38 @@ def test_rank_is_per_window_and_global_is_over_all(telemetry):
     )
     devices = device_failures(df, DAY)
     rows = rank_groups(devices, k=1).collect()
-    assert sorted((r.window_start.day, r.vault_id, r.failures) for r in rows) == [(1, 1, 3), (2, 2, 5)]
+    assert {(r.window_start.day, r.vault_id, r.group_failures) for r in rows} == {(1, 1, 3), (2, 2, 5)}
     best = rank_globally(devices, k=2).collect()
-    assert sorted((r.failures, r.window_start.day, r.vault_id) for r in best) == [(3, 1, 1), (5, 2, 2)]
+    assert {(r.group_failures, r.window_start.day, r.vault_id) for r in best} == {(3, 1, 1), (5, 2, 2)}
     assert [r.failures for r in global_top_k(group_totals(devices), 3).collect()] == [5, 3, 2]
 
 
-@pytest.mark.parametrize("part_devices", [1, 7, 50])
-def test_parts_hold_every_device_of_a_hot_group_once(telemetry, part_devices):
-    df = telemetry(failures({1: 120, 2: 3}))
-    rows = window_top_k(df, DAY, part_devices=part_devices).collect()
-    hot = [r for r in rows if r.vault_id == 1]
+@pytest.mark.parametrize("parts", [1, 3, 16])
+def test_parts_hold_every_device_of_a_hot_group_once(telemetry, parts):
+    ranked = window_top_k(telemetry(failures({1: 120, 2: 3})), DAY)
+    assert ranked.count() == 123
+    hot = [r for r in device_lists(ranked, parts).collect() if r.vault_id == 1]
     serials = [h.serial_number for r in hot for h in r.hdds]
     assert sorted(serials) == sorted(f"1-{i}" for i in range(120))
     assert sum(r.n_tuples for r in hot) == 120
-    assert {r.failures for r in hot} == {120} and {r["rank"] for r in hot} == {1}
-    assert max(len(r.hdds) for r in hot) < 120
-    lines = rank_lines(window_top_k(df, DAY, part_devices=part_devices)).collect()
+    assert {r.group_failures for r in hot} == {120} and {r["rank"] for r in hot} == {1}
+    assert {r.part for r in hot} == set(range(parts))
+    lines = rank_lines(ranked, parts).collect()
     assert sum(line.n_tuples for line in lines) == 123
+    if parts > 1:
+        assert all(line.line.startswith(f"2023-04-01,{line.part},1,1,120,(") for line in lines)
+
+
+def test_wide_columns_are_those_of_the_rank(telemetry):
+    """A group without a device in a part leaves its own columns empty, and no others move."""
+    ranked = window_top_k(telemetry(failures({1: 40, 2: 6, 3: 1})), DAY)
+    found = {1: [], 2: [], 3: []}
+    for row in rank_wide(ranked, parts=8).collect():
+        for rank in found:
+            assert row[f"vault_id_{rank}"] in ("", str(rank))
+            assert (row[f"vault_id_{rank}"] == "") == (row[f"hdds_{rank}"] == [])
+            found[rank] += row[f"hdds_{rank}"]
+    assert [len(x) for x in found.values()] == [40, 6, 1]
 
 
 def test_rollup_equals_direct(telemetry):
@@ -137,17 +155,17 @@ DISKS = [
 
 def test_published_line(telemetry):
     df = telemetry([("2023-04-04T01:00:00", v, 1, 20, m, s) for v, m, s in DISKS])
-    (row,) = rank_lines(window_top_k(df, DAY)).collect()
+    (row,) = rank_lines(window_top_k(df, DAY), parts=1).collect()
     assert row.line == LINE
     assert row.n_tuples == len(DISKS)
 
 
 def test_wide_form_is_padded(telemetry):
     df = telemetry(failures({5: 2, 6: 1}))
-    (row,) = rank_wide(window_top_k(df, DAY)).collect()
+    (row,) = rank_wide(window_top_k(df, DAY), parts=1).collect()
     assert row.ts == "2023-04-01T00:00:00.000000"
-    assert (row.vault_id_1, row.failures_1, row.hdds_1) == ("5", 2, ["M,5-0", "M,5-1"])
-    assert (row.vault_id_3, row.failures_3, row.hdds_3) == ("", 0, [])
+    assert (row.vault_id_1, row.group_failures_1, row.hdds_1) == ("5", 2, ["M,5-0", "M,5-1"])
+    assert (row.vault_id_3, row.group_failures_3, row.hdds_3) == ("", 0, [])
     assert len(row) == 2 + 3 * 10
 
 

@@ -11,6 +11,7 @@ from platterwatch.operators.replay import (
     restamp_lines,
     with_flush_row,
     write_replay,
+    write_replay_kafka,
 )
 from platterwatch.operators.parse import line_of
 from platterwatch.sources.storage import stage
@@ -137,3 +138,29 @@ def test_replay_as_tables(spark, tmp_path, columns):
     files = write_replay(df, path, columns=columns, text=False)
     assert len(files) >= 2
     assert spark.read.parquet(path).count() == 5
+
+
+def test_a_large_day_stays_a_day(spark):
+    at = F.lit("2023-04-01 05:00:00").cast("timestamp")
+    rows = spark.range(576_001).select("id", at.alias("event_ts"))
+    days = restamp_even(rows, order=("id",)).select(F.to_date("event_ts").alias("day")).distinct()
+    assert [str(r.day) for r in days.collect()] == ["2023-04-01"]
+
+
+def test_kafka_replay_sends_a_day_after_the_other(spark):
+    rows = [(f"2023-04-{d:02d} 0{h}:00:00", f"{d}-{h}") for d in (3, 1, 2) for h in (5, 1)]
+    table = spark.createDataFrame(rows, "t string, value string")
+    sent = []
+    write_replay_kafka(
+        table.select(F.col("t").cast("timestamp").alias("event_ts"), "value"), "", "",
+        send=lambda df: sent.append(sorted(r.value for r in df.collect())),
+    )
+    assert sent == [["1-1", "1-5"], ["2-1", "2-5"], ["3-1", "3-5"]]
+
+
+def test_typed_replay_has_a_typed_closing_row(spark, telemetry, tmp_path):
+    df = telemetry([("2023-04-01T10:00:00", 1001, 0, 20, "m", "s")])
+    path = str(tmp_path / "replay")
+    write_replay(df, path, text=False, flush=flush_line())
+    rows = spark.read.schema(df.schema).parquet(path).orderBy("event_ts").collect()
+    assert [r.vault_id for r in rows] == [1001, 0] and rows[1].failure == 0
