@@ -29,7 +29,7 @@ from platterwatch.llm.texts import per_text, ragged, runs
 LONG = 256
 BUCKETS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 64, 128, LONG)
 BUCKET_OF = [next(b for b in BUCKETS if b >= n) for n in range(LONG + 1)]
-CACHED_PIECES = 400_000
+CACHED_PIECES = 200_000
 CHUNK = 1 << 19
 NONE = np.int32(2**31 - 1)
 EMPTY = np.uint64(2**64 - 1)
@@ -88,13 +88,13 @@ class Bpe:
         ]
         left, right, rank = np.array(pairs, np.int32).reshape(-1, 3).T
         self.pairs = PairTable(left, right, rank)
-        self.pair_rank = {(a, b): r for a, b, r in pairs}
         self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         tokens = sorted((rank, token) for token, rank in ranks.items())
         size = np.zeros(tokens[-1][0] + 1, np.int64)
         for rank_, token in tokens:
             size[rank_] = len(token)
         self.token_size, self.token_at = size, np.cumsum(size) - size
+        self.tokens = {rank_: token for rank_, token in tokens}
         self.token_bytes = np.frombuffer(b"".join(t for _, t in tokens), np.uint8)
         self.clear()
 
@@ -144,7 +144,8 @@ class Bpe:
         ids = self.of_byte[np.frombuffer(data, np.uint8)].tolist()
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        get = self.pair_rank.get
+        tokens = self.tokens
+        get = lambda pair: self.ranks.get(tokens[pair[0]] + tokens[pair[1]])
         queue = [(r, k, ids[k], ids[k + 1]) for k in range(n - 1) if (r := get((ids[k], ids[k + 1]))) is not None]
         heapq.heapify(queue)
         while queue:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK_BYTES = 1 << 21  # texts are handled in runs of about this size, or singly if longer
+CHUNK_BYTES = 1 << 20  # texts are handled in runs of about this size, or singly if longer
 
 # [^\x20\x09-\x0D]+ : what the contracts call a word
 SPACED = np.ones(256, bool)
@@ -114,9 +114,8 @@ def runs(sizes: list[int], most: int = CHUNK_BYTES) -> Iterator[slice]:
 
 
 def chunked(texts: list[str | None]) -> Iterator[list[bytes]]:
-    data = encoded(texts)
-    for part in runs([len(x) for x in data]):
-        yield data[part]
+    for part in runs([len(x or "") for x in texts]):
+        yield encoded(texts[part])
 
 
 def arrow_type(kind: str) -> pa.DataType:

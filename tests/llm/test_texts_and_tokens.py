@@ -69,9 +69,13 @@ def test_long_pieces_merge_as_matrix_rows_do():
 
 def test_pair_table_finds_every_pair_and_no_other():
     own = bpe.load(RANKS, public_tokenizers.PATTERN)
-    pairs = np.array(list(own.pair_rank), np.int32)
-    found = own.pairs.find(pairs[:, 0], pairs[:, 1])
-    assert found.tolist() == list(own.pair_rank.values())
+    tokens = list(own.ranks.items())[256:6000]
+    split = [(own.ranks[t[:1]], own.ranks[t[1:]], r) for t, r in tokens if t[1:] in own.ranks]
+    left, right, rank = np.array(split, np.int32).T
+    assert own.pairs.find(left, right).tolist() == rank.tolist()
+    wrong = own.pairs.find(np.arange(5000), np.full(5000, 50_000))
+    want = [own.ranks.get(own.tokens[k] + own.tokens[50_000], int(bpe.NONE)) for k in range(5000)]
+    assert wrong.tolist() == want
     assert own.pairs.find(np.array([-1, 5]), np.array([5, -1])).tolist() == [bpe.NONE] * 2
 
 
