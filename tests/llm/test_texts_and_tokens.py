@@ -163,6 +163,7 @@ def test_shards_of_an_empty_table(empty_documents):
     assert token_shards.round_trip(empty_documents, WORDS).count() == 0
 
 
+@settings(deadline=None)
 @given(st.lists(st.binary(max_size=30), max_size=6))
 def test_words_are_those_of_the_pattern(data):
     import re
