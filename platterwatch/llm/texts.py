@@ -39,7 +39,7 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n - 1) modulo 2**64."""
-    if len(_powers.get(base, ())) < n:
+    if base not in _powers or len(_powers[base]) < n:
         size = max(n, CHUNK_BYTES + (1 << 16))
         out = np.full(size, base, np.uint64)
         out[0] = 1
