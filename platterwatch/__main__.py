@@ -10,7 +10,7 @@ from datetime import date, datetime
 
 from platterwatch import schema
 from platterwatch.operators.windows import DayWindow
-from platterwatch.plans.jobs import FORMS, batch_job, stream_job
+from platterwatch.plans.jobs import FORMS, SINKS, batch_job, stream_job
 from platterwatch.plans.replay import replay_dataset
 from platterwatch.session import session
 from platterwatch.sources.lines import read_lines, read_lines_stream
@@ -20,15 +20,20 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="platterwatch", description=__doc__)
     parser.add_argument("query", choices=("1", "2", "replay"))
     parser.add_argument("--input", help="folder of line files, or the dataset to replay")
-    parser.add_argument("--kafka", help="Kafka servers, in place of --input")
-    parser.add_argument("--topic", default="filtered")
-    parser.add_argument("--output", required=True)
+    parser.add_argument("--kafka", help="Kafka servers, in place of --input (replay: of --output)")
+    parser.add_argument("--topic", help="default: filtered, for a replay: original")
+    parser.add_argument("--kafka-option", nargs=2, action="append", default=[])
+    parser.add_argument("--output", help="folder of the results")
     parser.add_argument("--stream", action="store_true", help="treat --input as a stream")
     parser.add_argument("--checkpoint", help="folder for stream checkpoints")
     parser.add_argument("--once", action="store_true", help="stop when the input is used up")
     parser.add_argument("--every", default=schema.TRIGGER)
     parser.add_argument("--delay", default=schema.WATERMARK_DELAY)
     parser.add_argument("--live", action="store_true", help="query 2: rank with every micro-batch")
+    parser.add_argument("--overall", action="store_true", help="query 2: over all closed windows")
+    parser.add_argument("--sink", choices=SINKS, default="files", help="of a stream's results")
+    parser.add_argument("--collection", nargs=2, metavar=("URI", "DATABASE"))
+    parser.add_argument("--day-precision", action="store_true", help="cut event times to the day")
     parser.add_argument("--max-files", type=int, help="files per micro-batch")
     parser.add_argument("--state-partitions", type=int, help="fixed by the first start")
     parser.add_argument("--form", choices=FORMS, default="lines")
@@ -41,8 +46,23 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--top", type=int, default=schema.TOP_K)
     parser.add_argument("--flush-at", type=datetime.fromisoformat, default=schema.FLUSH_AT)
     args = parser.parse_args(argv)
+    if args.query == "replay":
+        if not args.input or bool(args.output) == bool(args.kafka):
+            parser.error("a replay needs --input, and either --output or --kafka")
+        return args
     if bool(args.input) == bool(args.kafka):
         parser.error("give either --input or --kafka")
+    if not args.output:
+        parser.error("give --output")
+    streamed = args.stream or args.kafka
+    if not streamed and (args.live or args.overall or args.sink != "files"):
+        parser.error("--live, --overall and --sink are for streams")
+    if args.live and args.overall:
+        parser.error("give either --live or --overall")
+    if (args.live or args.overall) and args.query != "2":
+        parser.error("--live and --overall are for query 2")
+    if args.sink == "collection" and not args.collection:
+        parser.error("--sink collection needs --collection")
     if (args.stream or args.kafka) and not args.checkpoint:
         parser.error("a stream needs --checkpoint")
     return args
@@ -53,7 +73,14 @@ def main(argv: list[str] | None = None) -> None:
     spark = session(f"platterwatch {args.query}")
     if args.query == "replay":
         replay_dataset(
-            spark, args.input, args.output, flush_at=args.flush_at, exact=not args.rounded
+            spark,
+            args.input,
+            args.output,
+            servers=args.kafka,
+            topic=args.topic or "original",
+            flush_at=args.flush_at,
+            exact=not args.rounded,
+            options=dict(args.kafka_option),
         )
         return
     number = int(args.query)
@@ -65,6 +92,7 @@ def main(argv: list[str] | None = None) -> None:
         "k": args.top,
         "rejects": args.rejects,
         "parts": args.parts,
+        "day_precision": args.day_precision,
     }
     if args.stream or args.kafka:
         lines = read_lines_stream(
@@ -72,8 +100,9 @@ def main(argv: list[str] | None = None) -> None:
             kind="kafka" if args.kafka else "files",
             path=args.input,
             servers=args.kafka,
-            topic=args.topic,
+            topic=args.topic or "filtered",
             max_files=args.max_files,
+            options=dict(args.kafka_option),
         )
         stream_job(
             spark,
@@ -82,6 +111,9 @@ def main(argv: list[str] | None = None) -> None:
             args.output,
             args.checkpoint,
             live=args.live,
+            overall=args.overall,
+            sink=args.sink,
+            collection=args.collection,
             delay=args.delay,
             every=None if args.once else args.every,
             state_partitions=args.state_partitions,

@@ -21,7 +21,7 @@ ITEMS = ("model", "serial_number")
 
 def device_failures(
     df: DataFrame,
-    window: DayWindow,
+    window: DayWindow | list[DayWindow],
     key: str = "vault_id",
     flag: str = "failure",
     items: tuple[str, ...] = ITEMS,
@@ -29,18 +29,19 @@ def device_failures(
     ingest: str | None = "ingest_ts",
 ) -> DataFrame:
     """One row per (window, group, device): ``failures, n_tuples`` and, where known,
-    ``max_ingest_ts``. Works on batch and streaming input."""
+    ``max_ingest_ts``. Works on batch and streaming input, and on several windows at once, which
+    ``window_days`` then tells apart."""
     df = flagged(df, flag, ts)
     extra = latest_ingest(df, ingest)
     df = df.select(key, flag, *items, ts, *([ingest] if extra else []))
-    grouped, start = group_by_window(df, window, [key, *items], ts)
+    grouped, starts = group_by_window(df, window, [key, *items], ts)
     out = grouped.agg(
         F.sum(flag).alias("failures"),
         F.count("*").alias("n_tuples"),
         *extra,
     )
     return out.select(
-        start, key, *items, "failures", "n_tuples", *(["max_ingest_ts"] if extra else [])
+        *starts, key, *items, "failures", "n_tuples", *(["max_ingest_ts"] if extra else [])
     )
 
 

@@ -192,6 +192,7 @@ def write_replay_kafka(
     ts: str = "event_ts",
     value: str = "value",
     send: Callable[[DataFrame], None] | None = None,
+    options: dict[str, str] | None = None,
 ) -> None:
     """Send lines to a topic, a day after the other. Needs the Kafka connector on the class path.
 
@@ -211,5 +212,6 @@ def write_replay_kafka(
                 lines.write.format("kafka")
                 .option("kafka.bootstrap.servers", servers)
                 .option("topic", topic)
+                .options(**(options or {}))
                 .save()
             )

@@ -22,7 +22,7 @@ def latest_ingest(df: DataFrame, ingest: str | None) -> list[Column]:
 
 def window_stats(
     df: DataFrame,
-    window: DayWindow,
+    window: DayWindow | list[DayWindow],
     key: str = "vault_id",
     value: str = "s194_temperature_celsius",
     ts: str = "event_ts",
@@ -32,12 +32,14 @@ def window_stats(
 ) -> DataFrame:
     """``window_start, key, n_tuples, mean, stddev`` and, where known, ``max_ingest_ts``.
 
-    All aggregates combine on the map side, so one hot key sends one row per task.
+    All aggregates combine on the map side, so one hot key sends one row per task. A list of windows
+    gives the results of all, with ``window_days``: the form for streams, which then read their source
+    once. In a batch ``rollup_stats`` does the same from day partials.
     """
     df = in_range(df, key, lo, hi, ts)
     extra = latest_ingest(df, ingest)
     df = df.select(key, value, ts, *([ingest] if extra else []))
-    grouped, start = group_by_window(df, window, [key], ts)
+    grouped, starts = group_by_window(df, window, [key], ts)
     out = grouped.agg(
         F.count("*").alias("n_tuples"),
         F.avg(value).alias("mean"),
@@ -45,5 +47,5 @@ def window_stats(
         *extra,
     )
     return out.select(
-        start, key, "n_tuples", "mean", "stddev", *(["max_ingest_ts"] if extra else [])
+        *starts, key, "n_tuples", "mean", "stddev", *(["max_ingest_ts"] if extra else [])
     )

@@ -25,7 +25,13 @@ from platterwatch.sources.events import (
 )
 from platterwatch.sources.storage import scratch_path, stage
 from platterwatch.streaming import sinks
-from platterwatch.streaming.ranking import append_top_k, latest_rankings, live_top_k
+from platterwatch.streaming.progress import ProgressLog
+from platterwatch.streaming.ranking import (
+    append_global_top_k,
+    append_top_k,
+    latest_rankings,
+    live_top_k,
+)
 from platterwatch.streaming.run import run_streams
 from platterwatch.streaming.watermark import with_event_time
 
@@ -42,6 +48,7 @@ WINDOWS = {
 # The range of query 1 on these tables, where user ids take the place of vault ids.
 LO, HI = 0, 20
 PARTS = 3
+DELIVERIES = 7
 DIGITS = 6
 
 
@@ -290,7 +297,7 @@ def closing_row(spark: SparkSession, folder: str) -> DataFrame:
     """A row past the last window of any length, in the columns of the events."""
     events = _events(spark, folder)
     last = events.agg(F.max("event_ts")).first()[0]
-    at = WINDOWS["full"].end_after(last) + timedelta(days=1)
+    at = max(window.end_after(last) for window in WINDOWS.values()) + timedelta(days=1)
     nothing = spark.createDataFrame([], events.schema)
     return replay.with_flush_row(nothing, at, vault_id=-1, failure=0)
 
@@ -345,19 +352,107 @@ def stream_rank_documents_1d(spark: SparkSession, folder: str) -> DataFrame:
     return _closed_ranks(spark, folder, "json")
 
 
+def stream_global_top10(spark: SparkSession, folder: str) -> DataFrame:
+    """The ranking over all windows after the last one has closed; windows close in two steps."""
+    source, path = scratch_path(spark, "arrivals"), scratch_path(spark, "results")
+    best, checkpoint = scratch_path(spark, "best"), scratch_path(spark, "checkpoint")
+    events = _events(spark, folder)
+    middle = F.lit(WINDOWS["1d"].origin + timedelta(days=FULL_DAYS // 2))
+    early = F.col("event_ts") < middle
+    closing = closing_row(spark, folder)
+    for delivery in (events.filter(early), events.filter(~early), closing):
+        delivery.write.mode("append").parquet(source)
+        stream = _watched(spark.readStream.schema(events.schema).parquet(source))
+        writer = sinks.document_writer(path, form="parquet")
+        ranked = append_global_top_k(stream, WINDOWS["1d"], writer, best)
+        _run(spark, "global_top10", ranked, checkpoint)
+    results = _ranked_rows(spark, folder, path, "parquet")
+    last = results.agg(F.max("batch_id").alias("batch_id"))
+    return results.join(last, "batch_id").drop("batch_id")
+
+
+def stream_stats_all_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """One stream and one state for the windows of all lengths."""
+    result = stats.window_stats(_flushed_stream(spark, folder), _three())
+    path = scratch_path(spark, "results")
+    _run(spark, "stats_all", sinks.sink_documents(result, path, "parquet"))
+    out = sinks.read_documents(spark, path, result.schema, "parquet")
+    return _rounded(out.drop("max_ingest_ts"))
+
+
+def stream_rank_all_windows(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "results")
+    writer = sinks.document_writer(path, form="parquet")
+    stream = _flushed_stream(spark, folder)
+    _run(spark, "rank_all", append_top_k(stream, _three(), writer))
+    return spark.read.parquet(path).drop("batch_id", "max_ingest_ts")
+
+
+def progress_1d(spark: SparkSession, folder: str) -> DataFrame:
+    """Input rows of a stream of all windows, from its progress table: the events and the closing row."""
+    log = ProgressLog(spark, scratch_path(spark, "progress"))
+    spark.streams.addListener(log)
+    try:
+        result = stats.window_stats(_flushed_stream(spark, folder), _three())
+        sink = sinks.sink_documents(result, scratch_path(spark, "results"), "parquet")
+        _run(spark, "progress_1d", sink)
+        log.wait()
+    finally:
+        spark.streams.removeListener(log)
+    return log.table().groupBy("query").agg(F.sum("input_rows").alias("input_rows"))
+
+
+def stream_delay_3min(spark: SparkSession, folder: str) -> DataFrame:
+    """Event times are cut to the day. Half of the last day but one arrives after the last day has begun,
+    and the delay of three minutes keeps it."""
+    source, path = scratch_path(spark, "arrivals"), scratch_path(spark, "results")
+    checkpoint = scratch_path(spark, "checkpoint")
+    events = _events(spark, folder)
+    last = events.agg(F.max("event_ts")).first()[0]
+    day_before = F.to_date("event_ts") == F.lit(last.date() - timedelta(days=1))
+    late = day_before & (F.col("event_id") % 2 == 0)
+    closing = replay.flush_line(WINDOWS["1d"].end_after(last) + timedelta(days=1))
+    for delivery in (
+        events.filter(~late).select(parse.line_of(events).alias("value")),
+        events.filter(late).select(parse.line_of(events).alias("value")),
+        spark.range(1).select(F.lit(closing).alias("value")),
+    ):
+        delivery.write.mode("append").text(source)
+        lines = line_sources.read_lines_stream(spark, path=source)
+        rows = parse.valid_rows(parse.parse_telemetry(lines, day_precision=True))
+        result = stats.window_stats(with_event_time(rows, delay="3 minutes"), WINDOWS["1d"])
+        _run(spark, "delay_3min", sinks.sink_documents(result, path, "parquet"), checkpoint)
+    out = sinks.read_documents(spark, path, result.schema, "parquet")
+    return _rounded(out.drop("max_ingest_ts"))
+
+
+def parse_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with a time of arrival keep it; the latest of each group and day."""
+    events = _events(spark, folder)
+    arrived = F.col("event_ts") + F.expr("INTERVAL 5 MINUTES")
+    lines = events.select(parse.line_of(events).alias("value"), arrived.alias("timestamp"))
+    rows = parse.valid_rows(parse.parse_telemetry(lines))
+    return stats.window_stats(rows, WINDOWS["1d"]).select(
+        "window_start", KEY, "n_tuples", F.col("max_ingest_ts").alias("last_arrival")
+    )
+
+
 def stream_live_rank_1d(spark: SparkSession, folder: str) -> DataFrame:
-    """The table arrives in two deliveries; the live ranking after both."""
+    """The table arrives in deliveries by event id; the live ranking after all, with a snapshot of the
+    changes after every third micro-batch."""
     source, path = scratch_path(spark, "arrivals"), scratch_path(spark, "results")
     changes, checkpoint = scratch_path(spark, "changes"), scratch_path(spark, "checkpoint")
     events = _events(spark, folder)
-    first = F.coalesce(F.col(VALUE) < 50, F.lit(False))
-    for delivery in (events.filter(first), events.filter(~first)):
+    for number in range(DELIVERIES):
+        delivery = events.filter(F.col("event_id") % DELIVERIES == number)
         delivery.write.mode("append").parquet(source)
         stream = spark.readStream.schema(events.schema).parquet(source)
         stream = with_event_time(stream, delay=f"{FULL_DAYS} days")
         stream = stream.withColumn("ingest_ts", F.current_timestamp())
         writer = sinks.document_writer(path, form="parquet")
-        live = live_top_k(stream, WINDOWS["1d"], writer, changes)
+        live = live_top_k(
+            stream, WINDOWS["1d"], writer, changes, delay=f"{FULL_DAYS} days", every=3
+        )
         _run(spark, "live_rank_1d", live, checkpoint)
     return latest_rankings(_ranked_rows(spark, folder, path, "parquet"))
 
@@ -433,6 +528,12 @@ QUERIES: dict[str, Query] = {
     "stream_rank_1d": stream_rank_1d,
     "stream_rank_documents_1d": stream_rank_documents_1d,
     "stream_live_rank_1d": stream_live_rank_1d,
+    "stream_global_top10": stream_global_top10,
+    "stream_stats_all_windows": stream_stats_all_windows,
+    "stream_rank_all_windows": stream_rank_all_windows,
+    "stream_delay_3min": stream_delay_3min,
+    "progress_1d": progress_1d,
+    "parse_ingest": parse_ingest,
     "stream_late_drop": stream_late_drop,
     "stream_replay_lines_3d": stream_replay_lines_3d,
 }

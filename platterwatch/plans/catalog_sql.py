@@ -213,6 +213,11 @@ SELECT {bucket(1)} AS window_start, vault_id, count(*) AS n_tuples,
          AS latency_ms
 FROM t GROUP BY 1, 2"""
 
+INGEST = f"""
+SELECT {bucket(1)} AS window_start, CAST(vault_id AS INTEGER) AS vault_id, count(*) AS n_tuples,
+       max(event_ts) + INTERVAL '5 minutes' AS last_arrival
+FROM t GROUP BY 1, 2"""
+
 IN_RANGE = f"vault_id BETWEEN {LO} AND {HI}"
 
 
@@ -271,6 +276,12 @@ ORACLE: dict[str, str] = {
     "stream_rank_1d": _on_events(rank(1)),
     "stream_rank_documents_1d": _on_events(rank(1)),
     "stream_live_rank_1d": _on_events(rank(1)),
+    "stream_global_top10": _on_events(rank(1, groups=best_of_all)),
+    "stream_stats_all_windows": _on_events(_union(rounded_stats, (1, 3, 23))),
+    "stream_rank_all_windows": _on_events(_union(rank, (1, 3, 23))),
+    "stream_delay_3min": _on_events(rounded_stats(1)),
+    "progress_1d": "SELECT 'progress_1d' AS query, count(*) + 1 AS input_rows FROM events",
+    "parse_ingest": _on_events(INGEST),
     "stream_late_drop": _on_events(rounded_stats(1)),
     "stream_replay_lines_3d": _restamped_stats_lines(3),
 }

@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 
 from platterwatch import schema
 from platterwatch.operators import metrics, parse, shape
-from platterwatch.operators.ranking import ranked_groups
+from platterwatch.operators.ranking import device_failures, ranked_groups
 from platterwatch.operators.rollup import day_stats, rollup_stats
+from platterwatch.operators.stats import window_stats
 from platterwatch.operators.windows import DayWindow, reference_windows
-from platterwatch.plans.query1 import query1
 from platterwatch.plans.query2 import query2_rollup
 from platterwatch.sources.storage import scratch_scope, stage
 from platterwatch.streaming import sinks
-from platterwatch.streaming.ranking import append_top_k, live_top_k
-from platterwatch.streaming.run import run_streams, use_disk_state
+from platterwatch.streaming.ranking import append_top_k, globally_ranked_batches, live_top_k
+from platterwatch.streaming.run import run_streams
 from platterwatch.streaming.sinks import BatchWriter
 from platterwatch.streaming.watermark import with_event_time
 
 FORMS = ("lines", "documents", "wide")
+SINKS = ("files", "console", "collection")
 
 
 def result_path(output: str, window: DayWindow, number: int) -> str:
@@ -37,29 +38,40 @@ def _shaped(result: DataFrame, number: int, form: str, parts: int) -> DataFrame:
     return shape.rank_wide(result, parts)
 
 
-def _metrics_writer(path: str, number: int) -> BatchWriter:
-    def measured(batch: DataFrame) -> DataFrame:
-        batch = ranked_groups(batch) if number == 2 else batch
-        return metrics.coverage_metrics(metrics.with_latency(batch)).withColumn(
-            "emitted", F.current_timestamp()
-        )
-
-    return sinks.document_writer(path, measured)
+def _measured(result: DataFrame, number: int) -> DataFrame:
+    result = ranked_groups(result) if number == 2 else result
+    return metrics.coverage_metrics(metrics.with_latency(result)).withColumn(
+        "emitted", F.current_timestamp()
+    )
 
 
 def _writer(
-    output: str, window: DayWindow, number: int, form: str, parts: int
+    output: str,
+    window: DayWindow,
+    number: int,
+    form: str,
+    parts: int,
+    sink: str = "files",
+    collection: tuple[str, str] | None = None,
 ) -> BatchWriter:
     path = result_path(output, window, number)
 
     def shaped(batch: DataFrame) -> DataFrame:
         return _shaped(batch, number, form, parts)
 
-    if form == "lines":
+    def measured(batch: DataFrame) -> DataFrame:
+        return _measured(batch, number)
+
+    if sink == "console":
+        results = sinks.console_writer(shaped)
+    elif sink == "collection":
+        uri, database = collection
+        results = sinks.collection_writer(uri, database, f"query_{window.days}_{number}", shaped)
+    elif form == "lines":
         results = sinks.text_writer(path, shaped)
     else:
         results = sinks.document_writer(path, shaped)
-    return sinks.fan_out(results, _metrics_writer(f"{path}_metrics", number))
+    return sinks.fan_out(results, sinks.document_writer(f"{path}_metrics", measured))
 
 
 def stream_job(
@@ -79,35 +91,47 @@ def stream_job(
     k: int = schema.TOP_K,
     rejects: str | None = None,
     parts: int = 1,
+    overall: bool = False,
+    day_precision: bool = False,
+    sink: str = "files",
+    collection: tuple[str, str] | None = None,
 ) -> None:
-    """Run query 1 or 2 over a stream of lines, one named stream per window, until they end.
-
-    Every stream writes its results and their latency and coverage. ``live`` writes the current
-    ranking of the windows that a micro-batch changes, instead of one per closed window.
-    ``rejects`` names a folder for the lines that cannot be used, written by a stream of its own.
-    ``parts`` is the number of lists into which the devices of a ranked group go.
+    """Run query 1 or 2 over a stream of lines as one named stream for all windows, until it ends.
+
+    The source is read once and one state holds all windows. Every window has its own results, with their
+    latency and coverage beside them. ``live`` writes the current ranking of the windows that a
+    micro-batch changes, instead of one per closed window; ``overall`` the ranking over all closed
+    windows of each length. ``rejects`` names a folder for the lines that cannot be used,
+    written by a stream of its own that reads the source again. ``parts`` is the number of lists into
+    which the devices of a ranked group go. ``sink`` is ``files`` below ``output``, ``console``, or
+    ``collection`` with ``collection`` as (uri, database).
     """
     windows = windows or reference_windows()
-    use_disk_state(spark)
-    parsed = parse.parse_telemetry(lines)
+    parsed = parse.parse_telemetry(lines, day_precision=day_precision)
     rows = with_event_time(parse.valid_rows(parsed), delay=delay)
-    writers = {}
+    state = f"{checkpoint.rstrip('/')}/rankings"
+    writers = {
+        w.days: _writer(output, w, number, form, parts, sink, collection) for w in windows
+    }
+    if number == 1:
+        result = window_stats(rows, windows, lo=lo, hi=hi)
+        stream = result.writeStream.outputMode("append").foreachBatch(sinks.by_window(writers))
+    elif live:
+        changes = f"{state}/changes"
+        stream = live_top_k(rows, windows, sinks.by_window(writers), changes, k=k, delay=delay)
+    elif overall:
+        ranked = {
+            days: globally_ranked_batches(writer, f"{state}/best_{days}", k=k)
+            for days, writer in writers.items()
+        }
+        devices = device_failures(rows, windows)
+        stream = devices.writeStream.outputMode("append").foreachBatch(sinks.by_window(ranked))
+    else:
+        stream = append_top_k(rows, windows, sinks.by_window(writers), k=k)
+    streams = {f"query_{number}": stream}
     if rejects:
-        writers["rejects"] = sinks.sink_documents(parse.rejected_rows(parsed), rejects)
-    for window in windows:
-        name = f"query_{window.days}_{number}"
-        writer = _writer(output, window, number, form, parts)
-        if number == 1:
-            result = query1(rows, [window], lo, hi)[window.name]
-            stream = result.writeStream.outputMode("append").foreachBatch(writer)
-        else:
-            changes = f"{checkpoint.rstrip('/')}/changes/{name}"
-            if live:
-                stream = live_top_k(rows, window, writer, changes, k=k)
-            else:
-                stream = append_top_k(rows, window, writer, k=k)
-        writers[name] = stream
-    run_streams(writers, checkpoint, every, state_partitions)
+        streams["rejects"] = sinks.sink_documents(parse.rejected_rows(parsed), rejects)
+    run_streams(streams, checkpoint, every, state_partitions)
 
 
 def batch_job(
@@ -122,15 +146,19 @@ def batch_job(
     k: int = schema.TOP_K,
     rejects: str | None = None,
     parts: int = 1,
+    day_precision: bool = False,
 ) -> None:
-    """Run query 1 or 2 over a batch of lines and write one result per window.
+    """Run query 1 or 2 over a batch of lines and write one result per window, with its latency and
+    coverage beside it.
 
     The lines are scanned once: day partials are staged, and every window is made from them.
-    ``rejects`` names a folder for the lines that cannot be used, at the price of a second scan.
+    ``rejects`` names a folder for the lines that cannot be used; the parsed lines are then staged.
     """
     windows = windows or reference_windows()
     with scratch_scope(spark):
-        parsed = parse.parse_telemetry(lines)
+        parsed = parse.parse_telemetry(lines, day_precision=day_precision)
+        if rejects:
+            parsed = stage(parsed, "parsed")
         rows = parse.valid_rows(parsed)
         if rejects:
             parse.rejected_rows(parsed).write.mode("overwrite").json(rejects)
@@ -150,3 +178,4 @@ def batch_job(
                 out.orderBy(*keys).select("line").write.mode("overwrite").text(path)
             else:
                 out.write.mode("overwrite").json(path)
+            _measured(result, number).write.mode("overwrite").json(f"{path}_metrics")

@@ -26,8 +26,10 @@ def replay_dataset(
     topic: str = "original",
     flush_at: datetime = schema.FLUSH_AT,
     exact: bool = True,
+    options: dict[str, str] | None = None,
 ) -> list[str]:
-    """Restamp a dataset, in the order of its files' lines, and write it as replay files below ``path``, or to a Kafka topic.
+    """Restamp a dataset, in the order of its files' lines, and write it as replay files below ``path``,
+    or to a Kafka topic with the given connector options.
 
     The closing line dated ``flush_at`` comes last; it has to lie past the end of every window.
     """
@@ -37,9 +39,9 @@ def replay_dataset(
     timed = moved.withColumn("event_ts", event_time(date))
     if servers is None:
         return write_replay(timed, path, flush=flush_line(flush_at))
-    write_replay_kafka(timed, servers, topic)
+    write_replay_kafka(timed, servers, topic, options=options)
     closing = spark.range(1).select(
         F.lit(flush_line(flush_at)).alias("value"), F.lit(flush_at).alias("event_ts")
     )
-    write_replay_kafka(closing, servers, topic)
+    write_replay_kafka(closing, servers, topic, options=options)
     return []

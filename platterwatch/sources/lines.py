@@ -19,11 +19,12 @@ def read_lines_stream(
     max_files: int | None = None,
     max_offsets: int | None = None,
     starting: str = "earliest",
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """A stream of lines in ``value``; from Kafka also the record's ``timestamp``.
 
     ``max_files`` and ``max_offsets`` bound a micro-batch. Kafka needs its connector on the class
-    path.
+    path; ``options`` are more of its settings, such as ``kafka.group.id`` or those for security.
     """
     if kind == "kafka":
         reader = (
@@ -31,6 +32,7 @@ def read_lines_stream(
             .option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic)
             .option("startingOffsets", starting)
+            .options(**(options or {}))
         )
         if max_offsets:
             reader = reader.option("maxOffsetsPerTrigger", max_offsets)

@@ -44,14 +44,14 @@ def scratch_scope(spark: SparkSession):
     try:
         yield
     finally:
-        _remove(spark, scopes.pop())
+        remove(spark, scopes.pop())
 
 
 def release_scratch(spark: SparkSession) -> None:
     """Remove the scratch paths this thread made outside of scopes. DataFrames over them become
     unreadable."""
     outer = _open_scopes()[0]
-    _remove(spark, outer)
+    remove(spark, outer)
     outer.clear()
 
 
@@ -61,7 +61,7 @@ def _open_scopes() -> list[list[str]]:
     return _local.scopes
 
 
-def _remove(spark: SparkSession, folders: list[str]) -> None:
+def remove(spark: SparkSession, folders: list[str]) -> None:
     for folder in folders:
         fs, target = _file_system(spark, folder)
         fs.delete(target, True)
@@ -92,6 +92,15 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
+def numbered_folders(spark: SparkSession, path: str) -> list[int]:
+    """The folders below a path that have a number as their name, in order; none if it is missing."""
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target):
+        return []
+    names = [entry.getPath().getName() for entry in fs.listStatus(target)]
+    return sorted(int(name) for name in names if name.isdigit())
+
+
 def set_modified(spark: SparkSession, path: str, millis: int) -> None:
     fs, target = _file_system(spark, path)
     fs.setTimes(target, millis, -1)

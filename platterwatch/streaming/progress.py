@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections import deque
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -48,25 +48,35 @@ def progress_table(spark: SparkSession, queries: list[StreamingQuery]) -> DataFr
 
 
 class ProgressLog(StreamingQueryListener):
-    """Collects the progress of all streams of a session; the oldest updates fall out.
+    """Appends the progress of all streams of a session to a table of JSON lines, an update at a time.
 
-    Add it with ``spark.streams.addListener``.
+    Add it with ``spark.streams.addListener``. Nothing is kept in memory.
     """
 
-    def __init__(self, keep: int = 10_000):
-        self._rows: deque[tuple] = deque(maxlen=keep)
+    def __init__(self, spark: SparkSession, path: str):
+        self._spark, self._path = spark, path
+        self._running, self._ended = set(), threading.Condition()
 
     def onQueryStarted(self, event) -> None:
-        pass
+        with self._ended:
+            self._running.add(event.runId)
 
     def onQueryProgress(self, event) -> None:
-        self._rows.append(_row(json.loads(event.progress.json)))
+        row = self._spark.createDataFrame([_row(json.loads(event.progress.json))], PROGRESS)
+        row.coalesce(1).write.mode("append").json(self._path)
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        with self._ended:
+            self._running.discard(event.runId)
+            self._ended.notify_all()
+
+    def wait(self, seconds: float = 60.0) -> bool:
+        """Until the updates of all streams that have ended are in the table; they arrive with a delay."""
+        with self._ended:
+            return self._ended.wait_for(lambda: not self._running, seconds)
 
-    def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self._rows), PROGRESS)
+    def table(self) -> DataFrame:
+        return self._spark.read.schema(PROGRESS).json(self._path)

@@ -3,23 +3,24 @@
 The stream aggregates per (window, group, device), so its state is spread over all state
 partitions by device and no group's devices meet in one state row. In append mode all rows of a
 window leave in the same micro-batch, the one that closes it, and that batch is an ordinary
-table: it is ranked with the batch operators.
+table: it is ranked with the batch operators. Every function takes one window or a list of windows; a
+list shares one reading of the source and one state, and results then hold ``window_days``.
 """
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from platterwatch import schema
-from platterwatch.operators.ranking import ITEMS, device_failures, rank_groups
+from platterwatch.operators.ranking import ITEMS, device_failures, rank_globally, rank_groups
 from platterwatch.operators.windows import DayWindow
-from platterwatch.sources.storage import scratch_scope, stage
+from platterwatch.sources.storage import numbered_folders, remove, scratch_scope, stage
 from platterwatch.streaming.sinks import BatchWriter
 
+COMPACT_EVERY = 20
+
 
 def ranked_batches(
     writer: BatchWriter,
@@ -42,7 +43,7 @@ def ranked_batches(
 
 def append_top_k(
     df: DataFrame,
-    window: DayWindow,
+    window: DayWindow | list[DayWindow],
     writer: BatchWriter,
     key: str = "vault_id",
     flag: str = "failure",
@@ -56,69 +57,167 @@ def append_top_k(
     return devices.writeStream.outputMode("append").foreachBatch(batches)
 
 
-def live_top_k(
+def globally_ranked_batches(
+    writer: BatchWriter,
+    best: str,
+    key: str = "vault_id",
+    items: tuple[str, ...] = ITEMS,
+    k: int = schema.TOP_K,
+) -> BatchWriter:
+    """Rank the device rows of closed windows together with the best groups so far, then write.
+
+    A closed group is final, so the k best of the former best and the new ones are the k best of
+    all. Only those groups' devices are kept, below ``best``, as a table per micro-batch; older tables are
+    removed. A batch that runs again starts from the table before it. Empty batches write nothing.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        with scratch_scope(spark):
+            rows = stage(batch, "closed_windows")
+            if rows.isEmpty():
+                return
+            earlier = [n for n in numbered_folders(spark, best) if n < batch_id]
+            if earlier:
+                kept = spark.read.parquet(f"{best}/{earlier[-1]}")
+                rows = rows.unionByName(kept.select(*rows.columns))
+            ranked = rank_globally(stage(rows, "candidates"), key, items, k)
+            ranked.write.mode("overwrite").parquet(f"{best}/{batch_id}")
+            writer(spark.read.schema(ranked.schema).parquet(f"{best}/{batch_id}"), batch_id)
+            remove(spark, [f"{best}/{n}" for n in earlier[:-1]])
+
+    return write
+
+
+def append_global_top_k(
     df: DataFrame,
     window: DayWindow,
     writer: BatchWriter,
+    best: str,
+    key: str = "vault_id",
+    flag: str = "failure",
+    items: tuple[str, ...] = ITEMS,
+    ts: str = "event_ts",
+    k: int = schema.TOP_K,
+) -> DataStreamWriter:
+    """The ranking over all windows closed so far, written whenever windows close. The one with the
+    highest batch counts."""
+    devices = device_failures(df, window, key, flag, items, ts)
+    batches = globally_ranked_batches(writer, best, key, items, k)
+    return devices.writeStream.outputMode("append").foreachBatch(batches)
+
+
+class ChangeLog:
+    """The devices of open windows: rows that changed, by micro-batch, and a snapshot now and then.
+
+    ``batch/n`` holds the rows of micro-batch n, ``snapshot/n`` the last rows of every device of the windows
+    that may still change after it. What a batch reads is one snapshot and the batches after it, so work
+    does not grow with the stream's age. The snapshot and batches before the last one but one are
+    removed. A batch that runs again replaces its entries and starts from the same snapshot.
+    """
+
+    def __init__(self, path: str, window: DayWindow | list[DayWindow], delay: str, every: int):
+        self.path, self.delay, self.every = path.rstrip("/"), delay, every
+        self.windows = window if isinstance(window, list) else [window]
+
+    def _table(self, spark: SparkSession, kind: str, numbers: list[int]) -> DataFrame:
+        return spark.read.parquet(*[f"{self.path}/{kind}/{n}" for n in numbers])
+
+    def add(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """Write the changed rows and read them back."""
+        path = f"{self.path}/batch/{batch_id}"
+        marked = batch.withColumn("batch", F.lit(batch_id).cast("long"))
+        marked.hint("rebalance").write.mode("overwrite").parquet(path)
+        return batch.sparkSession.read.schema(marked.schema).parquet(path)
+
+    def current(self, changed: DataFrame, device: list[str], batch_id: int) -> DataFrame:
+        """The last totals of all devices of the windows that the batch changed, staged."""
+        spark, names = changed.sparkSession, [c for c in changed.columns if c != "batch"]
+        snapshots = [n for n in numbered_folders(spark, f"{self.path}/snapshot") if n < batch_id]
+        start = snapshots[-1] if snapshots else -1
+        logged = numbered_folders(spark, f"{self.path}/batch")
+        log = self._table(spark, "batch", [n for n in logged if start < n <= batch_id])
+        if snapshots:
+            log = log.unionByName(self._table(spark, "snapshot", [start]))
+        starts = [c for c in ("window_days", "window_start") if c in names]
+        if batch_id - start < self.every:
+            log = log.join(changed.select(*starts).distinct(), starts, "left_semi")
+            return stage(_last(log, [*starts, *device]).select(*names), "current")
+        every = stage(_last(log, [*starts, *device]).select(*names, "batch"), "current")
+        self._may_change(every, batch_id).write.mode("overwrite").parquet(
+            f"{self.path}/snapshot/{batch_id}"
+        )
+        remove(spark, [f"{self.path}/snapshot/{n}" for n in snapshots[:-1]])
+        remove(spark, [f"{self.path}/batch/{n}" for n in logged if n <= start])
+        return every.join(changed.select(*starts).distinct(), starts, "left_semi").select(*names)
+
+    def _may_change(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        """Without the windows that ended, less the delay, before the latest window seen in earlier
+        batches began: the watermark has passed them, and later rows of them are dropped."""
+        end = F.lit(None).cast("timestamp")
+        for w in self.windows:
+            of_this = F.col("window_days") == w.days if "window_days" in rows.columns else F.lit(True)
+            end = F.when(of_this, w.end_of(F.col("window_start"))).otherwise(end)
+        seen = rows.where(F.col("batch") < batch_id).agg(F.max("window_start")).first()[0]
+        return rows.where(end > F.lit(seen) - F.expr(f"INTERVAL {self.delay}")) if seen else rows
+
+
+def _last(log: DataFrame, device: list[str]) -> DataFrame:
+    """The last logged totals of each device and window."""
+    values = [c for c in log.columns if c not in (*device, "batch")]
+    last = F.max_by(F.struct(*values, "batch"), "batch").alias("last")
+    return log.groupBy(*device).agg(last).select(*device, "last.*")
+
+
+def live_batches(
+    writer: BatchWriter,
+    log: ChangeLog,
+    key: str = "vault_id",
+    items: tuple[str, ...] = ITEMS,
+    k: int = schema.TOP_K,
+) -> BatchWriter:
+    """Rank the windows that a micro-batch of changed device rows belongs to, then write them."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with scratch_scope(batch.sparkSession):
+            changed = log.add(batch, batch_id)
+            current = log.current(changed, [key, *items], batch_id)
+            if not changed.isEmpty():
+                writer(rank_groups(current, key, items, k), batch_id)
+
+    return write
+
+
+def live_top_k(
+    df: DataFrame,
+    window: DayWindow | list[DayWindow],
+    writer: BatchWriter,
     changes: str,
     key: str = "vault_id",
     flag: str = "failure",
     items: tuple[str, ...] = ITEMS,
     ts: str = "event_ts",
     k: int = schema.TOP_K,
+    delay: str = schema.WATERMARK_DELAY,
+    every: int = COMPACT_EVERY,
 ) -> DataStreamWriter:
     """The current ranking of every window that a micro-batch changes, written with that batch.
 
     The stream runs in update mode, so state holds open windows only and a micro-batch carries
-    only the devices whose totals changed. They are logged below ``changes``, by window, and the
-    changed windows are ranked anew from their logs. A batch that runs again replaces its own
-    entries. Of a window the ranking with the highest batch counts; see ``latest_rankings``.
+    only the devices whose totals changed. They are logged below ``changes``, and the changed windows
+    are ranked anew from the last snapshot and the log after it, see ``ChangeLog``. ``delay`` is that of the
+    watermark; ``every`` is the number of batches from one snapshot to the next. Of a
+    window the ranking with the highest batch counts; see ``latest_rankings``.
     """
     devices = device_failures(df, window, key, flag, items, ts)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            (
-                batch.withColumn("day", F.to_date("window_start"))
-                .withColumn("batch", F.lit(batch_id).cast("long"))
-                .hint("rebalance", "day")
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("day", "batch")
-                .parquet(changes)
-            )
-            days = [r["day"] for r in _window_days(batch).collect()]
-        finally:
-            batch.unpersist()
-        if days:
-            logged = _logged(batch.sparkSession, changes, days, batch_id)
-            current = _current(logged, [key, *items])
-            writer(rank_groups(current.select(*batch.columns), key, items, k), batch_id)
-
-    return devices.writeStream.outputMode("update").foreachBatch(write)
-
-
-def _window_days(batch: DataFrame) -> DataFrame:
-    """The first days of the windows in a batch: one row per open window."""
-    return batch.select(F.to_date("window_start").alias("day")).distinct()
-
-
-def _logged(spark: SparkSession, changes: str, days: list[date], batch_id: int) -> DataFrame:
-    """The log of some windows up to a batch. Only their folders are listed."""
-    paths = [f"{changes.rstrip('/')}/day={day.isoformat()}" for day in days]
-    log = spark.read.option("basePath", changes).parquet(*paths)
-    return log.filter(F.col("batch") <= batch_id)
-
-
-def _current(log: DataFrame, device: list[str]) -> DataFrame:
-    """The last logged totals of each device and window."""
-    values = [c for c in log.columns if c not in ("window_start", "batch", "day", *device)]
-    last = F.max_by(F.struct(*values), "batch").alias("last")
-    return log.groupBy("window_start", *device).agg(last).select("window_start", *device, "last.*")
+    log = ChangeLog(changes, window, delay, every)
+    return devices.writeStream.outputMode("update").foreachBatch(
+        live_batches(writer, log, key, items, k)
+    )
 
 
 def latest_rankings(results: DataFrame) -> DataFrame:
     """Of each window's rankings the one of its last batch, from results with ``batch_id``."""
-    last = results.groupBy("window_start").agg(F.max("batch_id").alias("batch_id"))
-    return results.join(last, ["window_start", "batch_id"]).drop("batch_id")
+    windows = [c for c in ("window_days", "window_start") if c in results.columns]
+    last = results.groupBy(*windows).agg(F.max("batch_id").alias("batch_id"))
+    return results.join(last, [*windows, "batch_id"]).drop("batch_id")

@@ -20,25 +20,18 @@ STATE_CONF = {
 }
 
 
-def use_disk_state(spark: SparkSession) -> None:
-    """Keep streaming state in RocksDB with change-log checkpoints."""
-    for name, value in STATE_CONF.items():
-        spark.conf.set(name, value)
-
-
 @contextmanager
-def _state_partitions(count: int | None):
-    """Streams take the number of state partitions from the session when they first start."""
-    if count is None:
-        yield
-        return
+def _starting(settings: dict[str, str]):
+    """Streams copy the session's settings when they start; the session's own come back after that."""
     spark = SparkSession.active()
-    before = spark.conf.get(PARTITIONS)
-    spark.conf.set(PARTITIONS, str(count))
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(PARTITIONS, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def start_streams(
@@ -47,14 +40,16 @@ def start_streams(
     every: str | None = schema.TRIGGER,
     state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
-    """Start every writer under its name, each with its own checkpoint below ``checkpoint``.
+    """Start every writer under its name, each with its own checkpoint below ``checkpoint``, and
+    with its state in RocksDB.
 
     ``every`` is the micro-batch interval; None takes what is available now and ends. The number
     of state partitions is fixed with the first start of a checkpoint: some small multiple of the
     cluster's cores that leaves room for the state to grow.
     """
     queries = []
-    with _state_partitions(state_partitions):
+    partitions = {PARTITIONS: str(state_partitions)} if state_partitions else {}
+    with _starting({**STATE_CONF, **partitions}):
         for name, writer in writers.items():
             timing = {"availableNow": True} if every is None else {"processingTime": every}
             queries.append(

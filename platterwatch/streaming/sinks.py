@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from platterwatch.sources.storage import scratch_scope, stage
+
 Shape = Callable[[DataFrame], DataFrame]
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -43,6 +45,47 @@ def document_writer(path: str, shape: Shape | None = None, form: str = "json") -
     return write
 
 
+def console_writer(shape: Shape | None = None) -> BatchWriter:
+    """Show rows untruncated on the driver's console."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out = shape(batch) if shape else batch
+        out.write.mode("append").format("console").option("truncate", "false").save()
+
+    return write
+
+
+def collection_writer(
+    uri: str, database: str, collection: str, shape: Shape | None = None, form: str = "mongodb"
+) -> BatchWriter:
+    """Append rows to a MongoDB collection. Needs the MongoDB connector on the class path. Rows carry
+    their ``batch_id``, by which a reader tells the rows of a batch that was written again."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out = (shape(batch) if shape else batch).withColumn("batch_id", F.lit(batch_id))
+        out.write.mode("append").format(form).options(
+            **collection_options(uri, database, collection)
+        ).save()
+
+    return write
+
+
+def by_window(writers: dict[int, BatchWriter]) -> BatchWriter:
+    """Give each window length its own writer, without the column ``window_days``. Lengths without rows
+    in the micro-batch write nothing."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with scratch_scope(batch.sparkSession):
+            rows = stage(batch, "windows")
+            found = {r["window_days"] for r in rows.select("window_days").distinct().collect()}
+            for days, writer in writers.items():
+                if days in found:
+                    part = rows.where(F.col("window_days") == days).drop("window_days")
+                    writer(part, batch_id)
+
+    return write
+
+
 def fan_out(*writers: BatchWriter) -> BatchWriter:
     """Several writers for one micro-batch, which is computed once."""
 
@@ -69,13 +112,16 @@ def sink_documents(df: DataFrame, path: str, form: str = "json") -> DataStreamWr
 
 def sink_collection(df: DataFrame, uri: str, database: str, collection: str) -> DataStreamWriter:
     """Append results to a MongoDB collection. Needs the MongoDB connector on the class path."""
-    return (
-        df.writeStream.format("mongodb")
-        .option("spark.mongodb.connection.uri", uri)
-        .option("spark.mongodb.database", database)
-        .option("spark.mongodb.collection", collection)
-        .outputMode("append")
-    )
+    options = collection_options(uri, database, collection)
+    return df.writeStream.format("mongodb").options(**options).outputMode("append")
+
+
+def collection_options(uri: str, database: str, collection: str) -> dict[str, str]:
+    return {
+        "spark.mongodb.connection.uri": uri,
+        "spark.mongodb.database": database,
+        "spark.mongodb.collection": collection,
+    }
 
 
 def sink_debug(df: DataFrame, name: str | None = None, mode: str = "append") -> DataStreamWriter:

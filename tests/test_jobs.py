@@ -104,7 +104,38 @@ def test_dataset_replay_feeds_both_queries(spark, line, tmp_path):
     assert sum(t.count(",2,(") for t in got) == 2  # one vault a day with two of the four failures
 
 
+def test_overall_job_ends_with_the_best_of_all_windows(spark, lines, tmp_path):
+    out, check = str(tmp_path / "out"), str(tmp_path / "check")
+    common = ["--input", lines, "--form", "documents", "--days", "1", "--top", "4"]
+    main(["2", *common, "--output", out, "--stream", "--once", "--overall", "--checkpoint", check])
+    got = spark.read.json(f"{out}/query_1_2")
+    last = got.agg({"batch_id": "max"}).first()[0]
+    ranks = {r["rank"] for r in got.filter(got.batch_id == last).collect()}
+    assert ranks == {1, 2, 3, 4}
+
+
 def test_arguments_are_checked():
-    for bad in (["1", "--output", "o"], ["1", "--input", "i", "--output", "o", "--stream"], ["3"]):
+    io = ["--input", "i", "--output", "o"]
+    for bad in (
+        ["1", "--output", "o"], ["1", *io, "--stream"], ["3"], ["1", "--input", "i"],
+        ["replay", *io, "--kafka", "h"], ["replay", "--input", "i"], ["2", *io, "--live"],
+        ["2", *io, "--stream", "--checkpoint", "c", "--live", "--overall"],
+        ["1", *io, "--stream", "--checkpoint", "c", "--overall"],
+        ["1", *io, "--stream", "--checkpoint", "c", "--sink", "collection"],
+    ):
         with pytest.raises(SystemExit):
             arguments(bad)
+
+
+def test_kafka_arguments():
+    args = arguments(["replay", "--input", "i", "--kafka", "h:1", "--kafka-option", "a", "b"])
+    assert dict(args.kafka_option) == {"a": "b"} and args.output is None
+
+
+def test_day_precision_and_batch_metrics(spark, lines, tmp_path):
+    plain, cut = str(tmp_path / "plain"), str(tmp_path / "cut")
+    for out, more in ((plain, []), (cut, ["--day-precision"])):
+        main(["1", "--input", lines, "--output", out, "--days", "1", *more])
+        assert spark.read.json(f"{out}/query_1_1_metrics").count() > 0
+    read = lambda out: sorted(r.line for r in read_lines_written(spark, f"{out}/query_1_1").collect())
+    assert read(plain) == read(cut)

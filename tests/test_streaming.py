@@ -1,6 +1,6 @@
 import json
 import os
-from datetime import datetime, timedelta
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,16 +9,24 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from platterwatch import schema
 from platterwatch.operators.filters import keep_watermark_filter
 from platterwatch.operators.parse import line_of, parse_telemetry, valid_rows
-from platterwatch.operators.ranking import window_top_k
+from platterwatch.operators.ranking import device_failures, rank_globally, window_top_k
 from platterwatch.operators.replay import flush_line, write_replay
 from platterwatch.operators.shape import stats_lines
 from platterwatch.operators.stats import window_stats
 from platterwatch.operators.windows import DayWindow, reference_windows
+from platterwatch.sources.storage import numbered_folders
 from platterwatch.sources.lines import read_lines_stream
 from platterwatch.streaming import sinks
 from platterwatch.streaming.progress import ProgressLog, progress_table
-from platterwatch.streaming.ranking import append_top_k, latest_rankings, live_top_k
-from platterwatch.streaming.run import run_streams, start_streams, use_disk_state
+from platterwatch.streaming.ranking import (
+    ChangeLog,
+    append_global_top_k,
+    append_top_k,
+    latest_rankings,
+    live_batches,
+    live_top_k,
+)
+from platterwatch.streaming.run import STATE_CONF, run_streams, start_streams
 from platterwatch.streaming.watermark import with_event_time
 
 DAY = DayWindow(1)
@@ -253,7 +261,7 @@ def test_text_sink_as_a_stream(spark, rows, tmp_path):
 
 def test_debug_sink_and_named_streams(spark, rows, tmp_path):
     path = arrivals(rows, str(tmp_path / "in"))
-    log = ProgressLog()
+    log = ProgressLog(spark, str(tmp_path / "progress"))
     spark.streams.addListener(log)
     try:
         stats = window_stats(watched(spark, path), DAY)
@@ -266,12 +274,10 @@ def test_debug_sink_and_named_streams(spark, rows, tmp_path):
         for q in queries:
             q.awaitTermination(120)
         assert spark.table("debug_stats").count() == window_stats(rows, DAY).count()
-        deadline = datetime.now() + timedelta(seconds=20)
-        while datetime.now() < deadline and log.table(spark).select("query").distinct().count() < 2:
-            pass
+        assert log.wait()
     finally:
         spark.streams.removeListener(log)
-    table = log.table(spark)
+    table = log.table()
     assert {r["query"] for r in table.select("query").distinct().collect()} == set(writers)
     assert table.agg(F.sum("input_rows")).first()[0] >= 2 * (rows.count() + 1)
 
@@ -287,19 +293,89 @@ def test_a_failing_stream_is_reported(spark, rows, tmp_path):
 
 
 def test_disk_state(spark, rows, tmp_path):
-    names = ["spark.sql.streaming.stateStore.providerClass"]
-    before = {n: spark.conf.get(n) for n in names}
-    use_disk_state(spark)
-    try:
-        path = arrivals(rows, str(tmp_path / "in"))
-        out = str(tmp_path / "out")
-        result = window_stats(watched(spark, path, 2), DAY)
-        run(parquet_sink(result, out), tmp_path / "check")
-        got = sinks.read_documents(spark, out, result.schema, "parquet")
-        assert got.count() == window_stats(rows, DAY).count()
-    finally:
-        for n, v in before.items():
-            spark.conf.set(n, v)
+    """State is in RocksDB, and the session's settings are as before."""
+    before = {n: spark.conf.get(n, None) for n in STATE_CONF}
+    path = arrivals(rows, str(tmp_path / "in"))
+    result = window_stats(watched(spark, path), DAY)
+    queries = run(parquet_sink(result, str(tmp_path / "out")), tmp_path / "check")
+    metrics = json.loads(queries[0].recentProgress[0].json)["stateOperators"][0]["customMetrics"]
+    assert any(name.startswith("rocksdb") for name in metrics)
+    assert {n: spark.conf.get(n, None) for n in STATE_CONF} == before
+
+
+def test_one_stream_for_all_windows(spark, rows, tmp_path):
+    """Each length closes its own windows; the source is read once; a window without rows writes nothing."""
+    path = arrivals(rows, str(tmp_path / "in"))
+    windows = reference_windows()
+    seen = {w.days: [] for w in windows}
+
+    def collector(days):
+        return lambda batch, batch_id: seen[days].extend(batch.drop("max_ingest_ts").collect())
+
+    writer = sinks.by_window({days: collector(days) for days in seen})
+    queries = run(append_top_k(watched(spark, path, 2), windows, writer, k=3), tmp_path / "check")
+    for w in windows:
+        want = window_top_k(rows, w, k=3).drop("max_ingest_ts").collect()
+        assert sorted(map(str, seen[w.days])) == sorted(map(str, want))
+    table = progress_table(spark, queries)
+    assert table.agg(F.sum("input_rows")).first()[0] == rows.count() + 1
+    assert table.orderBy(F.desc("batch_id")).first().state_rows == 0
+
+
+def test_global_ranking_of_closed_windows(spark, rows, tmp_path):
+    """A batch that failed runs again; in the end the ranking is that of all windows."""
+    path, best = arrivals(rows, str(tmp_path / "in")), str(tmp_path / "best")
+    latest, failed = [], []
+
+    def writer(batch, batch_id):
+        if latest and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost")
+        latest[:] = batch.drop("max_ingest_ts").collect()
+
+    def ranked():
+        return append_global_top_k(watched(spark, path, 2), DAY, writer, best, k=5)
+
+    with pytest.raises(Exception, match="lost"):
+        run(ranked(), tmp_path / "check")
+    run(ranked(), tmp_path / "check")
+    want = rank_globally(device_failures(rows, DAY), k=5).drop("max_ingest_ts").collect()
+    assert sorted(map(str, latest)) == sorted(map(str, want))
+    assert len(numbered_folders(spark, best)) <= 2
+
+
+def test_live_log_stays_bounded(spark, rows, tmp_path):
+    """Batches of changed totals, one of them twice: rankings are right and old entries go."""
+    path, every, latest = str(tmp_path / "changes"), 3, {}
+
+    def writer(batch, batch_id):
+        for r in batch.groupBy("window_start").count().collect():
+            latest.pop(r.window_start, None)
+        for r in batch.drop("max_ingest_ts").collect():
+            latest.setdefault(r.window_start, []).append(str(r))
+
+    write = live_batches(writer, ChangeLog(path, DAY, "0 seconds", every), k=3)
+    devices = device_failures(rows, DAY)
+    order = F.dayofmonth("window_start") * 2 + F.crc32(F.col("serial_number").cast("binary")) % 2 - 2
+    last = 2 * LAST
+    for n in [*range(6), 5, *range(6, last + every)]:
+        write(devices.filter(order == n), n)
+        assert len(numbered_folders(spark, f"{path}/batch")) <= 2 * every + 1
+        assert len(numbered_folders(spark, f"{path}/snapshot")) <= 2
+    want = window_top_k(rows, DAY, k=3).drop("max_ingest_ts").collect()
+    assert sorted(sum(latest.values(), [])) == sorted(map(str, want))
+    newest = numbered_folders(spark, f"{path}/snapshot")[-1]
+    kept = spark.read.parquet(f"{path}/snapshot/{newest}").select("window_start").distinct()
+    assert 0 < kept.count() <= 2  # closed windows are not carried on
+
+
+def test_writers_of_other_sinks(spark, rows, tmp_path):
+    result = window_stats(rows, DAY).limit(3)
+    sinks.console_writer()(result, 0)
+    options = sinks.collection_options("uri", "base", "name")
+    assert sorted(options.values()) == ["base", "name", "uri"]
+    with pytest.raises(Exception, match="(?i)mongodb"):
+        sinks.collection_writer("uri", "base", "name")(result, 0)
 
 
 def test_unknown_source_kind(spark):
