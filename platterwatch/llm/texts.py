@@ -6,11 +6,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK_BYTES = 1 << 20  # texts are handled in runs of about this size, or singly if longer
+SLICE_BYTES = 1 << 22  # as much text of an Arrow batch is turned into Python strings at a time
 
 # [^\x20\x09-\x0D]+ : what the contracts call a word
 SPACED = np.ones(256, bool)
@@ -125,6 +127,15 @@ def arrow_type(kind: str) -> pa.DataType:
     }[kind]
 
 
+def slices(batch: pa.RecordBatch, place: int) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """The batch in parts of about SLICE_BYTES of text, without copies, each with its texts. The number
+    of rows in a batch says nothing about its size, so long texts would else stand in memory twice."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(place)), 0).to_pylist()
+    for part in runs(sizes, SLICE_BYTES):
+        rows = batch.slice(part.start, part.stop - part.start)
+        yield rows, rows.column(place).to_pylist()
+
+
 def per_text(
     docs: DataFrame, columns: dict[str, str], work: Callable[[list[str | None]], list], *keep: str
 ) -> DataFrame:
@@ -140,10 +151,10 @@ def per_text(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = work(batch.column(batch.num_columns - 1).to_pylist())
-            arrays = [batch.column(k) for k in range(batch.num_columns - 1)]
-            arrays += [pa.array(x, kind) for x, kind in zip(made, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[:-1], *names])
+            for rows, texts in slices(batch, batch.num_columns - 1):
+                arrays = [rows.column(k) for k in range(batch.num_columns - 1)]
+                arrays += [pa.array(x, kind) for x, kind in zip(work(texts), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[:-1], *names])
 
     return base.mapInArrow(run, T.StructType(fields))
 
@@ -154,7 +165,8 @@ def filter_texts(docs: DataFrame, good: Callable[[list[str | None]], np.ndarray]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(good(batch.column(place).to_pylist())))
+            for rows, texts in slices(batch, place):
+                yield rows.filter(pa.array(good(texts), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -171,14 +183,15 @@ def expand_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, begin, rows = batch.column(0).to_pylist(), 0, []
-            for part in chunked(batch.column(1).to_pylist()):
-                rows += [(ids[begin + k], *values) for k, *values in work(part)]
-                begin += len(part)
-            made = list(zip(*rows)) or [[]] * len(names)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, kind) for x, kind in zip(made, kinds)], names=names
-            )
+            for rows, texts in slices(batch, 1):
+                ids, begin, found = rows.column(0).to_pylist(), 0, []
+                for part in chunked(texts):
+                    found += [(ids[begin + k], *values) for k, *values in work(part)]
+                    begin += len(part)
+                made = list(zip(*found)) or [[]] * len(names)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, kind) for x, kind in zip(made, kinds)], names=names
+                )
 
     schema = ", ".join(f"{k} {v}" for k, v in {"doc_id": "bigint", **columns}.items())
     return base.mapInArrow(run, schema)
