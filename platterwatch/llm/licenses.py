@@ -7,6 +7,8 @@ of the template's words that are aligned.
 
 Pieces of text are found by a sound bound: of a window as long as the template and half of it again, at least
 COVERAGE of the template's length must be words of the template. Windows that touch are one piece.
+A piece that does not align as a whole is searched at windows of about the template's length, each aligned
+by itself, so that copies close together are found.
 
 Defined cases: a null or empty text has no findings. A document has a row for each license found
 in it: the template and piece of largest coverage, the first of several; a better finding of another
@@ -153,18 +155,41 @@ class Templates:
             for x, y in zip(new, stop):
                 yield int(owner[x]), t, int(begin[x]), int(end[y])
 
+    def aligned(self, t: int, here: list[int], begin: int, end: int) -> tuple | None:
+        """(-coverage, -aligned words, first word, words) if here[begin:end] holds the template."""
+        pairs = align(here[begin:end], self.words[t].tolist())
+        share = len(pairs) / len(self.words[t])
+        if share < self.coverage or not self.needed[t] <= {here[begin + x] for x, _ in pairs}:
+            return None
+        return -share, -len(pairs), begin + pairs[0][0], pairs[-1][0] - pairs[0][0] + 1
+
+    def windows(self, t: int, here: list[int]) -> list[tuple]:
+        """Findings in windows of about the template's length, the best of those that overlap: copies
+        close together leave no word unique in the piece."""
+        n, known = len(self.words[t]), set(self.words[t].tolist())
+        least = max(1, int(np.ceil(self.coverage * n - 1e-9)))
+        sums = np.cumsum([0, *(w in known for w in here)]).tolist()
+        rows, out = [], []
+        for begin in range(len(here)):
+            if here[begin] not in known:
+                continue
+            for end in sorted({min(begin + size, len(here)) for size in (n, n + n // 4, n + n // 2)}):
+                if sums[end] - sums[begin] >= least and (row := self.aligned(t, here, begin, end)):
+                    rows.append(row)
+        for row in sorted(rows):
+            if all(row[2] + row[3] <= at or at + size <= row[2] for _, _, at, size in out):
+                out.append(row)
+        return out
+
     def find(self, texts: list[bytes]) -> Iterator[tuple]:
         """(text, license, coverage, first word, words, aligned words) of each license found."""
         words = Words([x.decode().lower().encode() for x in texts], PLAIN)
         hashes, found = words.hashes(), {}
         for text, t, begin, end in self.pieces(words, hashes):
-            here = hashes[begin:end].tolist()
-            pairs = align(here, self.words[t].tolist())
-            share = len(pairs) / len(self.words[t])
-            if share >= self.coverage and self.needed[t] <= {here[x] for x, _ in pairs}:
-                at = begin + pairs[0][0] - int(words.first[text])
-                size = pairs[-1][0] - pairs[0][0] + 1
-                found.setdefault(text, []).append((-share, -len(pairs), at, size, self.names[t]))
+            here, first = hashes[begin:end].tolist(), int(words.first[text])
+            whole = self.aligned(t, here, 0, len(here))
+            for share, n, at, size in [whole] if whole else self.windows(t, here):
+                found.setdefault(text, []).append((share, n, begin + at - first, size, self.names[t]))
         for text in sorted(found):
             yield from ((text, *row) for row in separate(found[text], int(words.count[text])))
 

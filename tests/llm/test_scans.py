@@ -155,6 +155,17 @@ def test_licenses_with_changes_and_in_long_texts(documents):
             assert "MIT" in found[k]
 
 
+def test_licenses_of_notices_repeated_close_together():
+    table = licenses.Templates()
+    for t, (name, notice, *_) in enumerate(licenses.TEMPLATES):
+        n = len(table.words[t])
+        for between in (" ", " some other words ", " other" * n + " "):
+            for copies in (2, 3):
+                text = "words before " * n + between.join([notice + "."] * copies) + " words after" * n
+                found = {row[1]: row[2] for row in table.find([text.encode()])}
+                assert found.get(name) == 1, (name, between, copies)
+
+
 def test_licenses_odd_rows(odd_documents, empty_documents):
     assert licenses.licenses(odd_documents).count() == 0
     assert licenses.licenses(empty_documents).count() == 0
