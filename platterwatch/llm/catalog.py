@@ -12,11 +12,15 @@ from platterwatch.llm import (
     language,
     licenses,
     lines,
+    near_vectors,
     quality,
+    ranked_search,
     rules,
     secrets,
     simhash,
     token_shards,
+    vector_codes,
+    vector_sql,
 )
 
 
@@ -86,11 +90,24 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.licenses(table(spark, folder, "documents"))
 
 
+def op11_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_quality_rules, op3_simhash, op4_token_shards, op5_language,
         op6_quality, op7_byte_bpe, op8_line_spread, op9_secrets, op10_licenses,
+        op11_near_vectors, op12_ranked_search, op13_vector_codes,
     )
 }
 
@@ -119,4 +136,4 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(b.text, '') EN
 FROM docs d LEFT JOIN rebuilt b ON b.r = d.r
 """
 
-ORACLE: dict[str, str] = {"op8_line_spread": LINE_SPREAD}
+ORACLE: dict[str, str] = {"op8_line_spread": LINE_SPREAD, **vector_sql.ORACLE}
