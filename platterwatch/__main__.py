@@ -14,6 +14,7 @@ from platterwatch.plans.jobs import FORMS, SINKS, batch_job, stream_job
 from platterwatch.plans.replay import replay_dataset
 from platterwatch.session import session
 from platterwatch.sources.lines import read_lines, read_lines_stream
+from platterwatch.sources.replay import is_replay
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -95,14 +96,16 @@ def main(argv: list[str] | None = None) -> None:
         "day_precision": args.day_precision,
     }
     if args.stream or args.kafka:
+        replayed = not args.kafka and is_replay(spark, args.input)
         lines = read_lines_stream(
             spark,
-            kind="kafka" if args.kafka else "files",
+            kind="kafka" if args.kafka else "replay" if replayed else "files",
             path=args.input,
             servers=args.kafka,
             topic=args.topic or "filtered",
             max_files=args.max_files,
             options=dict(args.kafka_option),
+            offered=f"{args.checkpoint.rstrip('/')}/replay/offered",
         )
         stream_job(
             spark,
@@ -116,6 +119,7 @@ def main(argv: list[str] | None = None) -> None:
             collection=args.collection,
             delay=args.delay,
             every=None if args.once else args.every,
+            drain=args.once and replayed,
             state_partitions=args.state_partitions,
             **common,
         )

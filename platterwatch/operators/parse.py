@@ -68,8 +68,8 @@ def valid_rows(parsed: DataFrame) -> DataFrame:
 def rejected_rows(parsed: DataFrame) -> DataFrame:
     """The other lines, with the names of the fields that could not be read.
 
-    Together with ``valid_rows`` this is every line once. Each of the two reads the source; to
-    keep both from one pass write ``parsed`` partitioned by ``is_valid()``.
+    Together with ``valid_rows`` this is every line once. Each of the two reads the source; stage
+    ``parsed`` to keep both from one pass, or on a stream use `platterwatch.streaming.routing`.
     """
     reasons = [F.when(F.col(name).isNull(), F.lit(name)) for name in REQUIRED]
     return parsed.filter(~is_valid()).select("value", F.concat_ws(",", *reasons).alias("unreadable"))

@@ -86,7 +86,7 @@ def ranked_devices(
     splits skewed partitions when it has to sort and merge. The key may be null.
     """
     windows = _window_columns(ranked)
-    own = [c for c in ("failures", "n_tuples", "max_ingest_ts") if c in devices.columns]
+    own = [c for c in ("failures", "n_tuples", "max_ingest_ts", "batch") if c in devices.columns]
     left, right = devices.alias("d"), ranked.alias("r")
     same = F.col(f"d.{key}").eqNullSafe(F.col(f"r.{key}"))
     for name in windows:

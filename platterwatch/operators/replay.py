@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-import re
-import time
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from platterwatch import schema
 from platterwatch.functions import day_of, event_time, micros_text, plus_micros
-from platterwatch.sources.storage import data_files, set_modified, stage
+from platterwatch.sources.replay import MANIFEST, MANIFEST_SCHEMA
+from platterwatch.sources.storage import data_files, numbered_folders, scratch_path, stage
 
+LAST_DAY = "9999-12-31"  # the folder of the closing line
 DAY_MICROS = 86_400_000_000
 POSITION_BITS = 33  # of monotonically_increasing_id: partition above, row within it below
 
@@ -30,6 +30,14 @@ def restamp_even(
     ordered by their content, so the result does not depend on the partitioning; rows that are
     equal all over are spread by their position. Without ``order`` rows keep the order of the scan,
     which is that of the files only if each file is one split: give columns to order by.
+    """
+    numbered = number_in_days(df, ts, order)
+    moved = plus_micros(F.col("_day"), _micros(F.col("_index"), F.col("_day_rows"), exact))
+    return numbered.select(*[moved.alias(ts) if c == ts else F.col(c) for c in df.columns])
+
+
+def number_in_days(df: DataFrame, ts: str = "event_ts", order: tuple[str, ...] = ()) -> DataFrame:
+    """Add ``_day``, ``_index`` (from 0, in the given order) and ``_day_rows``.
 
     A day is never numbered in one task. The rows are range-sorted by (day, order, position) into
     balanced partitions and staged; a row's number is its place in its partition plus the rows of
@@ -44,7 +52,7 @@ def restamp_even(
         .drop("_tie", "_at")
         .withColumn(position, F.monotonically_increasing_id())
     )
-    staged = stage(ranged, "restamp")
+    staged = stage(ranged, "numbered")
     partition = F.shiftright(F.col(position), POSITION_BITS)
     pieces = staged.groupBy(day, partition.alias("_partition")).agg(
         F.count("*").alias("_n"), F.min(position).alias("_first")
@@ -59,14 +67,13 @@ def restamp_even(
         (before - F.col("_first")).alias("_shift"),
         F.sum("_n").over(Window.partitionBy(day)).alias("_day_rows"),
     )
-    offsets = stage(offsets, "restamp_offsets")  # staged, so Spark knows its size for the join
-    numbered = staged.join(
+    offsets = stage(offsets, "numbered_offsets")  # staged, so Spark knows its size for the join
+    joined = staged.join(
         offsets,
         F.col(day).eqNullSafe(F.col("_piece_day")) & (partition == F.col("_partition")),
     )
-    index = F.col(position) + F.col("_shift")
-    moved = plus_micros(F.col(day), _micros(index, F.col("_day_rows"), exact))
-    return numbered.select(*[moved.alias(ts) if c == ts else F.col(c) for c in df.columns])
+    index = (F.col(position) + F.col("_shift")).alias("_index")
+    return joined.select(*df.columns, day, index, "_day_rows")
 
 
 def _content(df: DataFrame) -> Column:
@@ -137,17 +144,16 @@ def write_replay(
     columns: list[str] | None = None,
     text: bool = True,
     flush: str | None = None,
-    first_modified: int | None = None,
-) -> list[str]:
-    """Write rows as files that a file stream takes day by day, in event-time order.
+) -> DataFrame:
+    """Add rows to a replay as one delivery: files, and a table that names them in event-time order.
 
     Files lie in ``event_day=`` folders. The rows are range-sorted by event time, so a large day
-    is several balanced files and a small one is a single file; modification times increase in
-    event order, 10 ms apart, because the file stream takes files in that order. ``text`` writes
-    the ``value`` column as lines, otherwise Parquet. ``flush`` is the closing line. Returns the
-    files in replay order. Needs a file system that can set modification times.
+    is several balanced files and a small one is a single file. ``text`` writes the ``value`` column as
+    lines, otherwise Parquet. ``flush`` is the closing line, a file of its own at the end. Returns the
+    delivery's manifest: ``day, part, file, bytes``, which `read_replay_stream` follows. Files
+    below the path that no earlier delivery names belong to this one. One writer at a time.
     """
-    spark = df.sparkSession
+    spark, path = df.sparkSession, path.rstrip("/")
     columns = columns or (["value"] if text else [c for c in df.columns if c != "event_day"])
     out = (
         df.withColumn("event_day", F.to_date(F.col(ts)))
@@ -155,20 +161,35 @@ def write_replay(
         .orderBy("event_day", ts, "_tie", "_at")
         .select(*columns, "event_day")
     )
-    writer = out.write.partitionBy("event_day")
+    writer = out.write.mode("append").partitionBy("event_day")
     (writer.text if text else writer.parquet)(path)
-    files = sorted(data_files(spark, path), key=_replay_order)
     if flush is not None:
-        closing = f"{path}/event_day=9999-12-31"
+        closing = f"{path}/event_day={LAST_DAY}"
         if text:
-            spark.range(1).select(F.lit(flush).alias("value")).write.text(closing)
+            row = spark.range(1).select(F.lit(flush).alias("value"))
+            row.write.mode("append").text(closing)
         else:
-            _closing_row(df.select(*columns), flush, ts).write.parquet(closing)
-        files += data_files(spark, closing)
-    start = first_modified or int(time.time() * 1000) - 10 * len(files)
-    for i, name in enumerate(files):
-        set_modified(spark, name, start + 10 * i)
-    return files
+            _closing_row(df.select(*columns), flush, ts).write.mode("append").parquet(closing)
+    return _add_delivery(spark, path)
+
+
+def _add_delivery(spark: SparkSession, path: str) -> DataFrame:
+    """Name the new files of a replay in a manifest of their own."""
+    done = numbered_folders(spark, f"{path}/{MANIFEST}")
+    files = data_files(spark, path).where(F.col("path").contains("/event_day="))
+    if done:
+        named = [f"{path}/{MANIFEST}/{n:06d}" for n in done]
+        known = spark.read.schema(MANIFEST_SCHEMA).parquet(*named)
+        files = files.join(known.select(F.col("file").alias("path")), "path", "left_anti")
+    rows = files.select(
+        F.regexp_extract("path", "event_day=([^/]+)", 1).alias("day"),
+        F.regexp_extract("path", r"/part-(\d+)", 1).cast("int").alias("part"),
+        F.col("path").alias("file"),
+        F.col("length").alias("bytes"),
+    )
+    target = f"{path}/{MANIFEST}/{done[-1] + 1 if done else 0:06d}"
+    rows.write.parquet(target)
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(target)
 
 
 def _closing_row(like: DataFrame, flush: str, ts: str) -> DataFrame:
@@ -180,9 +201,35 @@ def _closing_row(like: DataFrame, flush: str, ts: str) -> DataFrame:
     return with_flush_row(like.limit(0), at, ts, **{k: v for k, v in known.items() if k != ts})
 
 
-def _replay_order(path: str) -> tuple[str, int, str]:
-    day, part = re.search(r"event_day=([^/]+)/part-(\d+)", path).groups()
-    return day, int(part), path
+def send_rows(df: DataFrame, ts: str = "event_ts", value: str = "value", order: tuple[str, ...] = ()) -> DataFrame:
+    """Lines with the key ``day:number:rows`` that tells their place: the row's number within its day and
+    the day's number of rows. Rows are numbered by (event time, order), without a day in one task."""
+    lines = df.select(ts, F.col(value).cast("string").alias("value"), *[c for c in order if c not in (ts, value)])
+    numbered = number_in_days(lines, ts, (ts, *order))
+    key = F.concat_ws(
+        ":", F.date_format("_day", schema.DAY_PATTERN), F.format_string("%012d", "_index"), F.col("_day_rows").cast("string")
+    )
+    return numbered.select(F.to_date("_day").alias("day"), "_index", key.alias("key"), "value")
+
+
+def in_sent_order(rows: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
+    """Received lines in the order in which they were numbered, each once: ``day, number, day_rows, value``.
+
+    A batch, or a micro-batch in ``foreachBatch``. Sent again after a lost task, a line has the same key, so
+    repeats go; a range sort restores the order. A day is complete when it has ``day_rows`` rows.
+    """
+    parts = F.split(F.col(key).cast("string"), ":")
+    received = rows.select(
+        F.to_date(parts[0]).alias("day"), parts[1].cast("long").alias("number"),
+        parts[2].cast("long").alias("day_rows"), F.col(value).cast("string").alias("value"),
+    )
+    return received.dropDuplicates(["day", "number"]).orderBy("day", "number")
+
+
+def incomplete_days(ordered: DataFrame) -> DataFrame:
+    """The days of which rows have not arrived, with their number: ``day, missing``."""
+    counted = ordered.groupBy("day").agg((F.max("day_rows") - F.count("*")).alias("missing"))
+    return counted.where("missing > 0")
 
 
 def write_replay_kafka(
@@ -193,18 +240,26 @@ def write_replay_kafka(
     value: str = "value",
     send: Callable[[DataFrame], None] | None = None,
     options: dict[str, str] | None = None,
+    order: tuple[str, ...] = (),
 ) -> None:
     """Send lines to a topic, a day after the other. Needs the Kafka connector on the class path.
 
-    The rows of one day are sent by many tasks at once and arrive in any order; a day is complete
-    before the next begins. Give the reading stream a watermark delay of a day at least, or it
-    drops rows as late. ``send`` takes the place of the Kafka writer. The table is staged, as every
-    day reads it; only the list of days reaches the driver.
+    The lines of a day lie in balanced ranges of event time; each is sent by one task, in order, and every
+    line's key tells its number in the day, by which `in_sent_order` restores the order of what several
+    tasks sent at once. The table is staged by day, so a day's job reads that day only; only the list of days
+    reaches the driver. ``send`` takes the place of the Kafka writer.
     """
-    rows = stage(df.select(F.to_date(ts).alias("day"), F.col(value).cast("string").alias("value")), "send")
-    days = [r["day"] for r in rows.select("day").distinct().orderBy("day").collect()]
+    spark = df.sparkSession
+    path = scratch_path(spark, "send")
+    sent = send_rows(df, ts, value, order)
+    sent.repartitionByRange("day", "_index").sortWithinPartitions("day", "_index").write.partitionBy(
+        "day"
+    ).parquet(path)
+    staged = spark.read.schema("_index long, key string, value string, day date").parquet(path)
+    days = [r["day"] for r in staged.select("day").distinct().orderBy("day").collect()]
     for day in days:
-        lines = rows.where(F.col("day").eqNullSafe(F.lit(day))).select("value")
+        here = F.col("day").eqNullSafe(F.lit(day)) if day is None else F.col("day") == F.lit(day)
+        lines = staged.where(here).select("key", "value")
         if send:
             send(lines)
         else:

@@ -23,8 +23,9 @@ from platterwatch.sources.events import (
     read_returns,
     stream_events,
 )
+from platterwatch.sources.replay import read_replay_stream
 from platterwatch.sources.storage import scratch_path, stage
-from platterwatch.streaming import sinks
+from platterwatch.streaming import routing, single_file, sinks
 from platterwatch.streaming.progress import ProgressLog
 from platterwatch.streaming.ranking import (
     append_global_top_k,
@@ -171,7 +172,7 @@ def parse_lines(spark: SparkSession, folder: str) -> DataFrame:
     return parse.valid_rows(parsed).drop("ingest_ts")
 
 
-def parse_rejects(spark: SparkSession, folder: str) -> DataFrame:
+def _damaged_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of the whole table, damaged in a way that depends on the event type."""
     events = read_events(spark, folder, keep=("event_type",))
     line, kind = parse.line_of(events), F.col("event_type")
@@ -182,7 +183,12 @@ def parse_rejects(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == "purchase", F.regexp_replace(line, r"^((?:[^,]*,){3})[^,]*", "$1"))
         .otherwise(line)
     )
-    parsed = parse.parse_telemetry(events.select(damaged.alias("value")))
+    return events.select(damaged.alias("value"))
+
+
+def parse_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of the whole table that cannot be used, by reason."""
+    parsed = parse.parse_telemetry(_damaged_lines(spark, folder))
     return parse.rejected_rows(parsed).groupBy("unreadable").agg(F.count("*").alias("n_lines"))
 
 
@@ -372,8 +378,8 @@ def stream_global_top10(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_stats_all_windows(spark: SparkSession, folder: str) -> DataFrame:
-    """One stream and one state for the windows of all lengths."""
-    result = stats.window_stats(_flushed_stream(spark, folder), _three())
+    """One stream for the windows of all lengths, the longer ones from closed days."""
+    result = rollup.chained_stats(_flushed_stream(spark, folder), _three())
     path = scratch_path(spark, "results")
     _run(spark, "stats_all", sinks.sink_documents(result, path, "parquet"))
     out = sinks.read_documents(spark, path, result.schema, "parquet")
@@ -476,22 +482,114 @@ def stream_late_drop(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(out.drop("max_ingest_ts"))
 
 
+def _drain(spark: SparkSession, name: str, writer, checkpoint: str) -> None:
+    cores = spark.sparkContext.defaultParallelism
+    run_streams({name: writer}, checkpoint, state_partitions=cores, drain=True)
+
+
 def stream_replay_lines_3d(spark: SparkSession, folder: str) -> DataFrame:
-    """Restamp, write day files, stream them back a few at a time, parse, and write lines."""
+    """Restamp, write day files, stream them back in order, eight at a time, parse, and write lines."""
     window = WINDOWS["3d"]
     moved = replay.restamp_even(_events(spark, folder), order=("event_id",))
     lines = moved.select("event_ts", parse.line_of(moved).alias("value"))
     path, out = scratch_path(spark, "replay"), scratch_path(spark, "results")
+    checkpoint = scratch_path(spark, "checkpoint")
     last = window.end_after(moved.agg(F.max("event_ts")).first()[0])
     flush = replay.flush_line(last + timedelta(days=1))
     replay.write_replay(lines, path, flush=flush)
-    source = line_sources.read_lines_stream(spark, path=path, max_files=8)
+    source = read_replay_stream(spark, path, files=8, offered=f"{checkpoint}/replay_3d/offered")
     rows = with_event_time(parse.valid_rows(parse.parse_telemetry(source)))
     result = shape.stats_lines(stats.window_stats(rows, window, lo=LO, hi=HI))
-    _run(spark, "replay_3d", sinks.sink_text(result, out))
+    _drain(spark, "replay_3d", sinks.sink_text(result, out), checkpoint)
     return sinks.read_lines_written(spark, out)
 
 
+def stream_replay_deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    """The table is replayed in three deliveries. After each the stream takes what is new, six files at a time
+    and in order, and stops; the next start goes on from its offset. No row comes late."""
+    events = _events(spark, folder)
+    path, out = scratch_path(spark, "replay"), scratch_path(spark, "results")
+    checkpoint = scratch_path(spark, "checkpoint")
+    last = events.agg(F.max("event_ts")).first()[0]
+    flush = replay.flush_line(WINDOWS["1d"].end_after(last) + timedelta(days=1))
+    first = WINDOWS["1d"].origin
+    edges = [first, first + timedelta(days=9), first + timedelta(days=20), last.date() + timedelta(days=1)]
+    for number in range(3):
+        low, high = (F.lit(x).cast("timestamp") for x in edges[number : number + 2])
+        part = events.filter((F.col("event_ts") >= low) & (F.col("event_ts") < high))
+        lines = part.select("event_ts", parse.line_of(part).alias("value"))
+        replay.write_replay(lines, path, flush=flush if number == 2 else None)
+        source = read_replay_stream(spark, path, files=6, offered=f"{checkpoint}/deliveries/offered")
+        rows = with_event_time(parse.valid_rows(parse.parse_telemetry(source)))
+        result = stats.window_stats(rows, WINDOWS["1d"])
+        _drain(spark, "deliveries", sinks.sink_documents(result, out, "parquet"), checkpoint)
+    return _rounded(sinks.read_documents(spark, out, result.schema, "parquet").drop("max_ingest_ts"))
+
+
+def replay_sent_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The table sent day by day and received in another order, some of it twice; the keys restore it."""
+    events = _events(spark, folder)
+    lines = events.select("event_id", "event_ts", parse.line_of(events).alias("value"))
+    path = scratch_path(spark, "topic")
+
+    def send(records: DataFrame) -> None:
+        shuffled = records.repartition(3, F.xxhash64("key"))
+        shuffled.write.mode("append").parquet(path)
+        shuffled.where(F.xxhash64("key") % 5 == 0).write.mode("append").parquet(path)
+
+    replay.write_replay_kafka(lines, "", "", send=send, order=("event_id",))
+    received = replay.in_sent_order(spark.read.parquet(path))
+    return received.select(F.col("day").cast("string").alias("day"), "number", "day_rows", "value")
+
+
+def stream_stats_file_1d(spark: SparkSession, folder: str) -> DataFrame:
+    """Day results as lines of one growing file. Half of the days arrive after the stream has been stopped."""
+    source, path = scratch_path(spark, "arrivals"), f"{scratch_path(spark, 'file')}/query_1_1.csv"
+    checkpoint = scratch_path(spark, "checkpoint")
+    events = _events(spark, folder)
+    early = F.col("event_ts") < F.lit(WINDOWS["1d"].origin + timedelta(days=FULL_DAYS // 2))
+    for delivery in (events.filter(early), events.filter(~early).unionByName(closing_row(spark, folder))):
+        delivery.write.mode("append").parquet(source)
+        stream = _watched(spark.readStream.schema(events.schema).parquet(source))
+        lines = shape.stats_lines(stats.window_stats(stream, WINDOWS["1d"], lo=LO, hi=HI))
+        _run(spark, "stats_file", single_file.sink_file(lines, path), checkpoint)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+def stream_routed(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of `parse_rejects` as a stream that is read once and divided: valid ones go on to a second
+    stream, the others keep their reason."""
+    source, routed = scratch_path(spark, "arrivals"), scratch_path(spark, "routed")
+    rejects, out = scratch_path(spark, "rejects"), scratch_path(spark, "results")
+    _damaged_lines(spark, folder).write.text(source)
+    parsed = parse.parse_telemetry(line_sources.read_lines_stream(spark, path=source))
+    _run(spark, "parse", routing.route(parsed, routed, rejects))
+    valid = routing.routed_rows(spark, routed)
+    _run(spark, "valid", sinks.sink_documents(valid, out, "parquet"))
+    accepted = sinks.read_documents(spark, out, valid.schema, "parquet")
+    rejected = spark.read.schema("value string, unreadable string").json(rejects)
+    reasons = accepted.select(F.lit("").alias("unreadable")).unionByName(rejected.select("unreadable"))
+    return reasons.groupBy("unreadable").agg(F.count("*").alias("n_lines"))
+
+
+SPEED, SCRAPE, WRAP = 1440, 10, 4999
+
+
+def rates_1m(spark: SparkSession, folder: str) -> DataFrame:
+    """One-minute rates of a counter per event type, as if the events were replayed at a day a minute and the
+    counters read every ten seconds. The counters begin anew now and then."""
+    events = read_events(_utc(spark), folder, keep=("event_type",))
+    start = F.unix_micros(F.lit(EVENTS_ORIGIN).cast("timestamp"))
+    moved = start + F.call_function("div", F.unix_micros("event_ts") - start, F.lit(SPEED))
+    samples = (
+        events.select(F.col("event_type").alias("query"), moved.alias("us"), "event_id")
+        .groupBy("query", F.call_function("div", F.col("us"), F.lit(SCRAPE * 1_000_000)).alias("scrape"))
+        .agg(F.timestamp_micros(F.max("us")).alias("ts"), (F.max("event_id") % WRAP).alias("counter"))
+    )
+    rates = metrics.counter_rates(samples, ("query",), chunk_seconds=300)
+    return rates.withColumn("rate", F.round("rate", DIGITS))
+
+
 QUERIES: dict[str, Query] = {
     **{f"stats_{name}": _stats(name) for name in WINDOWS},
     **{f"query1_{name}": _query1(name) for name in ("1d", "3d", "23d")},
@@ -536,4 +634,9 @@ QUERIES: dict[str, Query] = {
     "parse_ingest": parse_ingest,
     "stream_late_drop": stream_late_drop,
     "stream_replay_lines_3d": stream_replay_lines_3d,
+    "stream_replay_deliveries": stream_replay_deliveries,
+    "replay_sent_order": replay_sent_order,
+    "stream_stats_file_1d": stream_stats_file_1d,
+    "stream_routed": stream_routed,
+    "rates_1m": rates_1m,
 }

@@ -201,6 +201,33 @@ FROM (
   FROM t
 ) d"""
 
+RATES = """
+WITH e AS (
+  SELECT event_type AS query, event_id,
+         epoch_us(TIMESTAMP '2024-01-01') + (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) // 1440 AS us
+  FROM events
+), s AS (
+  SELECT query, max(us) AS us, max(event_id) % 4999 AS counter FROM e GROUP BY query, us // 10000000
+), g AS (
+  SELECT *, coalesce(CASE WHEN counter < lag(counter) OVER w THEN counter ELSE counter - lag(counter) OVER w END, 0)
+           AS grown
+  FROM s WINDOW w AS (PARTITION BY query ORDER BY us)
+), m AS (
+  SELECT *, sum(grown) OVER m - first_value(grown) OVER m AS growth, (us - min(us) OVER m) / 1000000 AS span
+  FROM g WINDOW m AS (PARTITION BY query ORDER BY us RANGE BETWEEN 60000000 PRECEDING AND CURRENT ROW)
+)
+SELECT query, make_timestamp(us) AS ts, counter, round(CASE WHEN span > 0 THEN growth / span END, 6) AS rate FROM m
+"""
+
+SENT_ROWS = """
+s AS (
+  SELECT t.*, CAST(event_ts AS DATE) AS day,
+         row_number() OVER (PARTITION BY CAST(event_ts AS DATE) ORDER BY event_ts, event_id) - 1 AS number,
+         count(*) OVER (PARTITION BY CAST(event_ts AS DATE)) AS day_rows
+  FROM t
+)"""
+SENT = f"SELECT CAST(day AS VARCHAR) AS day, number, day_rows, {line('event_ts')} AS value FROM s"
+
 COVERAGE = f"""
 SELECT window_start, count(*) AS n_results, CAST(sum(n_tuples) AS BIGINT) AS n_tuples
 FROM ({stats(1)}) s GROUP BY 1"""
@@ -284,4 +311,11 @@ ORACLE: dict[str, str] = {
     "parse_ingest": _on_events(INGEST),
     "stream_late_drop": _on_events(rounded_stats(1)),
     "stream_replay_lines_3d": _restamped_stats_lines(3),
+    "stream_replay_deliveries": _on_events(rounded_stats(1)),
+    "replay_sent_order": _on_events(SENT, SENT_ROWS),
+    "stream_stats_file_1d": _on_events(stats_lines(1, IN_RANGE)),
+    "stream_routed": REJECTS.replace("WHERE event_type <> 'error'", "").replace(
+        "CASE event_type", "CASE event_type WHEN 'error' THEN ''"
+    ),
+    "rates_1m": RATES,
 }

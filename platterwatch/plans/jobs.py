@@ -7,20 +7,20 @@ from pyspark.sql import functions as F
 
 from platterwatch import schema
 from platterwatch.operators import metrics, parse, shape
-from platterwatch.operators.ranking import device_failures, ranked_groups
-from platterwatch.operators.rollup import day_stats, rollup_stats
-from platterwatch.operators.stats import window_stats
+from platterwatch.operators.ranking import ITEMS, ranked_groups
+from platterwatch.operators.rollup import chained_failures, chained_stats, day_stats, rollup_stats
 from platterwatch.operators.windows import DayWindow, reference_windows
 from platterwatch.plans.query2 import query2_rollup
 from platterwatch.sources.storage import scratch_scope, stage
 from platterwatch.streaming import sinks
 from platterwatch.streaming.ranking import append_top_k, globally_ranked_batches, live_top_k
+from platterwatch.streaming.routing import route, routed_rows
 from platterwatch.streaming.run import run_streams
 from platterwatch.streaming.sinks import BatchWriter
 from platterwatch.streaming.watermark import with_event_time
 
 FORMS = ("lines", "documents", "wide")
-SINKS = ("files", "console", "collection")
+SINKS = ("files", "file", "console", "collection")
 
 
 def result_path(output: str, window: DayWindow, number: int) -> str:
@@ -67,11 +67,14 @@ def _writer(
     elif sink == "collection":
         uri, database = collection
         results = sinks.collection_writer(uri, database, f"query_{window.days}_{number}", shaped)
+    elif sink == "file":
+        order = ["window_start", "vault_id" if number == 1 else "part"]
+        results = sinks.file_writer(f"{path}.csv", lambda batch: shaped(batch).orderBy(*order))
     elif form == "lines":
         results = sinks.text_writer(path, shaped)
     else:
         results = sinks.document_writer(path, shaped)
-    return sinks.fan_out(results, sinks.document_writer(f"{path}_metrics", measured))
+    return sinks.fan_out(results, sinks.document_writer(f"{path}_metrics", measured), staged=True)
 
 
 def stream_job(
@@ -95,26 +98,34 @@ def stream_job(
     day_precision: bool = False,
     sink: str = "files",
     collection: tuple[str, str] | None = None,
+    drain: bool = False,
 ) -> None:
     """Run query 1 or 2 over a stream of lines as one named stream for all windows, until it ends.
 
     The source is read once and one state holds all windows. Every window has its own results, with their
     latency and coverage beside them. ``live`` writes the current ranking of the windows that a
     micro-batch changes, instead of one per closed window; ``overall`` the ranking over all closed
-    windows of each length. ``rejects`` names a folder for the lines that cannot be used,
-    written by a stream of its own that reads the source again. ``parts`` is the number of lists into
-    which the devices of a ranked group go. ``sink`` is ``files`` below ``output``, ``console``, or
-    ``collection`` with ``collection`` as (uri, database).
+    windows of each length. ``rejects`` names a folder for the lines that cannot be used: a first stream then
+    reads the source and divides it, and the query runs on the valid rows that it writes below the
+    checkpoint. ``parts`` is the number of lists into
+    which the devices of a ranked group go. ``sink`` is ``files`` below ``output``, ``file`` for one growing file
+    of lines per window, ``console``, or ``collection`` with ``collection`` as (uri, database).
     """
     windows = windows or reference_windows()
     parsed = parse.parse_telemetry(lines, day_precision=day_precision)
-    rows = with_event_time(parse.valid_rows(parsed), delay=delay)
+    routing = None
+    if rejects:
+        routed = f"{checkpoint.rstrip('/')}/routed"
+        routing = {"parse": route(parsed, routed, rejects)}
+        rows = with_event_time(routed_rows(spark, routed), delay=delay)
+    else:
+        rows = with_event_time(parse.valid_rows(parsed), delay=delay)
     state = f"{checkpoint.rstrip('/')}/rankings"
     writers = {
         w.days: _writer(output, w, number, form, parts, sink, collection) for w in windows
     }
     if number == 1:
-        result = window_stats(rows, windows, lo=lo, hi=hi)
+        result = chained_stats(rows, windows, lo=lo, hi=hi)
         stream = result.writeStream.outputMode("append").foreachBatch(sinks.by_window(writers))
     elif live:
         changes = f"{state}/changes"
@@ -124,14 +135,17 @@ def stream_job(
             days: globally_ranked_batches(writer, f"{state}/best_{days}", k=k)
             for days, writer in writers.items()
         }
-        devices = device_failures(rows, windows)
+        devices = chained_failures(rows, windows, "vault_id", "failure", ITEMS)
         stream = devices.writeStream.outputMode("append").foreachBatch(sinks.by_window(ranked))
     else:
         stream = append_top_k(rows, windows, sinks.by_window(writers), k=k)
     streams = {f"query_{number}": stream}
-    if rejects:
-        streams["rejects"] = sinks.sink_documents(parse.rejected_rows(parsed), rejects)
-    run_streams(streams, checkpoint, every, state_partitions)
+    if routing and (every is None or drain):
+        # one after the other, so that the query finds all that the first stream wrote
+        run_streams(routing, checkpoint, every, drain=drain)
+        run_streams(streams, checkpoint, None, state_partitions)
+    else:
+        run_streams({**(routing or {}), **streams}, checkpoint, every, state_partitions, drain=drain)
 
 
 def batch_job(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platterwatch import schema
@@ -27,9 +27,9 @@ def replay_dataset(
     flush_at: datetime = schema.FLUSH_AT,
     exact: bool = True,
     options: dict[str, str] | None = None,
-) -> list[str]:
-    """Restamp a dataset, in the order of its files' lines, and write it as replay files below ``path``,
-    or to a Kafka topic with the given connector options.
+) -> DataFrame | None:
+    """Restamp a dataset, in the order of its files' lines, and add it to the replay below ``path`` as one
+    delivery, whose manifest is returned, or send it to a Kafka topic with the given connector options.
 
     The closing line dated ``flush_at`` comes last; it has to lie past the end of every window.
     """
@@ -44,4 +44,4 @@ def replay_dataset(
         F.lit(flush_line(flush_at)).alias("value"), F.lit(flush_at).alias("event_ts")
     )
     write_replay_kafka(closing, servers, topic, options=options)
-    return []
+    return None

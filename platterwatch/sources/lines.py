@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from platterwatch import schema
 from platterwatch.operators.parse import not_header
+from platterwatch.sources.replay import read_replay_stream
 
 
 def read_lines_stream(
@@ -20,10 +21,13 @@ def read_lines_stream(
     max_offsets: int | None = None,
     starting: str = "earliest",
     options: dict[str, str] | None = None,
+    offered: str | None = None,
 ) -> DataFrame:
     """A stream of lines in ``value``; from Kafka also the record's ``timestamp``.
 
-    ``max_files`` and ``max_offsets`` bound a micro-batch. Kafka needs its connector on the class
+    ``kind`` is ``files`` (in the order of their times), ``replay`` (what `write_replay` made, in the order of
+    its manifest) or ``kafka``. ``max_files`` and ``max_offsets`` bound a micro-batch; a bounded replay needs
+    ``offered``, see `read_replay_stream`. Kafka needs its connector on the class
     path; ``options`` are more of its settings, such as ``kafka.group.id`` or those for security.
     """
     if kind == "kafka":
@@ -37,6 +41,8 @@ def read_lines_stream(
         if max_offsets:
             reader = reader.option("maxOffsetsPerTrigger", max_offsets)
         return reader.load().select(F.col("value").cast("string").alias("value"), "timestamp")
+    if kind == "replay":
+        return read_replay_stream(spark, path, max_files, offered)
     if kind != "files":
         raise ValueError(f"unknown source kind: {kind}")
     reader = spark.readStream.format("text")

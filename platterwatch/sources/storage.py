@@ -81,15 +81,37 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
-def data_files(spark: SparkSession, path: str) -> list[str]:
-    """The data files below a path (file names only, no content)."""
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full address of a path, as Spark resolves it. Python code in tasks needs it: there a path without
+    a scheme would be one of the machine's own disk."""
     fs, target = _file_system(spark, path)
-    found, entries = [], fs.listFiles(target, True)
-    while entries.hasNext():
-        entry = entries.next().getPath()
-        if not entry.getName().startswith(("_", ".")):
-            found.append(entry.toString())
-    return found
+    return fs.makeQualified(target).toString()
+
+
+def arrow_store(uri: str):
+    """(file system of pyarrow, path in it) of a full address, for Python code in tasks."""
+    from pyarrow import fs
+
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    return fs.FileSystem.from_uri(uri)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.mkdirs(target)
+
+
+def data_files(spark: SparkSession, path: str) -> DataFrame:
+    """The data files below a path as rows (path, length). Spark lists large trees in tasks; contents are
+    not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select("path", "length")
 
 
 def numbered_folders(spark: SparkSession, path: str) -> list[int]:
@@ -99,8 +121,3 @@ def numbered_folders(spark: SparkSession, path: str) -> list[int]:
         return []
     names = [entry.getPath().getName() for entry in fs.listStatus(target)]
     return sorted(int(name) for name in names if name.isdigit())
-
-
-def set_modified(spark: SparkSession, path: str, millis: int) -> None:
-    fs, target = _file_system(spark, path)
-    fs.setTimes(target, millis, -1)

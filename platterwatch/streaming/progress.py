@@ -48,22 +48,26 @@ def progress_table(spark: SparkSession, queries: list[StreamingQuery]) -> DataFr
 
 
 class ProgressLog(StreamingQueryListener):
-    """Appends the progress of all streams of a session to a table of JSON lines, an update at a time.
+    """Appends the progress of all streams of a session to a table of JSON lines, ``every`` updates at a time
+    and when the last stream ends.
 
-    Add it with ``spark.streams.addListener``. Nothing is kept in memory.
+    Add it with ``spark.streams.addListener``. No more than ``every`` updates are kept in memory.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self._spark, self._path = spark, path
+    def __init__(self, spark: SparkSession, path: str, every: int = 50):
+        self._spark, self._path, self._every = spark, path, every
         self._running, self._ended = set(), threading.Condition()
+        self._rows: list[tuple] = []
 
     def onQueryStarted(self, event) -> None:
         with self._ended:
             self._running.add(event.runId)
 
     def onQueryProgress(self, event) -> None:
-        row = self._spark.createDataFrame([_row(json.loads(event.progress.json))], PROGRESS)
-        row.coalesce(1).write.mode("append").json(self._path)
+        with self._ended:
+            self._rows.append(_row(json.loads(event.progress.json)))
+            if len(self._rows) >= self._every:
+                self._flush()
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -71,12 +75,22 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         with self._ended:
             self._running.discard(event.runId)
+            if not self._running:
+                self._flush()
             self._ended.notify_all()
 
+    def _flush(self) -> None:
+        rows, self._rows = self._rows, []
+        if rows:
+            table = self._spark.createDataFrame(rows, PROGRESS).coalesce(1)
+            table.write.mode("append").json(self._path)
+
     def wait(self, seconds: float = 60.0) -> bool:
         """Until the updates of all streams that have ended are in the table; they arrive with a delay."""
         with self._ended:
             return self._ended.wait_for(lambda: not self._running, seconds)
 
     def table(self) -> DataFrame:
+        with self._ended:
+            self._flush()
         return self._spark.read.schema(PROGRESS).json(self._path)

@@ -9,17 +9,28 @@ list shares one reading of the source and one state, and results then hold ``win
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from platterwatch import schema
-from platterwatch.operators.ranking import ITEMS, device_failures, rank_globally, rank_groups
-from platterwatch.operators.windows import DayWindow
+from platterwatch.operators.filters import flagged
+from platterwatch.operators.ranking import (
+    ITEMS,
+    device_failures,
+    rank_globally,
+    rank_groups,
+    ranked_devices,
+    top_k,
+)
+from platterwatch.operators.rollup import chained_failures
+from platterwatch.operators.stats import latest_ingest
+from platterwatch.operators.windows import DayWindow, group_by_window
 from platterwatch.sources.storage import numbered_folders, remove, scratch_scope, stage
 from platterwatch.streaming.sinks import BatchWriter
 
 COMPACT_EVERY = 20
+VALUES = ("failures", "n_tuples", "max_ingest_ts", "batch")  # of a device's row
 
 
 def ranked_batches(
@@ -51,8 +62,12 @@ def append_top_k(
     ts: str = "event_ts",
     k: int = schema.TOP_K,
 ) -> DataStreamWriter:
-    """The ranking of each window, written once when the window closes."""
-    devices = device_failures(df, window, key, flag, items, ts)
+    """The ranking of each window, written once when the window closes. Several windows are made from the
+    devices of closed days."""
+    if isinstance(window, list):
+        devices = chained_failures(df, window, key, flag, items, ts)
+    else:
+        devices = device_failures(df, window, key, flag, items, ts)
     batches = ranked_batches(writer, key, items, k)
     return devices.writeStream.outputMode("append").foreachBatch(batches)
 
@@ -107,59 +122,137 @@ def append_global_top_k(
     return devices.writeStream.outputMode("append").foreachBatch(batches)
 
 
-class ChangeLog:
-    """The devices of open windows: rows that changed, by micro-batch, and a snapshot now and then.
+def live_changes(
+    df: DataFrame,
+    window: DayWindow | list[DayWindow],
+    key: str = "vault_id",
+    flag: str = "failure",
+    items: tuple[str, ...] = ITEMS,
+    ts: str = "event_ts",
+    ingest: str | None = "ingest_ts",
+) -> DataFrame:
+    """Totals per device and, with ``whole``, per group, for a stream in update mode: a micro-batch then holds
+    those that it changed. ``first_seen`` and ``last_seen`` are times of micro-batches; they are equal for what
+    a micro-batch saw for the first time."""
+    df = flagged(df, flag, ts)
+    copies = df.select(
+        F.explode(F.array(F.lit(True), F.lit(False))).alias("whole"),
+        key, flag, *items, ts, F.current_timestamp().alias("_seen"),
+        *[c for c in df.columns if c == ingest],
+    )
+    copies = copies.withColumns({c: F.when(~F.col("whole"), F.col(c)) for c in items})
+    grouped, starts = group_by_window(copies, window, [key, "whole", *items], ts)
+    latest = latest_ingest(copies, ingest)
+    out = grouped.agg(
+        F.sum(flag).alias("failures"), F.count("*").alias("n_tuples"), *latest,
+        F.min("_seen").alias("first_seen"), F.max("_seen").alias("last_seen"),
+    )
+    names = ["failures", "n_tuples", *(["max_ingest_ts"] if latest else []), "first_seen", "last_seen"]
+    return out.select(*starts, key, "whole", *items, *names)
+
 
-    ``batch/n`` holds the rows of micro-batch n, ``snapshot/n`` the last rows of every device of the windows
-    that may still change after it. What a batch reads is one snapshot and the batches after it, so work
-    does not grow with the stream's age. The snapshot and batches before the last one but one are
-    removed. A batch that runs again replaces its entries and starts from the same snapshot.
+class ChangeLog:
+    """What a live ranking reads: totals of groups by version, and the devices of open windows as a log.
+
+    ``totals/n`` holds the total of every group after micro-batch n, made from the version before it and the
+    changed groups. ``batch/n`` holds the devices that micro-batch n changed, ``snapshot/n`` the last rows of every
+    device after it, now and then. Groups are ranked by the totals alone, which have one row per group and
+    window; devices are looked up for the ranked groups of changed windows only, and the log is sorted by
+    window, so that files and row groups of other windows are passed over. Entries before the last snapshot
+    but one are removed, with the windows that cannot change any more. A batch that runs again replaces
+    its entries and starts from the same version.
     """
 
     def __init__(self, path: str, window: DayWindow | list[DayWindow], delay: str, every: int):
         self.path, self.delay, self.every = path.rstrip("/"), delay, every
         self.windows = window if isinstance(window, list) else [window]
 
+    def _numbers(self, spark: SparkSession, kind: str) -> list[int]:
+        return numbered_folders(spark, f"{self.path}/{kind}")
+
     def _table(self, spark: SparkSession, kind: str, numbers: list[int]) -> DataFrame:
         return spark.read.parquet(*[f"{self.path}/{kind}/{n}" for n in numbers])
 
-    def add(self, batch: DataFrame, batch_id: int) -> DataFrame:
+    def _write(self, rows: DataFrame, kind: str, number: int, key: str) -> DataFrame:
+        """Sorted by window, in balanced files, and read back."""
+        path = f"{self.path}/{kind}/{number}"
+        rows = rows.hint("rebalance", "window_day", key).sortWithinPartitions("window_day", key)
+        rows.write.mode("overwrite").parquet(path)
+        return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+    def add(self, batch: DataFrame, batch_id: int, key: str) -> DataFrame:
         """Write the changed rows and read them back."""
-        path = f"{self.path}/batch/{batch_id}"
-        marked = batch.withColumn("batch", F.lit(batch_id).cast("long"))
-        marked.hint("rebalance").write.mode("overwrite").parquet(path)
-        return batch.sparkSession.read.schema(marked.schema).parquet(path)
-
-    def current(self, changed: DataFrame, device: list[str], batch_id: int) -> DataFrame:
-        """The last totals of all devices of the windows that the batch changed, staged."""
-        spark, names = changed.sparkSession, [c for c in changed.columns if c != "batch"]
-        snapshots = [n for n in numbered_folders(spark, f"{self.path}/snapshot") if n < batch_id]
+        marked = batch.withColumns({
+            "batch": F.lit(batch_id).cast("long"),
+            "window_day": F.unix_date(F.to_date("window_start")),
+        })
+        return self._write(marked, "batch", batch_id, key)
+
+    def update_totals(self, changed: DataFrame, batch_id: int, key: str) -> DataFrame:
+        """The version of the totals after a micro-batch. A group's total is that of the last batch that
+        changed it; devices seen for the first time add to its number of devices."""
+        spark, group = changed.sparkSession, [*_window_columns(changed), key]
+        first = ~F.col("whole") & (F.col("first_seen") == F.col("last_seen"))
+        moved = changed.groupBy(*group).agg(
+            F.max(F.when(F.col("whole"), F.col("failures"))).alias("failures"),
+            F.count(F.when(first, 1)).alias("n_devices"),
+            F.max("batch").alias("batch"),
+        )
+        earlier = [n for n in self._numbers(spark, "totals") if n < batch_id]
+        if earlier:
+            before = self._table(spark, "totals", earlier[-1:])
+            moved = moved.unionByName(before).groupBy(*group).agg(
+                F.max_by("failures", "batch").alias("failures"),
+                F.sum("n_devices").alias("n_devices"),
+                F.max("batch").alias("batch"),
+            )
+        path = f"{self.path}/totals/{batch_id}"
+        moved.write.mode("overwrite").parquet(path)
+        remove(spark, [f"{self.path}/totals/{n}" for n in earlier[:-1]])
+        return spark.read.schema(moved.schema).parquet(path)
+
+    def devices(self, spark: SparkSession, days: list[int], batch_id: int) -> DataFrame:
+        """The logged device rows of the windows that begin on some days, with the ``batch`` of each."""
+        snapshots = [n for n in self._numbers(spark, "snapshot") if n < batch_id]
         start = snapshots[-1] if snapshots else -1
-        logged = numbered_folders(spark, f"{self.path}/batch")
-        log = self._table(spark, "batch", [n for n in logged if start < n <= batch_id])
+        rows = self._table(spark, "batch", [n for n in self._numbers(spark, "batch") if start < n <= batch_id])
         if snapshots:
-            log = log.unionByName(self._table(spark, "snapshot", [start]))
-        starts = [c for c in ("window_days", "window_start") if c in names]
+            rows = rows.unionByName(self._table(spark, "snapshot", [start]))
+        return rows.where(F.col("window_day").isin(days) & ~F.col("whole"))
+
+    def compact(self, totals: DataFrame, batch_id: int, key: str, items: list[str]) -> None:
+        """Every so many batches, write the last rows of all devices whose windows may still change, drop the
+        totals of the others, and remove what is older than the snapshot before."""
+        spark = totals.sparkSession
+        snapshots = [n for n in self._numbers(spark, "snapshot") if n < batch_id]
+        start = snapshots[-1] if snapshots else -1
         if batch_id - start < self.every:
-            log = log.join(changed.select(*starts).distinct(), starts, "left_semi")
-            return stage(_last(log, [*starts, *device]).select(*names), "current")
-        every = stage(_last(log, [*starts, *device]).select(*names, "batch"), "current")
-        self._may_change(every, batch_id).write.mode("overwrite").parquet(
-            f"{self.path}/snapshot/{batch_id}"
-        )
+            return
+        seen = totals.where(F.col("batch") < batch_id).agg(F.max("window_start")).first()[0]
+        open_ = stage(totals.where(self._may_change(totals, seen)), "totals")
+        starts = open_.select(F.unix_date(F.to_date("window_start")).alias("day")).distinct()
+        days = [r["day"] for r in starts.collect()]
+        log = self.devices(spark, days, batch_id)
+        last = _last(log, [*_window_columns(log), "window_day", "whole", key, *items])
+        self._write(last, "snapshot", batch_id, key)
+        open_.write.mode("overwrite").parquet(f"{self.path}/totals/{batch_id}")
         remove(spark, [f"{self.path}/snapshot/{n}" for n in snapshots[:-1]])
-        remove(spark, [f"{self.path}/batch/{n}" for n in logged if n <= start])
-        return every.join(changed.select(*starts).distinct(), starts, "left_semi").select(*names)
+        remove(spark, [f"{self.path}/batch/{n}" for n in self._numbers(spark, "batch") if n <= start])
 
-    def _may_change(self, rows: DataFrame, batch_id: int) -> DataFrame:
-        """Without the windows that ended, less the delay, before the latest window seen in earlier
+    def _may_change(self, rows: DataFrame, seen) -> Column:
+        """Not of windows that ended, less the delay, before the latest window seen in earlier
         batches began: the watermark has passed them, and later rows of them are dropped."""
+        if seen is None:
+            return F.lit(True)
         end = F.lit(None).cast("timestamp")
         for w in self.windows:
             of_this = F.col("window_days") == w.days if "window_days" in rows.columns else F.lit(True)
             end = F.when(of_this, w.end_of(F.col("window_start"))).otherwise(end)
-        seen = rows.where(F.col("batch") < batch_id).agg(F.max("window_start")).first()[0]
-        return rows.where(end > F.lit(seen) - F.expr(f"INTERVAL {self.delay}")) if seen else rows
+        return end > F.lit(seen) - F.expr(f"INTERVAL {self.delay}")
+
+
+def _window_columns(rows: DataFrame) -> list[str]:
+    return [c for c in ("window_days", "window_start") if c in rows.columns]
 
 
 def _last(log: DataFrame, device: list[str]) -> DataFrame:
@@ -176,14 +269,22 @@ def live_batches(
     items: tuple[str, ...] = ITEMS,
     k: int = schema.TOP_K,
 ) -> BatchWriter:
-    """Rank the windows that a micro-batch of changed device rows belongs to, then write them."""
+    """Rank the windows that a micro-batch of `live_changes` belongs to, then write them."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        with scratch_scope(batch.sparkSession):
-            changed = log.add(batch, batch_id)
-            current = log.current(changed, [key, *items], batch_id)
-            if not changed.isEmpty():
-                writer(rank_groups(current, key, items, k), batch_id)
+        spark = batch.sparkSession
+        with scratch_scope(spark):
+            changed = log.add(batch, batch_id, key)
+            days = [r["window_day"] for r in changed.select("window_day").distinct().collect()]
+            totals = log.update_totals(changed, batch_id, key)
+            if days:
+                # windows of several lengths may begin on a day and only some of them have changed
+                mine = changed.select(*_window_columns(changed)).distinct()
+                best = top_k(totals.join(mine, mine.columns, "left_semi"), k, key)
+                rows = ranked_devices(log.devices(spark, days, batch_id), best, key, items)
+                last = _last(rows, [c for c in rows.columns if c not in VALUES])
+                writer(last.drop("batch"), batch_id)
+            log.compact(totals, batch_id, key, list(items))
 
     return write
 
@@ -204,14 +305,14 @@ def live_top_k(
     """The current ranking of every window that a micro-batch changes, written with that batch.
 
     The stream runs in update mode, so state holds open windows only and a micro-batch carries
-    only the devices whose totals changed. They are logged below ``changes``, and the changed windows
-    are ranked anew from the last snapshot and the log after it, see ``ChangeLog``. ``delay`` is that of the
+    only the groups and devices whose totals changed. The tables below ``changes`` follow them, see
+    ``ChangeLog``. ``delay`` is that of the
     watermark; ``every`` is the number of batches from one snapshot to the next. Of a
     window the ranking with the highest batch counts; see ``latest_rankings``.
     """
-    devices = device_failures(df, window, key, flag, items, ts)
+    found = live_changes(df, window, key, flag, items, ts)
     log = ChangeLog(changes, window, delay, every)
-    return devices.writeStream.outputMode("update").foreachBatch(
+    return found.writeStream.outputMode("update").foreachBatch(
         live_batches(writer, log, key, items, k)
     )
 

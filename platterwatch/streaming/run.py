@@ -67,11 +67,20 @@ def run_streams(
     every: str | None = schema.TRIGGER,
     state_partitions: int | None = None,
     timeout: float | None = None,
+    drain: bool = False,
 ) -> list[StreamingQuery]:
-    """Start all streams, then wait for each; the first failure stops the others and is raised."""
-    queries = start_streams(writers, checkpoint, every, state_partitions)
+    """Start all streams, then wait for each; the first failure stops the others and is raised.
+
+    With ``drain`` the streams run micro-batch after micro-batch until their sources have nothing more, and
+    end. That is ``every=None`` for sources that do not tell Spark how to divide what is available, such as
+    a bounded replay.
+    """
+    queries = start_streams(writers, checkpoint, "0 seconds" if drain else every, state_partitions)
     try:
         for query in queries:
+            if drain:
+                query.processAllAvailable()
+                continue
             query.awaitTermination(timeout) if timeout else query.awaitTermination()
     finally:
         for query in queries:

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from platterwatch.sources.storage import scratch_scope, stage
+from platterwatch.streaming.single_file import append_once
 
 Shape = Callable[[DataFrame], DataFrame]
 BatchWriter = Callable[[DataFrame, int], None]
@@ -55,14 +56,35 @@ def console_writer(shape: Shape | None = None) -> BatchWriter:
     return write
 
 
+def file_writer(path: str, shape: Shape | None = None) -> BatchWriter:
+    """Add the ``line`` column to one growing file, each micro-batch once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_once(shape(batch) if shape else batch, path, batch_id)
+
+    return write
+
+
+# The columns that tell a result row from others, where it has them.
+DOCUMENT_KEY = ("window_days", "window_start", "ts", "part", "rank", "vault_id", "model", "serial_number", "line")
+
+
+def with_document_id(rows: DataFrame, key: tuple[str, ...] = DOCUMENT_KEY) -> DataFrame:
+    """Add ``_id``, a digest of the key columns that the rows have. Null and empty text differ in it."""
+    values = [F.col(c).cast("string") for c in key if c in rows.columns]
+    parts = [F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in values]
+    return rows.withColumn("_id", F.sha2(F.concat_ws(",", *parts), 256))
+
+
 def collection_writer(
     uri: str, database: str, collection: str, shape: Shape | None = None, form: str = "mongodb"
 ) -> BatchWriter:
-    """Append rows to a MongoDB collection. Needs the MongoDB connector on the class path. Rows carry
-    their ``batch_id``, by which a reader tells the rows of a batch that was written again."""
+    """Put rows into a MongoDB collection. Needs the MongoDB connector on the class path. A row's ``_id``
+    comes from its key columns and it replaces the document of that id, so a batch that is written again
+    leaves the collection as it was. Rows carry the ``batch_id`` that wrote them last."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = (shape(batch) if shape else batch).withColumn("batch_id", F.lit(batch_id))
+        out = with_document_id(shape(batch) if shape else batch).withColumn("batch_id", F.lit(batch_id))
         out.write.mode("append").format(form).options(
             **collection_options(uri, database, collection)
         ).save()
@@ -86,16 +108,19 @@ def by_window(writers: dict[int, BatchWriter]) -> BatchWriter:
     return write
 
 
-def fan_out(*writers: BatchWriter) -> BatchWriter:
-    """Several writers for one micro-batch, which is computed once."""
+def fan_out(*writers: BatchWriter, staged: bool = False) -> BatchWriter:
+    """Several writers for one micro-batch, which is computed once: it is kept for them unless it is a
+    ``staged`` table already, as in `by_window`."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        if not staged:
+            batch.persist()
         try:
             for writer in writers:
                 writer(batch, batch_id)
         finally:
-            batch.unpersist()
+            if not staged:
+                batch.unpersist()
 
     return write
 
@@ -111,9 +136,10 @@ def sink_documents(df: DataFrame, path: str, form: str = "json") -> DataStreamWr
 
 
 def sink_collection(df: DataFrame, uri: str, database: str, collection: str) -> DataStreamWriter:
-    """Append results to a MongoDB collection. Needs the MongoDB connector on the class path."""
+    """Put results into a MongoDB collection, as `collection_writer` does. Needs the connector on the class
+    path."""
     options = collection_options(uri, database, collection)
-    return df.writeStream.format("mongodb").options(**options).outputMode("append")
+    return with_document_id(df).writeStream.format("mongodb").options(**options).outputMode("append")
 
 
 def collection_options(uri: str, database: str, collection: str) -> dict[str, str]:
@@ -121,6 +147,9 @@ def collection_options(uri: str, database: str, collection: str) -> dict[str, st
         "spark.mongodb.connection.uri": uri,
         "spark.mongodb.database": database,
         "spark.mongodb.collection": collection,
+        "operationType": "replace",
+        "idFieldList": "_id",
+        "upsertDocument": "true",
     }
 
 

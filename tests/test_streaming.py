@@ -11,12 +11,13 @@ from platterwatch.operators.filters import keep_watermark_filter
 from platterwatch.operators.parse import line_of, parse_telemetry, valid_rows
 from platterwatch.operators.ranking import device_failures, rank_globally, window_top_k
 from platterwatch.operators.replay import flush_line, write_replay
+from platterwatch.operators.rollup import chained_stats
 from platterwatch.operators.shape import stats_lines
 from platterwatch.operators.stats import window_stats
 from platterwatch.operators.windows import DayWindow, reference_windows
 from platterwatch.sources.storage import numbered_folders
 from platterwatch.sources.lines import read_lines_stream
-from platterwatch.streaming import sinks
+from platterwatch.streaming import routing, sinks
 from platterwatch.streaming.progress import ProgressLog, progress_table
 from platterwatch.streaming.ranking import (
     ChangeLog,
@@ -26,7 +27,8 @@ from platterwatch.streaming.ranking import (
     live_batches,
     live_top_k,
 )
-from platterwatch.streaming.run import STATE_CONF, run_streams, start_streams
+from platterwatch.streaming.run import STATE_CONF, run_streams
+from platterwatch.streaming.single_file import append_once, sink_file
 from platterwatch.streaming.watermark import with_event_time
 
 DAY = DayWindow(1)
@@ -57,7 +59,8 @@ def arrivals(rows, path, flush=True):
 
 
 def watched(spark, path, max_files=None):
-    lines = read_lines_stream(spark, path=path, max_files=max_files)
+    offered = f"{path}-offered" if max_files else None
+    lines = read_lines_stream(spark, "replay", path, max_files=max_files, offered=offered)
     return with_event_time(valid_rows(parse_telemetry(lines)))
 
 
@@ -66,7 +69,7 @@ def parquet_sink(result, path):
 
 
 def run(writer, checkpoint, name="q"):
-    return run_streams({name: writer}, str(checkpoint), every=None)
+    return run_streams({name: writer}, str(checkpoint), drain=True)
 
 
 def same(a, b):
@@ -75,8 +78,8 @@ def same(a, b):
 
 @pytest.mark.parametrize("max_files", [None, 2])
 def test_stream_stats_equal_batch(spark, rows, tmp_path, max_files):
-    path = arrivals(rows, str(tmp_path / "in"))
     for window in reference_windows()[:2]:
+        path = arrivals(rows, str(tmp_path / f"in{window.days}"))
         stream = watched(spark, path, max_files)
         result = window_stats(stream, window, lo=1000, hi=1010)
         out = str(tmp_path / f"out{window.days}")
@@ -166,10 +169,10 @@ def test_closing_row_outside_the_range_still_closes(spark, rows, tmp_path):
 
 def test_a_plain_filter_would_lose_the_last_window(spark, rows, tmp_path):
     """Why the indivisible predicate exists: remove this test if Spark stops pushing."""
-    path = arrivals(rows, str(tmp_path / "in"))
     seen = {}
     plain = F.col("vault_id").between(1000, 1020)
     for name, condition in {"plain": plain, "kept": keep_watermark_filter(plain)}.items():
+        path = arrivals(rows, str(tmp_path / f"in-{name}"))
         out = str(tmp_path / name)
         result = window_stats(watched(spark, path, 1).filter(condition), DAY)
         run(parquet_sink(result, out), tmp_path / f"check-{name}")
@@ -186,7 +189,7 @@ def test_late_rows_are_dropped_and_counted(spark, rows, tmp_path):
     run(parquet_sink(result, out), check)
     before = sinks.read_documents(spark, out, result.schema, "parquet").collect()
     late = rows.filter(F.dayofmonth("event_ts") == 2)
-    late.select(line_of(late).alias("value")).write.mode("append").text(path + "/event_day=2023-04-02")
+    arrivals(late, path, flush=False)
     queries = run(parquet_sink(window_stats(watched(spark, path), DAY), out), check)
     after = sinks.read_documents(spark, out, result.schema, "parquet").collect()
     assert sorted(map(str, after)) == sorted(map(str, before))
@@ -217,7 +220,7 @@ def test_delay_keeps_slightly_late_rows(spark, line, tmp_path):
         stream = with_event_time(valid_rows(parse_telemetry(lines)), delay=delay)
         result = window_stats(stream, DAY)
         out = str(tmp_path / delay)
-        run(parquet_sink(result, out), tmp_path / f"check {delay}")
+        run_streams({"q": parquet_sink(result, out)}, str(tmp_path / f"check {delay}"), every=None)
         got = sinks.read_documents(spark, out, result.schema, "parquet").collect()
         counts[delay] = {r.window_start.day: r.n_tuples for r in got}
     assert counts["0 seconds"] == {1: 1, 2: 2}
@@ -269,10 +272,8 @@ def test_debug_sink_and_named_streams(spark, rows, tmp_path):
             "debug_stats": sinks.sink_debug(stats, "debug_stats"),
             "debug_all": sinks.sink_debug(watched(spark, path).select("vault_id"), "debug_all"),
         }
-        queries = start_streams(writers, str(tmp_path / "check"), every=None)
+        queries = run_streams(writers, str(tmp_path / "check"), drain=True)
         assert {q.name for q in queries} == set(writers)
-        for q in queries:
-            q.awaitTermination(120)
         assert spark.table("debug_stats").count() == window_stats(rows, DAY).count()
         assert log.wait()
     finally:
@@ -358,10 +359,26 @@ def test_live_log_stays_bounded(spark, rows, tmp_path):
     devices = device_failures(rows, DAY)
     order = F.dayofmonth("window_start") * 2 + F.crc32(F.col("serial_number").cast("binary")) % 2 - 2
     last = 2 * LAST
+
+    def changes(n):
+        """What the stream gives for batch n: its devices, all new, and the totals of their groups."""
+        seen = F.lit(n).cast("timestamp")
+        mine = devices.filter(order == n).withColumn("whole", F.lit(False))
+        group = ["window_start", "vault_id"]
+        touched = mine.select(*group).distinct()
+        sums = [F.sum(c).alias(c) for c in ("failures", "n_tuples")]
+        total = devices.filter(order <= n).join(touched, group).groupBy(*group).agg(
+            *sums, F.max("max_ingest_ts").alias("max_ingest_ts")
+        )
+        total = total.withColumn("whole", F.lit(True))
+        both = mine.unionByName(total, allowMissingColumns=True)
+        return both.withColumns({"first_seen": seen, "last_seen": seen})
+
     for n in [*range(6), 5, *range(6, last + every)]:
-        write(devices.filter(order == n), n)
+        write(changes(n), n)
         assert len(numbered_folders(spark, f"{path}/batch")) <= 2 * every + 1
         assert len(numbered_folders(spark, f"{path}/snapshot")) <= 2
+        assert len(numbered_folders(spark, f"{path}/totals")) <= 2
     want = window_top_k(rows, DAY, k=3).drop("max_ingest_ts").collect()
     assert sorted(sum(latest.values(), [])) == sorted(map(str, want))
     newest = numbered_folders(spark, f"{path}/snapshot")[-1]
@@ -369,11 +386,120 @@ def test_live_log_stays_bounded(spark, rows, tmp_path):
     assert 0 < kept.count() <= 2  # closed windows are not carried on
 
 
+def test_live_ranking_reads_no_device_of_other_groups(spark, rows, tmp_path):
+    """Groups are ranked by their totals; the log is read for the ranked groups and changed windows."""
+    path, check = str(tmp_path / "changes"), tmp_path / "check"
+    source = str(tmp_path / "in")
+    rows.write.parquet(source)
+    stream = with_event_time(spark.readStream.schema(rows.schema).parquet(source), delay="30 days")
+    out = str(tmp_path / "out")
+    run(live_top_k(stream, DAY, sinks.document_writer(out), path, k=2), check)
+    totals = spark.read.parquet(f"{path}/totals/0")
+    want = device_failures(rows, DAY).groupBy("window_start", "vault_id").agg(
+        F.sum("failures").alias("failures"), F.count("*").alias("n_devices")
+    )
+    same(totals.select(*want.columns), want)
+    log = ChangeLog(path, DAY, "0 seconds", 20)
+    some = log.devices(spark, [19448], 0)  # 2023-04-01
+    assert {r.window_start.day for r in some.collect()} == {1}
+    assert "PushedFilters" in some._jdf.queryExecution().toString()
+
+
+def test_chained_windows_hold_days_not_rows(spark, rows, tmp_path):
+    """The second aggregation has a row per open window and key; the first holds open days only."""
+    path = arrivals(rows, str(tmp_path / "in"))
+    windows = reference_windows()
+    out = str(tmp_path / "out")
+    result = chained_stats(watched(spark, path, 1), windows)
+    queries = run(parquet_sink(result, out), tmp_path / "check")
+    got = sinks.read_documents(spark, out, result.schema, "parquet")
+    for w in windows:
+        mine = got.where(F.col("window_days") == w.days)
+        shown = ["window_start", "vault_id", "n_tuples"]
+        shown += [F.round("mean", 9).alias("mean"), F.round("stddev", 9).alias("stddev")]
+        same(mine.select(*shown), window_stats(rows, w).select(*shown))
+    states = [json.loads(p.json)["stateOperators"] for p in queries[0].recentProgress]
+    assert {len(s) for s in states} == {2}
+    keys = rows.select("vault_id").distinct().count() + 1
+    assert max(s[1]["numRowsTotal"] for s in states) <= 2 * keys  # the day partials
+    assert max(s[0]["numRowsTotal"] for s in states) <= 3 * 2 * keys  # a list of days for each window
+
+
+def test_chained_stats_without_values(spark, telemetry, tmp_path):
+    source = str(tmp_path / "in")
+    rows = telemetry([("2023-04-01T00:00:00", 1000, 0, 5, "m", "s"), ("2023-04-02T00:00:00", 1000, 0, 7, "m", "s")])
+    empty = F.when(F.col("s194_temperature_celsius") > 6, F.col("s194_temperature_celsius"))
+    closing = telemetry([("2023-06-01T00:00:00", 0, 0, 0, "m", "s")])
+    rows = rows.withColumn("s194_temperature_celsius", empty)
+    rows.unionByName(rows.withColumn("vault_id", F.lit(1001)).limit(1)).unionByName(closing).write.parquet(source)
+    stream = with_event_time(spark.readStream.schema(rows.schema).parquet(source))
+    out = str(tmp_path / "out")
+    result = chained_stats(stream, [DayWindow(3)], lo=1000, hi=1001)
+    run(parquet_sink(result, out), tmp_path / "check")
+    got = {r.vault_id: (r.n_tuples, r["mean"], r.stddev) for r in spark.read.parquet(out).collect()}
+    assert got == {1000: (2, 7.0, 0.0), 1001: (1, None, 0.0)}
+
+
+def counts(spark, path):
+    return [r.value for r in spark.read.text(path).collect()]
+
+
+def test_one_file_holds_each_batch_once(spark, tmp_path):
+    path = str(tmp_path / "results" / "out.csv")
+    os.makedirs(os.path.dirname(path))
+    lines = lambda a, b: spark.range(a, b, numPartitions=3).selectExpr("concat('line ', id) AS line")
+    for epoch, (a, b) in [(0, (0, 40)), (1, (40, 50)), (1, (40, 50)), (0, (0, 40)), (2, (50, 50)), (3, (50, 55))]:
+        append_once(lines(a, b), path, epoch)
+        if epoch == 2:
+            with open(path, "a") as file:  # a commit that broke off
+                file.write("half a li")
+    assert open(path).read().splitlines() == [f"line {k}" for k in range(55)]
+    assert os.listdir(f"{path}.commits/pieces") == []
+
+
+def test_stream_into_one_file(spark, rows, tmp_path):
+    path, out = arrivals(rows, str(tmp_path / "in")), str(tmp_path / "out.csv")
+    lines = stats_lines(window_stats(watched(spark, path, 2), DAY))
+    run(sink_file(lines, out), tmp_path / "check")
+    run(sink_file(stats_lines(window_stats(watched(spark, path, 2), DAY)), out), tmp_path / "check")
+    want = stats_lines(window_stats(rows, DAY)).select("line")
+    assert sorted(open(out).read().splitlines()) == sorted(r.line for r in want.collect())
+
+
+def test_routing_reads_the_source_once(spark, line, tmp_path):
+    source, routed = tmp_path / "in", str(tmp_path / "routed")
+    source.mkdir()
+    at = "2023-04-01T00:00:00.000000"
+    texts = [line(at, serial=str(k), temp="" if k % 3 == 0 else "20.5") for k in range(30)] + ["short,line"]
+    (source / "a.txt").write_text("\n".join(texts) + "\n")
+    parsed = parse_telemetry(read_lines_stream(spark, path=str(source)))
+    writers = {"parse": routing.route(parsed, routed, str(tmp_path / "rejects"))}
+    queries = run_streams(writers, str(tmp_path / "check"), every=None)
+    assert sum(p["numInputRows"] for p in queries[0].recentProgress) == len(texts)
+    valid = routing.routed_rows(spark, routed)
+    run_streams({"q": parquet_sink(valid, str(tmp_path / "out"))}, str(tmp_path / "check2"), every=None)
+    kept = {r.serial_number for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert kept == {str(k) for k in range(30) if k % 3}
+    rejected = {r.value for r in spark.read.json(str(tmp_path / "rejects")).collect()}
+    assert rejected == {t for k, t in enumerate(texts) if k % 3 == 0 or k == 30}
+
+
+def test_documents_keep_their_id_when_written_again(spark, rows, telemetry):
+    ranked = window_top_k(rows, DAY, k=3)
+    ids = [sorted(r["_id"] for r in sinks.with_document_id(x).collect()) for x in (ranked, ranked.repartition(7))]
+    assert ids[0] == ids[1] and len(set(ids[0])) == len(ids[0]) == ranked.count()
+    wide = spark.createDataFrame([("a,b", "c", None), ("a", "b,c", None), ("", None, 1), (None, "", 1)],
+                                 "model string, serial_number string, vault_id int")
+    assert sinks.with_document_id(wide).select("_id").distinct().count() == 4
+    options = sinks.collection_options("uri", "base", "name")
+    assert options["operationType"] == "replace" and options["idFieldList"] == "_id"
+
+
 def test_writers_of_other_sinks(spark, rows, tmp_path):
     result = window_stats(rows, DAY).limit(3)
     sinks.console_writer()(result, 0)
     options = sinks.collection_options("uri", "base", "name")
-    assert sorted(options.values()) == ["base", "name", "uri"]
+    assert {"base", "name", "uri"} <= set(options.values())
     with pytest.raises(Exception, match="(?i)mongodb"):
         sinks.collection_writer("uri", "base", "name")(result, 0)
 
