@@ -52,3 +52,17 @@ class PerfectHash:
             out[left[hit]] = (self.before[word] + np.bitwise_count(below))[hit]
             left, base = left[~hit], base + words
         return out
+
+    @staticmethod
+    def find_one(sizes: list[int], key: int, word_at) -> int:
+        """The number of one key, -1 if no level has it. word_at(place) gives a table word and the ones before
+        it, so a lookup touches one word a level."""
+        one, base = np.array([key], np.int64).astype(np.uint64), 0
+        for level, words in enumerate(sizes):
+            slot = int(level_hash(one, level)[0] % np.uint64(64 * words))
+            table, before = word_at(base + slot // 64)
+            bit = slot % 64
+            if table >> bit & 1:
+                return before + (table & ((1 << bit) - 1)).bit_count()
+            base += words
+        return -1

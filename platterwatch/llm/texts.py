@@ -54,6 +54,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def range_hashes(data: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of every range."""
+    n = len(data) + 1
+    sums = np.zeros(n, np.uint64)
+    np.cumsum(_BYTE_KEYS[data] * powers(_BASE, n - 1), out=sums[1:])
+    return mix((sums[end] - sums[at]) * powers(_BASE_INVERSE, n)[at])
+
+
 class Words:
     """Words of several texts: `at` (start byte), `end`, `first` (word number where each text
     begins, one more at the end), and on demand a 64-bit hash of every word."""
@@ -76,10 +84,7 @@ class Words:
     def hashes(self, at: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
         """A 64-bit hash of every word, or of every given range of bytes."""
         at, end = (self.at, self.end) if at is None else (at, end)
-        n = len(self.data) + 1
-        sums = np.zeros(n, np.uint64)
-        np.cumsum(_BYTE_KEYS[self.data] * powers(_BASE, n - 1), out=sums[1:])
-        return mix((sums[end] - sums[at]) * powers(_BASE_INVERSE, n)[at])
+        return range_hashes(self.data, at, end)
 
     def per_text(self, values: np.ndarray) -> np.ndarray:
         """Sums of a value per word over each text."""

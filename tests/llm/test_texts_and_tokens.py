@@ -128,13 +128,15 @@ def test_perfect_hash_is_minimal_and_perfect(n):
     assert 64 * len(found.words) <= 6 * n + 256
 
 
-def test_shards_round_trip(odd_documents):
+@pytest.mark.parametrize("shards", [None, 3])
+def test_shards_round_trip(odd_documents, shards):
     plain = Tokenizer.from_file(WORDS)
     spark = odd_documents.sparkSession
-    rows = token_shards.round_trip(odd_documents, WORDS).collect()
-    assert len(rows) == odd_documents.count() and all(
-        r["in_index"] == (r["doc_id"] is not None) for r in rows
-    )
+    rows = token_shards.round_trip(odd_documents, WORDS, shards).collect()
+    assert len(rows) == odd_documents.count()
+    named = {r["doc_id"] for r in rows if r["doc_id"] is not None}
+    indexed = [r["doc_id"] for r in rows if r["in_index"]]
+    assert set(indexed) == named and len(indexed) <= len(named) + (shards or 1) - 1
     rows.sort(key=lambda r: r["start"])
     ids = [r["doc_id"] for r in rows]
     assert ids[:2] == [None, None] and ids[2:] == sorted(ids[2:])
@@ -156,7 +158,80 @@ def test_lookup_of_known_and_foreign_keys(spark, documents):
         (ids,) = token_shards.lookup(spark, folder, k * 7)
         assert ids.tolist() == plain.encode(f"text number {k}", add_special_tokens=False).ids + [1]
     assert all(token_shards.lookup(spark, folder, k) == [] for k in (-1, 1, 100, 4000))
-    assert sum(r["n_docs"] for r, _ in token_shards.manifest(spark, folder)) == 500
+    assert sum(r["n_docs"] for r in token_shards.manifest(spark, folder)) == 500
+    assert len(token_shards.manifest(spark, folder, 7)) == 1
+
+
+def damaged(spark, folder, change):
+    """Change the bytes of every index file; the rows that are read afterwards."""
+    for row in token_shards.manifest(spark, folder):
+        shard = token_shards.Shard(f"file:{folder.replace('file:', '')}", row["payload"], row["index"])
+        path = f"{folder.replace('file:', '')}/{row['index']}"
+        data = bytearray(open(path, "rb").read())
+        change(data, shard)
+        open(path, "wb").write(data)
+    return token_shards.read_shards(spark, folder)
+
+
+def test_results_come_through_the_index(spark, documents):
+    docs = documents([(k, f"text {'word ' * k}") for k in range(300)])
+    contract = ("start", "n_tokens", "ids_crc32")
+
+    def written():
+        folder = scratch_path(spark, "shards")
+        token_shards.write_shards(docs, folder, WORDS, shards=2)
+        return folder
+
+    def swap(data, shard):
+        """Exchange the places of two slots."""
+        slots = np.frombuffer(data, token_shards.SLOT, int(shard.head["n_keys"]), shard.slots)
+        for name in ("begin", "size"):
+            slots[name][[0, 1]] = slots[name][[1, 0]]
+
+    def blank(data, shard):
+        data[shard.tables : shard.slots] = bytes(shard.slots - shard.tables)
+
+    folder = written()
+    good = {r["doc_id"]: [r[c] for c in contract] for r in token_shards.read_shards(spark, folder).collect()}
+    bad = {r["doc_id"]: [r[c] for c in contract] for r in damaged(spark, folder, swap).collect()}
+    assert sum(bad[k] != good[k] for k in good) == 4
+    with pytest.raises(Exception, match="does not lead to a key"):
+        damaged(spark, written(), blank).collect()
+
+
+def test_a_lookup_reads_a_constant_amount(spark, documents, monkeypatch):
+    read = []
+    for n in (50, 5000):
+        folder = scratch_path(spark, "shards")
+        token_shards.write_shards(documents([(k, "some words") for k in range(n)]), folder, WORDS, shards=1)
+        row = token_shards.manifest(spark, folder)[0]
+        shard = token_shards.Shard(token_shards.qualified(spark, folder), row["payload"], row["index"])
+        sizes, plain = [], shard.read
+        shard.read = lambda at, k, kind: sizes.append(k * np.dtype(kind).itemsize) or plain(at, k, kind)
+        for key in range(0, n, n // 50):
+            assert len(shard.find(key)) == 3
+        read.append(sum(sizes) / 50)
+    assert max(read) < 120  # bytes of index, on average
+
+
+def test_number_of_shards_follows_the_bytes(spark, documents):
+    docs = documents([(k, "x" * 1000) for k in range(64)])
+    assert token_shards.count_shards(docs) == 1
+    assert token_shards.count_shards(docs, 1000) == 64
+    folder = scratch_path(spark, "shards")
+    same = documents([(1, "the same words")] * 400)
+    token_shards.write_shards(same, folder, WORDS, shards=4)
+    assert [r["n_docs"] > 40 for r in token_shards.manifest(spark, folder)] == [True] * 4
+
+
+def test_word_encoder_forgets_the_half_used_least(monkeypatch):
+    monkeypatch.setattr(token_shards, "CACHED_PIECES", 40)
+    own, plain = token_shards.WordEncoder(WORDS), Tokenizer.from_file(WORDS)
+    for k in range(30):
+        text = f"common words and n{k} x{k * k} It's É{k} ,.;: 12ab"
+        ids, _ = own.encode([text, b""], 1)
+        assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, 1, 1]
+    assert len(own.keys) <= 60
 
 
 def test_shards_of_an_empty_table(empty_documents):
