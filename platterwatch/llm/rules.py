@@ -1,9 +1,16 @@
 """Quality rules as weak supervision.
 
-Each rule looks at one statistic of a document and votes good (1), bad (-1) or abstains (0).
-Expectation-maximisation over the votes of all documents estimates how often each rule is right
-when it votes, and the share of good documents; a document's posterior probability of being good
-then decides, where all-must-pass filtering would let one rule reject it.
+Each rule looks at one statistic of a document and votes good (1), bad (-1) or abstains (0): good where the
+statistic is what it is in clean prose, bad where it is far from that, and neither in between.
+Expectation-maximisation over the votes of all documents estimates the share of good documents and, for each
+rule, how often it is right when it votes on a good document and when it votes on a bad one. A
+document's posterior probability of being good then decides, where all-must-pass filtering would let one
+rule reject it.
+
+Two things keep the estimate from naming any large cluster of votes the bad class. Rules are written so that
+they seldom call a good document bad, while each sees one kind of bad document only, and both are priors
+that weigh as much as the data. And votes that go together within the classes count less: a rule's
+evidence is divided by one plus the squared correlations of its votes with those of the other rules.
 
 The estimation sees every document through the number of documents per vote pattern. There are at
 most 3 ** 8 patterns for the eight rules, whatever the input, so that table is what reaches the driver and
@@ -15,6 +22,8 @@ a row each and weigh as many times. An empty table gives no rows. Other columns
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +31,9 @@ from pyspark.sql import functions as F
 from platterwatch.llm.texts import Words, chunked, per_text
 from platterwatch.sources.storage import stage
 
-ROUNDS = 60
+ROUNDS = 100
 KEPT_FROM = 0.5
+GOOD_RIGHT, BAD_RIGHT = 0.98, 0.35  # how often a rule is thought right on good and on bad documents
 
 COUNTS = (
     "n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines n_upper n_letters n_top_word"
@@ -121,43 +131,64 @@ def vote(bad, good) -> F.Column:
 def rules() -> dict[str, F.Column]:
     """Votes by statistic. Shares are compared as products, so that no division by zero occurs."""
     c = {x: F.col(x) for x in COUNTS}
-    words, lines = c["n_words"], c["n_lines"]
+    words, lines, letters = c["n_words"], c["n_lines"], c["n_letters"]
+    chars, top, upper = c["word_chars"], c["n_top_word"], c["n_upper"]
     return {
-        "length": vote(words < 20, words >= 50),
+        "length": vote(words < 20, (words >= 100) & (words <= 100_000)),
         "word_size": vote(
-            (c["word_chars"] < 2 * words) | (c["word_chars"] > 15 * words),
-            (c["word_chars"] >= 3 * words) & (c["word_chars"] <= 10 * words),
-        ),
-        "symbols": vote(10 * c["n_symbols"] > 2 * words, 20 * c["n_symbols"] <= words),
-        "dup_lines": vote(10 * c["n_dup_lines"] > 4 * lines, 10 * c["n_dup_lines"] <= lines),
-        "repeats": vote(
-            10 * c["n_repeat_words"] > 4 * words, 10 * c["n_repeat_words"] <= 2 * words
-        ),
-        "upper": vote(10 * c["n_upper"] > 5 * c["n_letters"], 10 * c["n_upper"] <= 2 * c["n_letters"]),
-        "letters": vote(
-            10 * c["n_letters"] < 6 * c["word_chars"], 10 * c["n_letters"] >= 8 * c["word_chars"]
+            (chars < 3 * words) | (chars > 7 * words), (chars >= 4 * words) & (chars <= 6 * words)
         ),
-        "top_word": vote(10 * c["n_top_word"] > 4 * words, 10 * c["n_top_word"] <= 2 * words),
+        "symbols": vote(10 * c["n_symbols"] > words, 200 * c["n_symbols"] <= words),
+        "dup_lines": vote(10 * c["n_dup_lines"] > 3 * lines, (c["n_dup_lines"] == 0) & (lines >= 3)),
+        "repeats": vote(10 * c["n_repeat_words"] > 2 * words, 100 * c["n_repeat_words"] <= words),
+        "upper": vote(10 * upper > 3 * letters, (100 * upper <= 5 * letters) & (upper > 0)),
+        "letters": vote(100 * letters < 90 * chars, 100 * letters >= 95 * chars),
+        "top_word": vote(100 * top > 20 * words, 100 * top <= 8 * words),
     }
 
 
-def fit(votes: np.ndarray, weight: np.ndarray, rounds: int = ROUNDS):
-    """(share of good documents, accuracy of each rule) by expectation-maximisation.
-    Accuracies stay above one half: that is what tells good from bad without labels."""
-    share, accuracy = 0.5, np.full(votes.shape[1], 0.8)
-    cast = votes != 0
+class Model(NamedTuple):
+    share: float  # of good documents
+    good_right: np.ndarray  # how often each rule is right when it votes on a good document
+    bad_right: np.ndarray  # and on a bad one
+    weight: np.ndarray  # what its votes count, for those that go together
+
+
+def fit(votes: np.ndarray, weight: np.ndarray, rounds: int = ROUNDS) -> Model:
+    """The model of vote patterns with their numbers of documents."""
+    n = votes.shape[1]
+    model = Model(0.8, np.full(n, GOOD_RIGHT), np.full(n, BAD_RIGHT), np.ones(n))
+    cast, up, down = votes != 0, votes > 0, votes < 0
     for _ in range(rounds):
-        good = posterior(votes, share, accuracy)
-        right = np.where(votes > 0, good[:, None], 1 - good[:, None]) * cast * weight[:, None]
-        total = (cast * weight[:, None]).sum(0)
-        accuracy = np.clip((right.sum(0) + 8) / (total + 10), 0.55, 0.99)
-        share = float(np.clip(((good * weight).sum() + 1) / (weight.sum() + 2), 0.01, 0.99))
-    return share, accuracy
+        p = posterior(votes, model)
+        good, bad = p * weight, (1 - p) * weight
+        of_good, of_bad = good @ cast, bad @ cast
+        good_right = (good @ up + GOOD_RIGHT * (of_good + 1)) / (2 * of_good + 1)
+        bad_right = (bad @ down + BAD_RIGHT * (of_bad + 1)) / (2 * of_bad + 1)
+        bad_right = np.maximum(bad_right, 1 - good_right + 0.02)  # better than chance
+        share = float((good.sum() + 1) / (weight.sum() + 2))
+        model = Model(share, good_right, bad_right, 1 / (together(votes, good, bad) ** 2).sum(0))
+    return model
+
+
+def together(votes: np.ndarray, good: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """Correlations of the rules' votes within the two classes, none below zero, one with itself."""
+    total = np.zeros((votes.shape[1], votes.shape[1]))
+    for mine in (good, bad):
+        apart = votes - (mine @ votes) / max(mine.sum(), 1e-9)
+        total += (apart * mine[:, None]).T @ apart
+    spread = np.sqrt(np.maximum(np.diag(total), 1e-9))
+    out = np.maximum(total / np.outer(spread, spread), 0)
+    np.fill_diagonal(out, 1)
+    return out
 
 
-def posterior(votes: np.ndarray, share: float, accuracy: np.ndarray) -> np.ndarray:
-    odds = np.log(share / (1 - share)) + votes @ np.log(accuracy / (1 - accuracy))
-    return 1 / (1 + np.exp(-odds))
+def posterior(votes: np.ndarray, model: Model) -> np.ndarray:
+    """The probability of being good for each row of votes."""
+    says_good = np.log(model.good_right / (1 - model.bad_right))
+    says_bad = np.log((1 - model.good_right) / model.bad_right)
+    evidence = np.where(votes > 0, says_good, np.where(votes < 0, says_bad, 0.0)) @ model.weight
+    return 1 / (1 + np.exp(-(np.log(model.share / (1 - model.share)) + evidence)))
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -169,10 +200,8 @@ def judged(docs: DataFrame) -> DataFrame:
     names = [f"vote_{k}" for k in made]
     patterns = voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).collect()  # 3 ** rules at most
     votes = np.array([[row[n] for n in names] for row in patterns]).reshape(-1, len(names))
-    share, accuracy = fit(votes, np.array([row["n"] for row in patterns], float))
-    values = [
-        (*map(int, v), float(p)) for v, p in zip(votes, posterior(votes, share, accuracy))
-    ]
+    model = fit(votes, np.array([row["n"] for row in patterns], float))
+    values = [(*map(int, v), float(p)) for v, p in zip(votes, posterior(votes, model))]
     schema = ", ".join(f"{n} int" for n in names) + ", p_good double"
     table = F.broadcast(spark.createDataFrame(values, schema))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
