@@ -74,18 +74,15 @@ def without_boilerplate(
     number of lines taken out."""
     lines = stage(line_table(docs, site), "lines")
     here = F.struct(F.col("id").isNull().alias("no_id"), "id", "mark", "place")
-    key, mark, drop = fresh(docs, "key", "mark", "drop")
+    key, mark, drop, parts = fresh(docs, "key", "mark", "drop", "parts")
     drops = (
         lines.join(boilerplate(lines, sites), ["a", "b"])
         .where(here != F.col("first"))
         .groupBy(F.coalesce("id", F.lit(0)).alias(key), F.col("mark").alias(mark))
         .agg(F.collect_set("place").alias(drop))
     )
-    parts = F.split("text", "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(drop))
-    rebuilt = F.array_join(F.transform(kept, lambda k: F.get(parts, k)), "\n")
     columns = [
-        F.when(F.col(drop).isNull(), F.col("text")).otherwise(rebuilt).alias(c)
+        F.when(F.col(drop).isNull(), F.col("text")).otherwise(without(parts, drop)).alias(c)
         if c.lower() == "text"
         else F.col(f"`{c}`")
         for c in docs.columns
@@ -95,4 +92,18 @@ def without_boilerplate(
     marked = docs.withColumns({
         key: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), mark: F.xxhash64("doc_id", "text"),
     })
-    return marked.join(drops, [key, mark], "left").select(*columns)
+    joined = marked.join(drops, [key, mark], "left")
+    # A one-row generator, so that a text is split once and not again for each line that is kept.
+    split = F.struct(F.when(F.col(drop).isNotNull(), F.split("text", "\n", -1)).alias(parts))
+    return joined.select("*", F.inline(F.array(split))).select(*columns)
+
+
+def without(parts: str, drop: str) -> F.Column:
+    """The lines in column `parts` but for those at the places in column `drop`, joined: what lies between one
+    dropped line and the next is taken as a whole, so work grows with the lines."""
+    places = F.array_sort(F.col(drop))
+    begins = F.concat(F.array(F.lit(0)), F.transform(places, lambda k: k + 1))
+    ends = F.concat(places, F.array(F.size(parts)))
+    between = F.arrays_zip(begins.alias("begin"), ends.alias("end"))
+    kept = F.transform(between, lambda x: F.slice(F.col(parts), x["begin"] + 1, x["end"] - x["begin"]))
+    return F.array_join(F.flatten(kept), "\n")

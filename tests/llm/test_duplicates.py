@@ -153,6 +153,24 @@ def test_line_spread_with_many_sites(documents):
     assert found.where("gone > 0 and doc_id >= 1000").count() == 0
 
 
+def test_line_spread_of_a_text_of_many_lines(documents):
+    """What is kept of 60,000 lines is put together in proportion to their number."""
+    boiler = "this line stands on many of the sites"
+    rows = [(k, boiler, None, f"s{k}") for k in range(8)]
+    own = [f"line number {k} of the text itself" for k in range(60_000)]
+    rows.append((9, "\n".join(boiler if k % 3 == 0 else x for k, x in enumerate(own)), None, "s9"))
+    found = lines.without_boilerplate(documents(rows), removed="n").where("doc_id = 9").first()
+    assert found["n"] == 20_000
+    assert found["text"] == "\n".join(x for k, x in enumerate(own) if k % 3)
+
+
+@pytest.mark.parametrize("drops", [[0], [4], [0, 1, 2, 3, 4], [1, 3], [3, 1]])
+def test_lines_between_dropped_ones(spark, drops):
+    table = spark.createDataFrame([(["a", "", "c", "d", "e"], drops)], "parts array<string>, drop array<int>")
+    want = "\n".join(x for k, x in enumerate(["a", "", "c", "d", "e"]) if k not in drops)
+    assert table.select(lines.without("parts", "drop")).first()[0] == want
+
+
 def test_line_spread_odd_rows(odd_documents, empty_documents):
     found = lines.without_boilerplate(odd_documents)
     assert found.schema == odd_documents.schema
