@@ -53,36 +53,55 @@ ROLES = {0: "secret", 1: "name", 2: "secret", 3: "secret", 4: "secret", 5: "name
 NEEDS = {"secret": ["name"], "name": ["secret"], "endpoint": ["name", "secret"]}
 
 
-def lengths(text: Column, number: int, pattern: str, needed: str | None) -> Column:
-    """For each match: length of the gap before it, its length, its kind's number."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    if needed:
-        found = F.when(F.contains(text, F.lit(needed)), found).otherwise(F.array().cast("array<string>"))
-    gaps = F.split(text, pattern, -1)
+def matches(text: Column) -> list[Column]:
+    """The matches of every pattern, the gaps between them, and the assigned values. Each is an array that a
+    pass over the text makes; `lengths` reads them as columns."""
+    out = []
+    for number, _, pattern, needed in PATTERNS:
+        found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        gaps = F.split(text, pattern, -1)
+        if needed:
+            there = F.contains(text, F.lit(needed))
+            found, gaps = F.when(there, found), F.when(there, gaps)
+        out += [found.alias(f"found_{number}"), gaps.alias(f"gaps_{number}")]
+    return [*out, F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2)).alias("value")]
+
+
+def lengths(number: int) -> Column:
+    """For each match of a pattern: length of the gap before it, its length, its kind's number."""
+    found = F.col(f"found_{number}")
+    zipped = [found.alias("found"), F.slice(f"gaps_{number}", 1, F.size(found)).alias("gap")]
+    kind = lambda x: F.lit(number)
     if number == 0:
-        value = F.regexp_extract_all(text, F.lit(pattern), F.lit(2))
-        kind = lambda k: F.when(F.length(F.get(value, k)) >= LEAST_VALUE, 0).otherwise(SHORT)
-    else:
-        kind = lambda k: F.lit(number)
-    rows = F.transform(
-        F.arrays_zip(found.alias("found"), F.slice(gaps, 1, F.size(found)).alias("gap")),
-        lambda x, k: F.struct(
-            F.length(x["gap"]).alias("gap"), F.length(x["found"]).alias("size"), kind(k).alias("kind")
+        zipped.append(F.col("value").alias("value"))
+        kind = lambda x: F.when(F.length(x["value"]) >= LEAST_VALUE, 0).otherwise(SHORT)
+    return F.transform(
+        F.arrays_zip(*zipped),
+        lambda x: F.struct(
+            F.length(x["gap"]).alias("gap"), F.length(x["found"]).alias("size"), kind(x).alias("kind")
         ),
     )
-    return F.when(F.size(found) > 0, rows)
 
 
 def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows: id, mark of every document; spans: id, mark, kind, start, end, once per document)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    scanned = docs.select(
+    # A one-row generator keeps the projections apart: put into one another they would scan the text again for
+    # every match that a lambda looks at.
+    matched = docs.select(
         F.col("doc_id").cast("bigint").alias("id"),
         F.xxhash64("doc_id", "text").alias("mark"),
+        F.inline(F.array(F.struct(*matches(text)))),
+    )
+    scanned = matched.select(
+        "id",
+        "mark",
         F.array_compact(
             F.array(*[
-                F.when(F.size(found) > 0, F.struct(F.lit(n).alias("scan"), found.alias("found")))
-                for n, found in ((p[0], lengths(text, p[0], p[2], p[3])) for p in PATTERNS)
+                F.when(
+                    F.size(f"found_{n}") > 0, F.struct(F.lit(n).alias("scan"), lengths(n).alias("found"))
+                )
+                for n, *_ in PATTERNS
             ])
         ).alias("scans"),
     )

@@ -86,6 +86,18 @@ def test_weak_parts_alone_are_not_reported(documents):
     assert spans[8] == ["name", "short"]
 
 
+def test_secrets_of_a_text_of_many_matches(documents):
+    """A text is scanned once for each pattern, however many matches it has."""
+    text = "token=abcdefgh\nsecret: abc\nAKIA" + "A" * 16 + "\n"
+    (row,) = secrets.secrets(documents([(1, text * 25_000)])).collect()
+    assert (row["n_assign"], row["n_access"], row["n_hex"]) == (25_000, 25_000, 0)
+    last = len(text) * 24_999
+    assert row["spans"].endswith(
+        f",assign:{last}:{last + 14},short:{last + 15}:{last + 26},access:{last + 27}:{last + 47}"
+    )
+    assert row["spans"].count(",") == 3 * 25_000 - 1
+
+
 def test_secrets_odd_rows(spark, odd_documents, empty_documents, folder):
     check(odd_documents)
     assert secrets.secrets(empty_documents).count() == 0
