@@ -2,9 +2,10 @@
 
 A text is cut into windows of WINDOW bytes, every byte of which gets label probabilities; a document's
 probabilities are the mean over its letters (all bytes of non-ASCII characters count as letters).
-The network learns from at most SAMPLE labelled documents, those of the smallest hash of their id, and of
+The network learns from at most SAMPLE documents of each label, those of the smallest hash of their id, so
+that rare languages are learned, too, and of
 each from at most WINDOWS windows spread over the whole text. These bounds are parameters; predictions read
-every byte of every text.
+every byte of every text. The sample is found by labels and ids alone, and only its texts are read for learning.
 
 Defined cases: a text that is null or has no letter is `und` with score 0. So is every text if there
 is nothing to learn from. Null labels are not learned from. Ties go to the label that sorts first.
@@ -16,7 +17,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from platterwatch.llm import gru
@@ -24,7 +25,7 @@ from platterwatch.llm.texts import PLAIN, chunked, encoded, per_text
 
 WINDOW = 64
 HIDDEN = 8
-SAMPLE = 3000
+SAMPLE = 1000
 WINDOWS = 4
 ROUNDS = 220
 BATCH = 256
@@ -67,10 +68,16 @@ def pooled(weights: dict, texts: list[bytes]) -> np.ndarray:
 
 
 def sample(docs: DataFrame, allowed: F.Column, most: int = SAMPLE) -> DataFrame:
-    """At most `most` labelled rows, those of the smallest hash of id and text."""
-    rows = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = F.xxhash64("doc_id", "text")
-    return rows.select("lang", F.col("text").cast("string"), order.alias("hash")).orderBy("hash").limit(most)
+    """(lang, text) of at most `most` documents of each label, those of the smallest hash of their id, and of
+    their copies under one id. Ids and labels alone are ranked, within each task first; the join brings the
+    texts of the chosen ones."""
+    rows = docs.where(allowed & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    keys = rows.select("doc_id", "lang").withColumn("place", F.row_number().over(order))
+    chosen = F.broadcast(keys.where(F.col("place") <= most).select("doc_id", "lang").distinct())
+    return rows.select("doc_id", "lang", F.col("text").cast("string").alias("text")).join(
+        chosen, ["doc_id", "lang"], "left_semi"
+    )  # `most` ids per language are broadcast
 
 
 def sampled_windows(texts: list[str | None]) -> list[list[bytes]]:
@@ -87,8 +94,9 @@ def sampled_windows(texts: list[str | None]) -> list[list[bytes]]:
 
 def fit(docs: DataFrame, allowed: F.Column, **bounds) -> tuple[list[str], dict | None]:
     """(labels, weights) learned from a bounded sample; only its windows reach the driver."""
-    chosen = per_text(sample(docs, allowed, **bounds), {"parts": "binary"}, sampled_windows, "lang", "hash")
-    rows = chosen.orderBy("hash", "lang", "parts").collect()
+    cut = per_text(sample(docs, allowed, **bounds), {"parts": "binary"}, sampled_windows, "lang", "doc_id")
+    chosen = cut.groupBy("lang", "doc_id").agg(F.min("parts").alias("parts"))  # of copies under one id, one
+    rows = chosen.orderBy(F.xxhash64("doc_id"), "lang", "doc_id").collect()
     labels = sorted({row["lang"] for row in rows})
     parts, y = [], []
     for row in rows:

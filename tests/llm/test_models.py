@@ -46,6 +46,51 @@ def test_every_position_sees_both_sides():
     assert np.allclose(base.sum(-1), 1, atol=1e-5)
 
 
+def plain_states(w, side, data):
+    """One window, step by step and unit by unit."""
+    hidden, h, out = len(w[f"U{side}"]), None, {}
+    h = [0.0] * hidden
+    for t in range(len(data)) if side == "f" else reversed(range(len(data))):
+        x = data[t]
+        gate = lambda j: 1 / (1 + math.exp(-(w[f"A{side}"][x][j] + sum(h[i] * w[f"U{side}"][i][j] for i in range(hidden)))))
+        new = []
+        for j in range(hidden):
+            z, r = gate(j), gate(hidden + j)
+            n = math.tanh(w[f"B{side}"][x][j] + r * sum(h[i] * w[f"V{side}"][i][j] for i in range(hidden)))
+            new.append(n + z * (h[j] - n))
+        h = out[t] = new
+    return [out[t] for t in range(len(data))]
+
+
+def test_label_positions_equal_a_step_by_step_loop():
+    w = {k: v.astype(float) for k, v in gru.start(3, 4, 9).items()}
+    x = np.random.default_rng(2).integers(90, 120, (7, 3))
+    x[5:, 2] = gru.PAD
+    found = gru.label_positions(w, x)
+    for b in range(3):
+        data = x[:, b].tolist()
+        for t, (f, g) in enumerate(zip(plain_states(w, "f", data), plain_states(w, "b", data))):
+            logits = [
+                w["c"][k] + sum(f[i] * w["Wf"][i][k] + g[i] * w["Wb"][i][k] for i in range(3)) for k in range(4)
+            ]
+            total = sum(map(math.exp, logits))
+            assert np.allclose(found[t, b], [math.exp(v) / total for v in logits], atol=1e-5)
+
+
+def test_rare_languages_are_learned_and_texts_stay_in_their_tasks(spark, documents):
+    rows = [(k, f"text number {k}", "common" if k % 50 else "rare") for k in range(400)]
+    rows += [(3, "text number 3", "common")] * 30 + [(None, "no id", "common"), (900, None, "rare")]
+    docs = documents(rows)
+    chosen = language.sample(docs, F.lit(True), 5)
+    got = Counter((r["lang"]) for r in chosen.select("lang", "doc_id").distinct().collect())
+    assert got == {"common": 5, "rare": 5}
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.split("\n") if "Exchange" in x or "Window" in x]
+    assert exchanges and not any("text" in x for x in exchanges)
+    labels, weights = language.fit(docs, F.lit(True), most=5)
+    assert labels == ["common", "rare"] and weights is not None
+
+
 def test_pooling_is_the_mean_over_letters_in_any_grouping():
     w = gru.start(8, 4, 2)
     texts = [b"some words here 123", b"", b"12 34", "été".encode() * 60, b"z" * 64]
