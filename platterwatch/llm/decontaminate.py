@@ -6,28 +6,47 @@ the document minus place in the item), along which words are compared one by one
 as found if a stretch of the diagonal with at least OVERLAP words, or the whole item if that is
 shorter, has at least SIMILARITY equal words; so replaced words do not hide an item.
 
-Words are runs of letters and digits in lower case. Items are searched in blocks of BLOCK_WORDS
-words at most, so what is broadcast has a fixed bound whatever the benchmark's size; each block
-makes one pass over the documents, without a shuffle.
-
-Defined cases: a null text has no words. Items of fewer words than the shortest mask are searched by
-all of their words, and items of fewer than SHORTEST words are not searched at all, as they would
-meet nearly every document. Items with equal words are one item with the smallest item_id. A
-document that holds an item several times has one row, with its longest stretch. Repeated
-documents have a row each. Empty tables give no rows. Other columns are not read.
+Items of LONG words or more are hit by MASKS anywhere. Shorter ones have masks of their own length, which
+together ignore every set of words that may differ, so that no allowed placement is missed.
+
+Words are runs of letters and digits in lower case. Each distinct sequence of words is searched once, and every
+item_id that has it is reported, whatever the size of the benchmark. Sequences are searched in blocks of
+BLOCK_WORDS words at most, so what is broadcast at a time has a fixed bound: each block makes one pass over
+the documents, without a shuffle, and where there are several, a pass is written and its block
+released before the next begins.
+
+Defined cases: a null text has no words. Items of fewer than SHORTEST words are not searched, as they would
+meet nearly every document. A document that holds an item several times has one row, with its longest
+stretch. Repeated documents have a row each, repeated items one together. Empty tables give no rows. Other
+columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platterwatch.llm.texts import PLAIN, Words, chunked, expand_texts, filter_texts, mix, ragged
+from platterwatch.llm.texts import (
+    PLAIN,
+    Words,
+    chunked,
+    encoded,
+    expand_texts,
+    filter_texts,
+    mix,
+    per_text,
+    ragged,
+)
+from platterwatch.sources.storage import stage
 
 MASKS = ("111011", "1101101", "110010101")
+LONG = 12
 OVERLAP = 13
 SIMILARITY = 0.8
 SHORTEST = 3
@@ -47,24 +66,36 @@ def masked(hashes: np.ndarray, mask: str) -> np.ndarray:
     return mix(key)
 
 
+def short_masks(n: int) -> list[str]:
+    """Masks of n words that ignore, between them, every set of words that may differ."""
+    differ = n - math.ceil(SIMILARITY * n - 1e-9)
+    if not differ:
+        return ["1" * n]
+    parts = -(-n // 2) if differ == 1 else 2 * differ
+    part = [k * parts // n for k in range(n)]
+    return [
+        "".join("0" if p in left_out else "1" for p in part) for left_out in combinations(range(parts), differ)
+    ]
+
+
 class Block:
     """Seeds of some items. Flat word hashes of all items, and sorted keys with their places."""
 
-    def __init__(self, ids: list[int | None], words: list[np.ndarray]):
+    def __init__(self, ids: list[int], words: list[np.ndarray]):
         self.ids = ids
         sizes = np.array([len(x) for x in words], np.int64)
         self.first = np.concatenate([[0], np.cumsum(sizes)])
         self.words = np.concatenate([np.zeros(0, np.uint64), *words])
         item_of = np.repeat(np.arange(len(words)), sizes)
-        short = {"1" * n for n in set(sizes.tolist()) if n < min(map(len, MASKS))}
-        self.masks = [*MASKS, *sorted(short)]
-        keys, places = [], []
+        short = {mask: n for n in set(sizes.tolist()) if n < LONG for mask in short_masks(n)}
+        self.masks = [*(MASKS if (sizes >= LONG).any() else ()), *sorted(short)]
+        keys, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for mask in self.masks:
             found = masked(self.words, mask)
             at = np.arange(len(found))
             good = item_of[at] == item_of[at + len(mask) - 1] if len(found) else at.astype(bool)
-            if mask in short:
-                good &= sizes[item_of[at]] == len(mask)
+            size = sizes[item_of[at]]
+            good &= size == len(mask) if mask in short else size >= LONG
             keys.append(found[good])
             places.append(at[good])
         keys, places = np.concatenate(keys), np.concatenate(places)
@@ -133,63 +164,77 @@ def longest_stretch(equal: np.ndarray) -> tuple[int, int, int]:
     return int(begin[end]), int(length[end]), int(equal[begin[end] : end].sum())
 
 
-def blocks(benchmark: DataFrame, most: int = BLOCK_WORDS) -> Iterator[Block]:
-    """The distinct items in blocks of a bounded number of words, fetched partition by partition."""
-    items = (
-        benchmark.select(
-            F.col("item_id").cast("bigint").alias("item_id"),
-            F.lower(F.col("text")).alias("text"),
-        )
-        .where("text is not null")
-        .groupBy("text")
-        .agg(F.min("item_id").alias("item_id"))
-        .orderBy(F.col("item_id").asc_nulls_last(), "text")
-    )
-    ids, words, total, seen = [], [], 0, set()
-    for row in items.toLocalIterator():
-        found = Words([row["text"].lower().encode()], PLAIN).hashes()
-        if len(found) < SHORTEST or found.tobytes() in seen:
-            continue
-        if ids and total + len(found) > most:
-            yield Block(ids, words)
-            ids, words, total, seen = [], [], 0, set()
-        seen.add(found.tobytes())
-        ids.append(row["item_id"])
+def sequences(benchmark: DataFrame) -> DataFrame:
+    """(item_id, words, key) of the items that are searched: the hashes of their words, and of the whole."""
+
+    def work(texts):
+        found = [Words([x.decode().lower().encode()], PLAIN).hashes() for x in encoded(texts)]
+        return [[x.tobytes() if len(x) >= SHORTEST else None for x in found]]
+
+    items = per_text(benchmark, {"words": "binary"}, work, "item_id").where("words is not null")
+    return items.select(F.col("item_id").cast("bigint"), "words", F.xxhash64("words").alias("key"))
+
+
+def blocks(items: DataFrame, most: int = BLOCK_WORDS) -> Iterator[Block]:
+    """The distinct sequences in blocks of a bounded number of words, fetched partition by partition."""
+    keys, words, total = [], [], 0
+    for row in items.groupBy("key").agg(F.min("words").alias("words")).orderBy("key").toLocalIterator():
+        found = np.frombuffer(bytes(row["words"]), np.uint64)
+        if keys and total + len(found) > most:
+            yield Block(keys, words)
+            keys, words, total = [], [], 0
+        keys.append(row["key"])
         words.append(found)
         total += len(found)
-    if ids:
-        yield Block(ids, words)
+    if keys:
+        yield Block(keys, words)
+
 
+def broadcasts(spark: SparkSession, items: DataFrame, most: int) -> Iterator[Broadcast]:
+    return (spark.sparkContext.broadcast(block) for block in blocks(items, most))
 
-FOUND = {
-    "item_id": "bigint", "first_word": "bigint", "n_words": "bigint", "n_equal": "bigint",
-    "similarity": "double",
-}
+
+def written(shared: Broadcast, rows: DataFrame) -> tuple[None, DataFrame]:
+    """The rows as a table, after which the block that they came from is released."""
+    rows = stage(rows, "pass")
+    shared.destroy()
+    return None, rows
+
+
+FOUND = {"key": "bigint", "first_word": "bigint", "n_words": "bigint", "n_equal": "bigint", "similarity": "double"}
 
 
 def contaminated(
     spark: SparkSession, docs: DataFrame, benchmark: DataFrame, most: int = BLOCK_WORDS
 ) -> DataFrame:
     """doc_id, item_id, first_word, n_words, n_equal, similarity of every item found."""
-    schema = ", ".join(f"{k} {v}" for k, v in {"doc_id": "bigint", **FOUND}.items())
-    result = spark.createDataFrame([], schema)
-    for block in blocks(benchmark, most):
-        shared = spark.sparkContext.broadcast(block)
+    items = stage(sequences(benchmark), "benchmark")
+    found = []
+    for shared in broadcasts(spark, items, most):
 
         def work(texts, shared=shared):
             for text, item, at, n, same in shared.value.overlaps(texts):
                 yield text, shared.value.ids[item], at, n, same, same / n
 
-        result = result.unionAll(expand_texts(docs, FOUND, work))
-    return result
+        found.append((shared, expand_texts(docs, FOUND, work)))
+        if len(found) > 1:
+            found[-2] = written(*found[-2])
+    schema = ", ".join(f"{k} {v}" for k, v in {"doc_id": "bigint", **FOUND}.items())
+    result = spark.createDataFrame([], schema)
+    for _, rows in found:
+        result = result.unionAll(rows)
+    ids = items.select("key", "item_id").distinct()
+    return result.join(ids, "key").select("doc_id", "item_id", *[c for c in FOUND if c != "key"])
 
 
 def clean(
     spark: SparkSession, docs: DataFrame, benchmark: DataFrame, most: int = BLOCK_WORDS
 ) -> DataFrame:
     """The documents in which no item is found, with all their columns."""
-    for block in blocks(benchmark, most):
-        shared = spark.sparkContext.broadcast(block)
+    items, before = stage(sequences(benchmark), "benchmark"), None
+    for shared in broadcasts(spark, items, most):
+        if before:
+            _, docs = written(before, docs)
 
         def good(texts, shared=shared):
             flags, begin = np.ones(len(texts), bool), 0
@@ -199,5 +244,5 @@ def clean(
                 begin += len(part)
             return flags
 
-        docs = filter_texts(docs, good)
+        docs, before = filter_texts(docs, good), shared
     return docs

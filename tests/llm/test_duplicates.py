@@ -1,6 +1,8 @@
 """SimHash, line spread and decontamination against brute force."""
 
+import math
 import random
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -205,7 +207,8 @@ def test_decontamination_finds_changed_passages(spark, documents):
         rows.append((k, f"{fill(30)} {', '.join(changed[begin:end]).upper()}. {fill(20)}"))
     bench = spark.createDataFrame([(9, ITEM), (10, ITEM.title()), (11, fill(30)), (12, None), (None, ""), (13, "of")], "item_id bigint, text string")
     found = decontaminate.contaminated(spark, documents(rows), bench).collect()
-    assert {r["item_id"] for r in found} == {9}
+    assert {r["item_id"] for r in found} == {9, 10}  # the same words
+    assert len(found) == 2 * len({r["doc_id"] for r in found})
     got = {r["doc_id"] for r in found}
     want = {k for k, text in rows if plain_overlaps(text, ITEM)}
     assert got <= want and len(got) >= 0.97 * len(want)
@@ -216,6 +219,50 @@ def test_decontamination_finds_changed_passages(spark, documents):
     assert {r["doc_id"] for r in clean.collect()} == set(range(80)) - got
 
 
+@pytest.mark.parametrize("n", range(3, 21))
+def test_masks_hit_every_allowed_placement(n):
+    """Whichever words of an item differ, up to a fifth of them, some mask sees only equal ones."""
+    differ = n - math.ceil(0.8 * n - 1e-9)
+    masks = decontaminate.short_masks(n) if n < decontaminate.LONG else decontaminate.MASKS
+    seen = [
+        {at + k for k, c in enumerate(mask) if c == "1"} for mask in masks for at in range(n - len(mask) + 1)
+    ]
+    for changed in combinations(range(n), differ):
+        assert any(places.isdisjoint(changed) for places in seen), changed
+    assert min(map(len, seen)) >= min(n, 3)
+
+
+def test_short_items_with_changed_words(spark, documents):
+    rng = random.Random(6)
+    items = [(k, " ".join(f"v{rng.randrange(10**6)}" for _ in range(3 + k % 9))) for k in range(45)]
+    rows, want = [], set()
+    for k, item in items:
+        words = item.split()
+        for extra in (0, 1):
+            differ = len(words) - math.ceil(0.8 * len(words)) + extra
+            for at in rng.sample(range(len(words)), differ):
+                words[at] = "changed"
+            rows.append((2 * k + extra, f"some words {' '.join(words)} more words"))
+            words = item.split()
+        want.add((2 * k, k))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.contaminated(spark, documents(rows), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == want
+
+
+@pytest.mark.parametrize("most", [decontaminate.BLOCK_WORDS, 12])
+def test_every_item_id_is_reported(spark, documents, most):
+    items = [(k, f"one two three four {'five' if k % 2 else 'six'}{',' * k}") for k in range(8)] + [(3, "one two three four five"), (None, "ONE two three four five")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = documents([(1, "then one two three four five and"), (2, "nothing")])
+    found = decontaminate.contaminated(spark, docs, bench, most).collect()
+    # five and six are one changed word of five apart
+    assert sorted((str(r["item_id"]), r["n_equal"]) for r in found) == sorted(
+        [*((str(k), 5 if k % 2 else 4) for k in range(8)), ("None", 5)]
+    )
+    assert [r["doc_id"] for r in decontaminate.clean(spark, docs, bench, most).collect()] == [2]
+
+
 def test_blocks_of_the_benchmark_give_the_same(spark, documents):
     rng = random.Random(7)
     items = [" ".join(f"v{rng.randrange(900)}" for _ in range(rng.choice([4, 8, 20, 40]))) for _ in range(60)]
