@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from platterwatch.llm.graph import components
 from platterwatch.llm.texts import fresh, per_text
@@ -187,19 +188,22 @@ def components_of(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTA
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """The documents with, of each component, only the row of its smallest doc_id (null ids last; among
-    rows of one id, that of the smallest hash; of rows with equal id and text, one). All columns
-    are kept. Equal rows are combined before the one shuffle of texts."""
-    key, mark = fresh(docs, "key", "mark")
+    rows of one id, that of the smallest hash of id and text, then of all columns; of rows that are equal all
+    over, one). All columns are kept. Equal rows are combined before the one shuffle of texts."""
+    key, mark, whole = fresh(docs, "key", "mark", "whole")
+    plain = [f"`{f.name}`" for f in docs.schema.fields if not isinstance(f.dataType, MapType)]
     marked = docs.withColumns({
         key: F.coalesce(F.col("doc_id"), F.lit(0)),
         mark: F.xxhash64("doc_id", "text"),
+        whole: F.xxhash64(*plain),
     })
-    rows = stage(fingerprints(marked, shingle, "doc_id", key, mark), "fingerprints")
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(key), F.col(mark))
+    names = [key, mark, whole]
+    rows = stage(fingerprints(marked, shingle, "doc_id", *names), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), *map(F.col, names))
     firsts = (
         rows.join(classes(rows, distance), "fp")
         .groupBy("root")
         .agg(F.min(order).alias("least"))
-        .select(f"least.{key}", f"least.{mark}")
+        .select(*[f"least.{x}" for x in names])
     )
-    return marked.dropDuplicates([key, mark]).join(firsts, [key, mark], "left_semi").drop(key, mark)
+    return marked.dropDuplicates(names).join(firsts, names, "left_semi").drop(*names)
