@@ -21,7 +21,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that stand on many sites; n_chars follows the text."""
+    """Texts without lines that stand on many sites; n_chars, one of the columns of documents, follows the
+    text. A null text keeps a null n_chars."""
     cleaned = lines.without_boilerplate(docs)
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
