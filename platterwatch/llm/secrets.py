@@ -53,18 +53,25 @@ ROLES = {0: "secret", 1: "name", 2: "secret", 3: "secret", 4: "secret", 5: "name
 NEEDS = {"secret": ["name"], "name": ["secret"], "endpoint": ["name", "secret"]}
 
 
-def matches(text: Column) -> list[Column]:
-    """The matches of every pattern, the gaps between them, and the assigned values. Each is an array that a
-    pass over the text makes; `lengths` reads them as columns."""
+def matches(text: Column) -> Column:
+    """The matches of every pattern, as a struct of arrays."""
     out = []
     for number, _, pattern, needed in PATTERNS:
         found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-        gaps = F.split(text, pattern, -1)
         if needed:
-            there = F.contains(text, F.lit(needed))
-            found, gaps = F.when(there, found), F.when(there, gaps)
-        out += [found.alias(f"found_{number}"), gaps.alias(f"gaps_{number}")]
-    return [*out, F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2)).alias("value")]
+            found = F.when(F.contains(text, F.lit(needed)), found)
+        out.append(found.alias(f"found_{number}"))
+    return F.struct(*out)
+
+
+def between(text: Column) -> Column:
+    """The gaps between the matches of every pattern that has any, and the assigned values."""
+    gaps = [
+        F.when(F.size(f"found_{number}") > 0, F.split(text, pattern, -1)).alias(f"gaps_{number}")
+        for number, _, pattern, _ in PATTERNS
+    ]
+    values = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
+    return F.struct(*gaps, F.when(F.size("found_0") > 0, values).alias("value"))
 
 
 def lengths(number: int) -> Column:
@@ -86,13 +93,15 @@ def lengths(number: int) -> Column:
 def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows: id, mark of every document; spans: id, mark, kind, start, end, once per document)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    # A one-row generator keeps the projections apart: put into one another they would scan the text again for
+    # One-row generators keep the projections apart: put into one another they would scan the text again for
     # every match that a lambda looks at.
     matched = docs.select(
         F.col("doc_id").cast("bigint").alias("id"),
         F.xxhash64("doc_id", "text").alias("mark"),
-        F.inline(F.array(F.struct(*matches(text)))),
+        text.alias("text"),
+        F.inline(F.array(matches(text))),
     )
+    matched = matched.select("*", F.inline(F.array(between(F.col("text")))))
     scanned = matched.select(
         "id",
         "mark",
