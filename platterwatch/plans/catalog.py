@@ -444,16 +444,18 @@ def parse_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_live_rank_1d(spark: SparkSession, folder: str) -> DataFrame:
-    """The table arrives in deliveries by event id; the live ranking after all, with a snapshot of the
-    changes after every third micro-batch."""
+    """The table arrives in deliveries by event id, each a micro-batch; the stream stops and goes on once. The
+    live ranking after all, with a snapshot of the changes after every third micro-batch."""
     source, path = scratch_path(spark, "arrivals"), scratch_path(spark, "results")
     changes, checkpoint = scratch_path(spark, "changes"), scratch_path(spark, "checkpoint")
     events = _events(spark, folder)
-    for number in range(DELIVERIES):
-        delivery = events.filter(F.col("event_id") % DELIVERIES == number)
-        delivery.write.mode("append").parquet(source)
-        stream = spark.readStream.schema(events.schema).parquet(source)
-        stream = with_event_time(stream, delay=f"{FULL_DAYS} days")
+    half = DELIVERIES // 2
+    for numbers in (range(half), range(half, DELIVERIES)):
+        for number in numbers:
+            delivery = events.filter(F.col("event_id") % DELIVERIES == number)
+            delivery.coalesce(1).write.mode("append").parquet(source)
+        reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+        stream = with_event_time(reader.parquet(source), delay=f"{FULL_DAYS} days")
         stream = stream.withColumn("ingest_ts", F.current_timestamp())
         writer = sinks.document_writer(path, form="parquet")
         live = live_top_k(

@@ -132,7 +132,7 @@ def stream_job(
         stream = live_top_k(rows, windows, sinks.by_window(writers), changes, k=k, delay=delay)
     elif overall:
         ranked = {
-            days: globally_ranked_batches(writer, f"{state}/best_{days}", k=k)
+            days: globally_ranked_batches(writer, f"{state}/best_{days}", k=k, staged=True)
             for days, writer in writers.items()
         }
         devices = chained_failures(rows, windows, "vault_id", "failure", ITEMS)

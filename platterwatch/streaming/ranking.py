@@ -78,8 +78,10 @@ def globally_ranked_batches(
     key: str = "vault_id",
     items: tuple[str, ...] = ITEMS,
     k: int = schema.TOP_K,
+    staged: bool = False,
 ) -> BatchWriter:
-    """Rank the device rows of closed windows together with the best groups so far, then write.
+    """Rank the device rows of closed windows together with the best groups so far, then write. ``staged``
+    says that the rows come as a table already, as in `by_window`.
 
     A closed group is final, so the k best of the former best and the new ones are the k best of
     all. Only those groups' devices are kept, below ``best``, as a table per micro-batch; older tables are
@@ -89,7 +91,7 @@ def globally_ranked_batches(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         with scratch_scope(spark):
-            rows = stage(batch, "closed_windows")
+            rows = batch if staged else stage(batch, "closed_windows")
             if rows.isEmpty():
                 return
             earlier = [n for n in numbered_folders(spark, best) if n < batch_id]
