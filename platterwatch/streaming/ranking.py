@@ -172,8 +172,10 @@ class ChangeLog:
     def _numbers(self, spark: SparkSession, kind: str) -> list[int]:
         return numbered_folders(spark, f"{self.path}/{kind}")
 
-    def _table(self, spark: SparkSession, kind: str, numbers: list[int]) -> DataFrame:
-        return spark.read.parquet(*[f"{self.path}/{kind}/{n}" for n in numbers])
+    def _table(self, like: DataFrame, kind: str, numbers: list[int]) -> DataFrame:
+        """Entries with the columns of a table; given, they need not be looked up in the files."""
+        paths = [f"{self.path}/{kind}/{n}" for n in numbers]
+        return like.sparkSession.read.schema(like.schema).parquet(*paths)
 
     def _write(self, rows: DataFrame, kind: str, number: int, key: str) -> DataFrame:
         """Sorted by window, in balanced files, and read back."""
@@ -202,7 +204,7 @@ class ChangeLog:
         )
         earlier = [n for n in self._numbers(spark, "totals") if n < batch_id]
         if earlier:
-            before = self._table(spark, "totals", earlier[-1:])
+            before = self._table(moved, "totals", earlier[-1:])
             moved = moved.unionByName(before).groupBy(*group).agg(
                 F.max_by("failures", "batch").alias("failures"),
                 F.sum("n_devices").alias("n_devices"),
@@ -213,16 +215,19 @@ class ChangeLog:
         remove(spark, [f"{self.path}/totals/{n}" for n in earlier[:-1]])
         return spark.read.schema(moved.schema).parquet(path)
 
-    def devices(self, spark: SparkSession, days: list[int], batch_id: int) -> DataFrame:
+    def devices(self, changed: DataFrame, days: list[int], batch_id: int) -> DataFrame:
         """The logged device rows of the windows that begin on some days, with the ``batch`` of each."""
+        spark = changed.sparkSession
         snapshots = [n for n in self._numbers(spark, "snapshot") if n < batch_id]
         start = snapshots[-1] if snapshots else -1
-        rows = self._table(spark, "batch", [n for n in self._numbers(spark, "batch") if start < n <= batch_id])
+        rows = self._table(changed, "batch", [n for n in self._numbers(spark, "batch") if start < n <= batch_id])
         if snapshots:
-            rows = rows.unionByName(self._table(spark, "snapshot", [start]))
+            rows = rows.unionByName(self._table(changed, "snapshot", [start]))
         return rows.where(F.col("window_day").isin(days) & ~F.col("whole"))
 
-    def compact(self, totals: DataFrame, batch_id: int, key: str, items: list[str]) -> None:
+    def compact(
+        self, changed: DataFrame, totals: DataFrame, batch_id: int, key: str, items: list[str]
+    ) -> None:
         """Every so many batches, write the last rows of all devices whose windows may still change, drop the
         totals of the others, and remove what is older than the snapshot before."""
         spark = totals.sparkSession
@@ -234,7 +239,7 @@ class ChangeLog:
         open_ = stage(totals.where(self._may_change(totals, seen)), "totals")
         starts = open_.select(F.unix_date(F.to_date("window_start")).alias("day")).distinct()
         days = [r["day"] for r in starts.collect()]
-        log = self.devices(spark, days, batch_id)
+        log = self.devices(changed, days, batch_id)
         last = _last(log, [*_window_columns(log), "window_day", "whole", key, *items])
         self._write(last, "snapshot", batch_id, key)
         open_.write.mode("overwrite").parquet(f"{self.path}/totals/{batch_id}")
@@ -283,10 +288,10 @@ def live_batches(
                 # windows of several lengths may begin on a day and only some of them have changed
                 mine = changed.select(*_window_columns(changed)).distinct()
                 best = top_k(totals.join(mine, mine.columns, "left_semi"), k, key)
-                rows = ranked_devices(log.devices(spark, days, batch_id), best, key, items)
+                rows = ranked_devices(log.devices(changed, days, batch_id), best, key, items)
                 last = _last(rows, [c for c in rows.columns if c not in VALUES])
                 writer(last.drop("batch"), batch_id)
-            log.compact(totals, batch_id, key, list(items))
+            log.compact(changed, totals, batch_id, key, list(items))
 
     return write
 

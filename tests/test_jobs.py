@@ -39,6 +39,20 @@ def test_stream_and_batch_write_the_same_lines(spark, lines, tmp_path, number):
         assert measured.agg({"n_tuples": "sum"}).first()[0] > 0
 
 
+def test_stream_into_one_file_per_window(spark, lines, tmp_path):
+    """One growing file, in the order of the windows, with what the batch writes; a second start adds nothing."""
+    batch, stream, check = (str(tmp_path / x) for x in ("batch", "stream", "check"))
+    main(["1", "--input", lines, "--output", batch, "--days", "3"])
+    for _ in range(2):
+        main(
+            ["1", "--input", lines, "--output", stream, "--stream", "--once", "--checkpoint", check]
+            + ["--days", "3", "--max-files", "12", "--sink", "file"]
+        )
+    got = open(f"{stream}/query_3_1.csv").read().splitlines()
+    want = [r.line for r in read_lines_written(spark, f"{batch}/query_3_1").collect()]
+    assert sorted(got) == sorted(want) and [x[:10] for x in got] == sorted(x[:10] for x in got)
+
+
 def test_forms(spark, lines, tmp_path):
     for form in ("documents", "wide"):
         out = str(tmp_path / form)

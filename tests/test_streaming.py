@@ -400,7 +400,7 @@ def test_live_ranking_reads_no_device_of_other_groups(spark, rows, tmp_path):
     )
     same(totals.select(*want.columns), want)
     log = ChangeLog(path, DAY, "0 seconds", 20)
-    some = log.devices(spark, [19448], 0)  # 2023-04-01
+    some = log.devices(spark.read.parquet(f"{path}/batch/0"), [19448], 0)  # 2023-04-01
     assert {r.window_start.day for r in some.collect()} == {1}
     assert "PushedFilters" in some._jdf.queryExecution().toString()
 
