@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -11,6 +13,21 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+ADAPTIVE = "spark.sql.adaptive.enabled"
+
+
+@contextmanager
+def adaptive(spark: SparkSession):
+    """Plan again at run time inside the block, then as before. A stream's session has that turned off, as its
+    state needs a fixed number of partitions; the tables that a micro-batch has written do not, and without it
+    their joins are neither chosen by measured size nor split where a group is large."""
+    before = spark.conf.get(ADAPTIVE)
+    spark.conf.set(ADAPTIVE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(ADAPTIVE, before)
+
 
 def session(name: str, master: str | None = None, **settings: str) -> SparkSession:
     """Master, memory and partition counts come from the cluster unless given."""

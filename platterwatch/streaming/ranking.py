@@ -26,6 +26,7 @@ from platterwatch.operators.ranking import (
 from platterwatch.operators.rollup import chained_failures
 from platterwatch.operators.stats import latest_ingest
 from platterwatch.operators.windows import DayWindow, group_by_window
+from platterwatch.session import adaptive
 from platterwatch.sources.storage import numbered_folders, remove, scratch_scope, stage
 from platterwatch.streaming.sinks import BatchWriter
 
@@ -46,7 +47,7 @@ def ranked_batches(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        with scratch_scope(batch.sparkSession):
+        with scratch_scope(batch.sparkSession), adaptive(batch.sparkSession):
             writer(rank_groups(stage(batch, "closed_windows"), key, items, k), batch_id)
 
     return write
@@ -90,7 +91,7 @@ def globally_ranked_batches(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        with scratch_scope(spark):
+        with scratch_scope(spark), adaptive(spark):
             rows = batch if staged else stage(batch, "closed_windows")
             if rows.isEmpty():
                 return
@@ -280,7 +281,7 @@ def live_batches(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        with scratch_scope(spark):
+        with scratch_scope(spark), adaptive(spark):
             changed = log.add(batch, batch_id, key)
             days = [r["window_day"] for r in changed.select("window_day").distinct().collect()]
             totals = log.update_totals(changed, batch_id, key)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from platterwatch.session import adaptive
 from platterwatch.sources.storage import scratch_scope, stage
 from platterwatch.streaming.single_file import append_once
 
@@ -97,7 +98,7 @@ def by_window(writers: dict[int, BatchWriter]) -> BatchWriter:
     in the micro-batch write nothing."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        with scratch_scope(batch.sparkSession):
+        with scratch_scope(batch.sparkSession), adaptive(batch.sparkSession):
             rows = stage(batch, "windows")
             found = {r["window_days"] for r in rows.select("window_days").distinct().collect()}
             for days, writer in writers.items():

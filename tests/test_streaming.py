@@ -106,6 +106,22 @@ def placed(ranked):
     return sorted((r.window_start.day, r["rank"], r.vault_id, r.failures) for r in ranked.collect())
 
 
+def test_tables_of_a_batch_are_planned_again_at_run_time(spark, rows, tmp_path):
+    seen = []
+
+    def note(batch, batch_id):
+        plan = batch._jdf.queryExecution().executedPlan().toString()
+        seen.append(("AdaptiveSparkPlan" in plan, batch.sparkSession))
+
+    path = arrivals(rows, str(tmp_path / "in"))
+    live = live_top_k(watched(spark, path, 3), DAY, note, str(tmp_path / "log"), k=4)
+    for name, writer in {"closed": append_top_k(watched(spark, path, 3), DAY, note, k=4), "live": live}.items():
+        seen.clear()
+        run(writer, tmp_path / name, name)
+        assert seen and all(adaptive for adaptive, _ in seen)
+        assert {s.conf.get("spark.sql.adaptive.enabled") for _, s in seen} == {"false"}
+
+
 def test_live_ranking_follows_the_stream(spark, rows, tmp_path):
     """Also after a failure in the middle: the batch runs again and the rest follows."""
     path = arrivals(rows, str(tmp_path / "in"))
