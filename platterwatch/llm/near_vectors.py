@@ -12,7 +12,7 @@ from the full vectors in double precision.
 
 Vectors that are equal in all components are one row with a count before any product, so copies cost
 nothing. The distinct ones are dealt by hash into groups of a bounded size, and each pair of groups is one
-task, so every pair of vectors meets once. A task never emits its pairs: it gives each vector's number of
+call of `compare`, so every pair of vectors meets once. It never emits its pairs: it gives each vector's number of
 links and one link to another vector of its component. As all pairs are compared, work grows with the
 square of the number of distinct vectors, at the speed of matrix products.
 
@@ -37,6 +37,7 @@ from platterwatch.sources.storage import stage
 THRESHOLD = 0.95
 GROUP_BYTES = 1 << 24  # of components in a group, at four bytes each
 LEAST_GROUPS = 8  # so that small inputs are several tasks, too
+MOST_TASKS = 50_000  # of a shuffle; beyond it a task takes several pairs of groups, one after the other
 TILE = 2048
 DENSE = 16  # a tile with over 1 / DENSE of its pairs left is computed again as a whole
 PAIRS = 1 << 16  # computed again at a time
@@ -159,7 +160,7 @@ def links(distinct: DataFrame, groups: int, threshold: float = THRESHOLD) -> Dat
     dealt = (
         distinct.select("node", "n", "embedding", F.size("embedding").alias("dim"), part.alias("part"))
         .select("*", F.inline(pairs))
-        .repartition(groups * (groups + 1) // 2, "dim", "i", "j")
+        .repartition(min(groups * (groups + 1) // 2, MOST_TASKS), "dim", "i", "j")
     )
     return dealt.groupBy("dim", "i", "j").applyInArrow(lambda t: compare(t, threshold), FOUND)
 

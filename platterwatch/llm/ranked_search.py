@@ -4,16 +4,16 @@ One pass over the documents gives each one's number of terms and, for terms that
 often they occur; the latter are picked by a bitmap of fixed size, which the queries' terms set and which
 may let other terms through but never loses one. From that table come the corpus statistics. Documents are then
 dealt into shards of a bounded number of postings, and queries into blocks of a bounded number of terms;
-each pair of a shard and a block is one task, which holds both.
+each pair of a shard and a block is searched by itself, in a task that holds both.
 
-In a task documents are numbered by length and id. A term's posting list holds the impacts of its
+In a search documents are numbered by length and id. A term's posting list holds the impacts of its
 documents in that order, with a sparse table over it that gives the place of the largest impact of any
 interval from two entries. The sum of a query's largest impacts in an interval of documents bounds every score in it.
 Intervals are taken best first, a growing number at a time: each is split at the document of its single
 largest impact, which is scored exactly, and the two rests get bounds of their own. The search ends when no interval can
 hold a document better than the last of the best, ties counted.
 
-Every task gives at most TOP documents per query, and the best of these by rank are the result.
+Every search gives at most TOP documents per query, and the best of these by rank are the result.
 
 Defined cases: a null text, or one without terms, is no document, and a query without terms has no result.
 Rows with equal ids are documents, or queries, of their own. Null doc_ids come last among equal scores.
@@ -38,6 +38,7 @@ SLOTS = 1 << 23  # bits of the bitmap
 SHARD_POSTINGS = 1_000_000
 BLOCK_TERMS = 200_000
 LEAST_SHARDS = 8
+MOST_TASKS = 50_000  # of a shuffle; beyond it a task takes several pairs, one after the other
 STEP = 256  # most intervals split at a time
 NO_ID = (1 << 63) - 1
 
@@ -280,12 +281,12 @@ def ranked(
     )
     number = F.sequence(F.lit(0), F.lit(shards - 1))
     asking = weighted.select("*", F.explode(number).alias("shard"))
-    dealt = index.select(
+    dealt = index.where(F.length("terms") > 0).select(
         "id", "n", "terms", "times",
         F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"),
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
     )
-    tasks = shards * blocks
+    tasks = min(shards * blocks, MOST_TASKS)
     found = (
         dealt.repartition(tasks, "shard", "block").groupBy("shard", "block")
         .cogroup(asking.repartition(tasks, "shard", "block").groupBy("shard", "block"))

@@ -92,6 +92,13 @@ def test_tiles_give_all_links_of_dense_and_sparse_parts(monkeypatch):
     assert found == set(zip(i.tolist(), j.tolist()))
 
 
+def test_several_pairs_of_groups_in_a_task(spark, odd_vectors, monkeypatch):
+    table = vector_table(spark, odd_vectors)
+    whole = near_vectors.near_vectors(table, groups=5).collect()
+    monkeypatch.setattr(near_vectors, "MOST_TASKS", 3)
+    assert sorted(near_vectors.near_vectors(table, groups=5).collect(), key=str) == sorted(whole, key=str)
+
+
 def test_no_vectors(spark):
     empty = vector_table(spark, [(1, [1.0], 1)]).limit(0)
     assert near_vectors.near_vectors(empty).collect() == []
@@ -217,6 +224,15 @@ def test_ranked_search_gives_what_scoring_all_documents_gives(spark, corpus, sha
     assert sorted(map(tuple, found), key=key) == sorted(plain_ranking(docs, items), key=key)
 
 
+def test_several_shards_in_a_task(spark, corpus, monkeypatch):
+    docs = spark.createDataFrame(corpus[0], "doc_id bigint, text string")
+    items = spark.createDataFrame(corpus[1], "item_id bigint, text string")
+    whole = ranked_search.ranked(docs, items, shards=7, blocks=3).collect()
+    monkeypatch.setattr(ranked_search, "MOST_TASKS", 2)
+    few = ranked_search.ranked(docs, items, shards=7, blocks=3).collect()
+    assert sorted(few, key=str) == sorted(whole, key=str) and whole
+
+
 def test_ranked_search_without_documents_or_queries(spark, documents, empty_documents):
     asked = spark.createDataFrame([(1, "some words")], "item_id bigint, text string")
     assert ranked_search.ranked(empty_documents, asked).collect() == []
