@@ -189,7 +189,7 @@ class ChangeLog:
         """Write the changed rows and read them back."""
         marked = batch.withColumns({
             "batch": F.lit(batch_id).cast("long"),
-            "window_day": F.unix_date(F.to_date("window_start")),
+            "window_day": _day(),
         })
         return self._write(marked, "batch", batch_id, key)
 
@@ -238,7 +238,7 @@ class ChangeLog:
             return
         seen = totals.where(F.col("batch") < batch_id).agg(F.max("window_start")).first()[0]
         open_ = stage(totals.where(self._may_change(totals, seen)), "totals")
-        starts = open_.select(F.unix_date(F.to_date("window_start")).alias("day")).distinct()
+        starts = open_.select(_day().alias("day")).distinct()
         days = [r["day"] for r in starts.collect()]
         log = self.devices(changed, days, batch_id)
         last = _last(log, [*_window_columns(log), "window_day", "whole", key, *items])
@@ -263,6 +263,11 @@ def _window_columns(rows: DataFrame) -> list[str]:
     return [c for c in ("window_days", "window_start") if c in rows.columns]
 
 
+def _day() -> Column:
+    """The day on which a window begins, as a number."""
+    return F.unix_date(F.to_date("window_start"))
+
+
 def _last(log: DataFrame, device: list[str]) -> DataFrame:
     """The last logged totals of each device and window."""
     values = [c for c in log.columns if c not in (*device, "batch")]
@@ -283,11 +288,13 @@ def live_batches(
         spark = batch.sparkSession
         with scratch_scope(spark), adaptive(spark):
             changed = log.add(batch, batch_id, key)
-            days = [r["window_day"] for r in changed.select("window_day").distinct().collect()]
             totals = log.update_totals(changed, batch_id, key)
+            # what changed is seen in the totals of groups, which are far fewer than the devices
+            moved = totals.where(F.col("batch") == batch_id)
+            days = [r["day"] for r in moved.select(_day().alias("day")).distinct().collect()]
             if days:
                 # windows of several lengths may begin on a day and only some of them have changed
-                mine = changed.select(*_window_columns(changed)).distinct()
+                mine = moved.select(*_window_columns(moved)).distinct()
                 best = top_k(totals.join(mine, mine.columns, "left_semi"), k, key)
                 rows = ranked_devices(log.devices(changed, days, batch_id), best, key, items)
                 last = _last(rows, [c for c in rows.columns if c not in VALUES])
